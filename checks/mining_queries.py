@@ -215,3 +215,97 @@ def scores_remapped(spark, sf):
     documents, scores = kd_tables(spark, sf)
     remapped = dedup.remap_scores(scores, dedup.id_map(documents))
     return six(formats.entries_of(remapped), "query_id", "document_id", "place", "score")
+
+
+# --- the full job ----------------------------------------------------------------
+
+CHAT_DATASET, BEIR_DATASET = "chat/Turns", "beir/Bench"
+
+
+def job(spark, sf, kind="both"):
+    """Store both layouts as datasets, run the job on them, return its folder."""
+    from negsift.plans.job import run_job
+    from negsift.plans.params import Dataset, Mining, Output
+
+    root, out = scratch_path(spark, "datasets"), scratch_path(spark, "mined")
+    drop = lambda rows: rows.drop(*KEYS)
+    drop(t.chat_rows(spark, sf)).write.parquet(f"{root}/{CHAT_DATASET}/train")
+    drop(t.beir_corpus_rows(spark, sf)).write.parquet(f"{root}/{BEIR_DATASET}/corpus/corpus")
+    drop(t.beir_query_rows(spark, sf)).write.parquet(f"{root}/{BEIR_DATASET}/queries/queries")
+    drop(t.beir_qrel_rows(spark, sf)).write.parquet(f"{root}/{BEIR_DATASET}/default/train")
+    datasets = [
+        Dataset(CHAT_DATASET, ["mixed"], query_field="instruction", documents_field="response"),
+        Dataset(BEIR_DATASET, ["mixed"], layout="coir"),
+    ]
+    mining = Mining(top_k=TEXT_K, num_negatives=TEXT_NEGATIVES, encode=encode.hashed_encoder(256))
+    report = run_job(spark, root, datasets, mining, Output(out, kind, name="demo", max_per_query=3))
+    return out, report
+
+
+@query(f"""WITH {TEXT}, {sql.VALID} SELECT 'mixed' AS lang, (SELECT count(*) FROM queries) AS queries,
+  (SELECT count(DISTINCT query_id) FROM entries) AS results,
+  (SELECT count(*) FROM entries WHERE is_pos AND NOT retrieved) AS positives_not_retrieved, (SELECT count(*) FROM valid) AS valid,
+  'written' AS status""")
+def job_report(spark, sf):
+    """Two datasets in one run; the counters of the three-table one."""
+    _, report = job(spark, sf)
+    return report.filter(F.col("dataset") == BEIR_DATASET).select(
+        "lang", "queries", "results", "positives_not_retrieved", "valid", "status"
+    )
+
+
+CHAT_TEXT = f"""{sql.CHAT_ROWS},
+corpus AS (SELECT document_id, response AS document, pos FROM chat),
+queries AS (SELECT query_id, instruction AS query, pos FROM chat),
+qrels AS (SELECT query_id, document_id FROM chat),
+{sql.text_hits(TEXT_K, 256).replace(sql.BEIR + ",", "", 1)}, {sql.mined(TEXT_NEGATIVES)}"""
+
+
+@query(f"""WITH {CHAT_TEXT} SELECT query_id, document_id, place, round(score, 6) AS score, 'mixed' AS split FROM entries""")
+def job_kd_scores(spark, sf):
+    """KD scores of the paired dataset, read back from the written job."""
+    out, _ = job(spark, sf, "kd")
+    scores = spark.read.parquet(f"{out}/kd/scores").filter(F.col("dataset") == CHAT_DATASET)
+    return six(formats.entries_of(scores).withColumn("split", F.lit("mixed")), "query_id", "document_id", "place", "score", "split")
+
+
+@query(f"""WITH {CHAT_TEXT}, {sql.VALID}, {sql.contrastive(3)}
+SELECT any_value(q.query) AS query, max(c.document) FILTER (l.ordinal = -1) AS positive,
+  round(max(l.score) FILTER (l.ordinal = -1), 6) AS positive_score,
+  coalesce(max(c.document) FILTER (l.ordinal = 2), '') AS negative_2
+FROM long l JOIN corpus c USING (document_id) JOIN queries q ON q.query_id = l.query_id GROUP BY l.query_id""")
+def job_contrastive(spark, sf):
+    """Contrastive rows of the paired dataset from the published layout."""
+    out, _ = job(spark, sf)
+    rows = spark.read.parquet(f"{out}/demo/config=mixed")
+    return six(rows, "query", "positive", "positive_score", "negative_2")
+
+
+POSTHOC = f"""{KD}, counts AS (SELECT count(*) AS before, count(DISTINCT document) AS after FROM docs)"""
+
+
+@query(f"""WITH {POSTHOC}
+SELECT 'bench-mixed' AS target, 'changed' AS status, before, after, before - after AS removed,
+  (SELECT count(*) FROM id_map WHERE document_id <> canonical_id) AS ids_remapped FROM counts
+UNION ALL SELECT 'absent-mixed', 'failed', NULL, NULL, NULL, NULL""")
+def posthoc_report(spark, sf):
+    """Post-hoc dedup of a published dataset, next to a target that is absent."""
+    from negsift.plans.posthoc import dedup_published
+
+    out, _ = job(spark, sf, "kd")
+    report = dedup_published(spark, f"{out}/demo_kd", scratch_path(spark, "deduped"), ("bench-mixed", "absent-mixed"))
+    return report.select("target", "status", "before", "after", "removed", "ids_remapped")
+
+
+@query(f"""WITH {KD},
+canon AS (SELECT query_id, coalesce(canonical_id, document_id) AS document_id, min(place) AS p, arg_min(score, place) AS score
+          FROM entries LEFT JOIN id_map USING (document_id) GROUP BY ALL)
+SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, round(score, 6) AS score FROM canon""")
+def posthoc_scores(spark, sf):
+    """The score lists that the post-hoc dedup wrote."""
+    from negsift.plans.posthoc import dedup_published, read_subset
+
+    out, _ = job(spark, sf, "kd")
+    written = scratch_path(spark, "deduped")
+    dedup_published(spark, f"{out}/demo_kd", written, ("bench-mixed",))
+    return six(formats.entries_of(read_subset(spark, written, "scores", "bench-mixed")), "query_id", "document_id", "place", "score")
