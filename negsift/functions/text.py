@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 _SPACE = r"[\s\x1c-\x1f]+"
 
 # Separators between tokens.
-_TOKEN_SPLIT = r"[ \t\n\r\f]+"
+TOKEN_SPLIT = r"[ \t\n\r\f]+"
 
 
 def strip_space(text: Column) -> Column:
@@ -24,12 +24,6 @@ def title_and_text(title: Column, text: Column) -> Column:
     return F.when(title == "", text).otherwise(strip_space(F.concat(title, F.lit(" "), text)))
 
 
-def tokens(text: Column, limit: int = 0) -> Column:
-    """Lower-cased words of the whole text; the first ``limit`` of them if set."""
-    words = F.filter(F.split(F.lower(text), _TOKEN_SPLIT), lambda w: w != "")
-    return F.slice(words, 1, limit) if limit else words
-
-
 def text_key(text: Column) -> Column:
     """A 256-bit digest that stands for a text in groupings.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -22,6 +24,8 @@ Matrices = dict[tuple[str, str], np.ndarray]
 # Fixed value: a product-quantiser code has eight bits.
 CODES = 256
 
+PARALLEL_FITS = 8
+
 
 def bundles_of(rows: DataFrame) -> list[tuple[str, str, int]]:
     """Name and size of each bundle: as many rows as the run has languages."""
@@ -38,21 +42,29 @@ def kmeans(vectors: DataFrame, k: int, seed: int, max_iter: int = 10) -> np.ndar
     return np.array(KMeans(k=k, seed=seed, maxIter=max_iter).fit(features).clusterCenters())
 
 
+def fit_all(jobs: list) -> list:
+    """Run independent fits side by side; each is a Spark job of its own."""
+    with ThreadPool(min(len(jobs), PARALLEL_FITS) or 1) as pool:
+        return pool.map(lambda job: job(), jobs)
+
+
 def train_cells(corpus: DataFrame, nlist: int, metric: str = "cosine", seed: int = 42) -> Matrices:
     """Centroids per bundle. One fit per bundle, each a distributed job over its
     whole corpus; only the centroids come back."""
     ready = prepared(corpus, metric).persist(StorageLevel.MEMORY_AND_DISK)
-    out = {}
-    for dataset, lang, n in bundles_of(ready):
+    bundles = bundles_of(ready)
+
+    def fit(dataset: str, lang: str, n: int) -> np.ndarray:
         own = ready.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
         k = cell_count(nlist, n)
         if k > 1:
-            out[dataset, lang] = kmeans(own, k, seed)
-        else:
-            mean = own.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("x"))
-            out[dataset, lang] = np.array([[r["x"] for r in mean.orderBy("i").collect()]])
+            return kmeans(own, k, seed)
+        mean = own.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("x"))
+        return np.array([[r["x"] for r in mean.orderBy("i").collect()]])
+
+    fitted = fit_all([partial(fit, *bundle) for bundle in bundles])
     ready.unpersist()
-    return out
+    return {bundle[:2]: centroids for bundle, centroids in zip(bundles, fitted)}
 
 
 def prepared(rows: DataFrame, metric: str) -> DataFrame:
@@ -177,20 +189,21 @@ def residuals(celled: DataFrame, centroids: Matrices) -> DataFrame:
 def train_codebooks(rest: DataFrame, m: int, seed: int = 42) -> dict[tuple[str, str], list[np.ndarray]]:
     """``m`` codebooks per bundle, each fitted on one slice of all residuals."""
     rest = rest.persist(StorageLevel.MEMORY_AND_DISK)
-    out = {}
-    for dataset, lang, n in bundles_of(rest):
-        own = rest.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
-        dim = own.select(F.size("embedding")).first()[0]
-        if dim % m:
-            raise ValueError(f"{dim} dimensions do not split into {m} sub-vectors")
-        pieces = own.withColumn("pieces", cut_vector(F.col("embedding"), m, dim // m))
-        out[dataset, lang] = [
-            kmeans(pieces.select(F.col("pieces")[i].alias("embedding")), min(CODES, n), seed) if n > 1
-            else np.array(pieces.select(F.col("pieces")[i]).first()[0])[None, :]
-            for i in range(m)
-        ]
+    bundles = bundles_of(rest)
+    dim = rest.agg(F.max(F.size("embedding"))).first()[0] or 0
+    if dim % m:
+        raise ValueError(f"{dim} dimensions do not split into {m} sub-vectors")
+    pieces = rest.withColumn("pieces", cut_vector(F.col("embedding"), m, dim // m))
+
+    def fit(dataset: str, lang: str, n: int, piece: int) -> np.ndarray:
+        own = pieces.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
+        own = own.select(F.col("pieces")[piece].alias("embedding"))
+        return kmeans(own, min(CODES, n), seed) if n > 1 else np.array(own.first()[0])[None, :]
+
+    fitted = iter(fit_all([partial(fit, *bundle, piece) for bundle in bundles for piece in range(m)]))
+    books = {bundle[:2]: [next(fitted) for _ in range(m)] for bundle in bundles}
     rest.unpersist()
-    return out
+    return books
 
 
 def with_codes(rest: DataFrame, codebooks: dict) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from negsift.functions.vectors import bucket_counts, cut_vector, token_buckets
+from negsift.functions.vectors import cut_vector, hashed_counts
+from negsift.operators.spread import spread_small
 from negsift.schema import KEYS
 
 VECTOR = T.ArrayType(T.FloatType())
@@ -17,7 +18,7 @@ def hashed_encoder(dim: int = 256, max_tokens: int = 0) -> Callable[[DataFrame,
     """Hashed bag of words. ``max_tokens > 0`` is the token limit of the model."""
 
     def encode(rows: DataFrame, text: str) -> DataFrame:
-        return rows.withColumn("embedding", bucket_counts(token_buckets(F.col(text), dim, max_tokens), dim))
+        return spread_small(rows).withColumn("embedding", hashed_counts(F.col(text), dim, max_tokens))
 
     return encode
 
@@ -28,7 +29,7 @@ def model_encoder(make_predict: Callable, batch_size: int = 32) -> Callable[[Dat
 
     def encode(rows: DataFrame, text: str) -> DataFrame:
         predict = predict_batch_udf(make_predict, return_type=VECTOR, batch_size=batch_size)
-        return rows.withColumn("embedding", predict(F.col(text)))
+        return spread_small(rows).withColumn("embedding", predict(F.col(text)))
 
     return encode
 

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from negsift.operators.cells import Matrices, nearest_cells, train_cells
-from negsift.operators.scorers import CentroidMaxSim, MaxSim
+from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged
 from negsift.operators.topk import best, topk
 from negsift.schema import KEYS, SCORE_PLACES
 
@@ -41,15 +42,14 @@ def document_codes(corpus: DataFrame, centroids: Matrices) -> DataFrame:
     return corpus.select(*KEYS, "document_id", assign("dataset", "lang", "tokens").alias("codes"))
 
 
-@F.pandas_udf(T.DoubleType())
-def _pair_maxsim(query: pd.Series, document: pd.Series) -> pd.Series:
-    def one(q, d):
-        if not len(q) or not len(d):
-            return 0.0
-        sims = np.stack(q).astype(np.float64) @ np.stack(d).astype(np.float64).T
-        return round(float(sims.max(axis=1).sum()), SCORE_PLACES) + 0.0
-
-    return pd.Series([one(q, d) for q, d in zip(query, document)], dtype="float64")
+@F.arrow_udf(T.DoubleType())
+def _pair_maxsim(queries: pa.Array, documents: pa.Array) -> pa.Array:
+    q, d = Ragged(pa.chunked_array([queries])), Ragged(pa.chunked_array([documents]))
+    out = np.zeros(len(queries))
+    for i in np.flatnonzero((q.counts > 0) & (d.counts > 0)):
+        sims = q.tokens[q.starts[i] : q.starts[i + 1]] @ d.tokens[d.starts[i] : d.starts[i + 1]].T
+        out[i] = sims.max(axis=1).sum()
+    return pa.array(np.round(out, SCORE_PLACES) + 0.0)
 
 
 def plaid_topk(

@@ -65,6 +65,7 @@ def retrieve(
     """
     if encode is not None:
         queries, corpus = encode(queries, "query"), encode(corpus, "document")
+        search = {"spread": False, **search}  # the encoder has spread a small corpus
     if architecture == "single_vector":
         return knn(queries, corpus, k, **search)
     if architecture == "late_interaction":

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from negsift.operators.spread import spread_small
 from negsift.schema import KEYS, SCORE_PLACES
 
 BROADCAST_BYTES = 256 << 20
@@ -43,6 +44,7 @@ def topk(
     broadcast_bytes: int = BROADCAST_BYTES,
     doc_block: int = DOC_BLOCK,
     query_block: int = QUERY_BLOCK,
+    spread: bool = True,
 ) -> DataFrame:
     """Hits ``dataset, lang, query_id, document_id, score, rank`` of two tables.
 
@@ -55,7 +57,7 @@ def topk(
         form = "broadcast" if _bytes(queries) <= broadcast_bytes else "blocks"
     search = _Search(scorer, k, keys, ascending, doc_block, _schema_of(queries, keys))
     if form == "broadcast":
-        found = _against_broadcast(queries, docs, search)
+        found = _against_broadcast(queries, spread_small(docs) if spread else docs, search)
     elif form == "blocks":
         found = _against_blocks(queries, docs, search, doc_block, query_block)
     else:
@@ -114,7 +116,7 @@ class _Search:
             stop = min(start + step, left.num_rows)
             scores = np.round(self.scorer.score(q, start, stop, d), SCORE_PLACES) + 0.0
             row, col = self._select(scores)
-            columns = [pa.array([value] * len(row)) for value in key[: len(KEYS)]]
+            columns = [pa.repeat(value, len(row)) for value in key[: len(KEYS)]]
             columns += [query_ids.take(pa.array(row + start)), doc_ids.take(pa.array(col)), pa.array(scores[row, col])]
             yield pa.RecordBatch.from_arrays(columns, names=[*KEYS, "query_id", "document_id", "score"])
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from negsift.functions.vectors import bucket_counts, l2_normalize
+from negsift.functions.vectors import hashed_counts, l2_normalize
 from negsift.operators import cells, encode, late
 from negsift.operators.retrieve import knn, recall, retrieve
 from negsift.schema import KEYS
@@ -190,11 +190,21 @@ def test_normalize(spark):
     assert row["a"] == [0.6, 0.8] and row["z"] == [0.0, 0.0]
 
 
-def test_bucket_counts_of_nothing(spark):
-    rows = spark.createDataFrame([([1, 1, 3],), ([],), (None,)], "b array<int>")
-    assert as_set(rows.select(F.array_join(bucket_counts(F.col("b"), 4).cast("array<int>"), " ").alias("v")), "v") == {
-        ("0 2 0 1",), ("0 0 0 0",),
-    }
+def test_hashed_counts(spark):
+    import hashlib
+
+    texts = ["The  the cat\n", "", None, " \t", "a b c d a", "É é"]
+    bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:4], 16) % 8
+    for limit in (0, 1, 2, 4):
+        want = {}
+        for i, text in enumerate(texts):
+            row = [0.0] * 8
+            words = (text or "").lower().split()
+            for word in words[:limit] if limit else words:
+                row[bucket(word)] += 1
+            want[i] = row
+        rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+        assert {r["i"]: r["v"] for r in rows.select("i", hashed_counts(F.col("t"), 8, limit).alias("v")).collect()} == want
 
 
 def test_job_retriever_is_pluggable(spark, tmp_path):
