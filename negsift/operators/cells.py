@@ -7,15 +7,15 @@ from functools import partial
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from negsift.functions.vectors import cut_vector, l2_normalize
-from negsift.operators.scorers import Dense, ProductCodes, check_metric, inner_or_distance
+from negsift.operators.scorers import Dense, ProductCodes, check_metric, inner_or_distance, matrix, unit
 from negsift.operators.topk import topk
 from negsift.schema import KEYS
 
@@ -26,6 +26,8 @@ CODES = 256
 
 PARALLEL_FITS = 8
 
+INTS = T.ArrayType(T.IntegerType())
+
 
 def bundles_of(rows: DataFrame) -> list[tuple[str, str, int]]:
     """Name and size of each bundle: as many rows as the run has languages."""
@@ -67,8 +69,12 @@ def train_cells(corpus: DataFrame, nlist: int, metric: str = "cosine", seed: int
     return {bundle[:2]: centroids for bundle, centroids in zip(bundles, fitted)}
 
 
+def as_indexed(block: np.ndarray, metric: str) -> np.ndarray:
+    return unit(block) if check_metric(metric) == "cosine" else block
+
+
 def prepared(rows: DataFrame, metric: str) -> DataFrame:
-    """Vectors as the index sees them: unit length for cosine."""
+    """The same as a column: unit length for cosine."""
     check_metric(metric)
     vector = l2_normalize(F.col("embedding")) if metric == "cosine" else F.col("embedding").cast("array<double>")
     return rows.withColumn("embedding", vector)
@@ -82,30 +88,39 @@ def nearest_cells(rows: DataFrame, centroids: Matrices, n: int, metric: str) ->
     """
     shared = rows.sparkSession.sparkContext.broadcast(centroids)
 
-    @F.pandas_udf("array<int>")
-    def assign(dataset: pd.Series, lang: pd.Series, vectors: pd.Series) -> pd.Series:
-        out = [None] * len(vectors)
-        for key, at in pd.DataFrame({"a": dataset, "b": lang}).groupby(["a", "b"]).indices.items():
-            block = np.stack([vectors.iloc[i] for i in at]).astype(np.float64)
-            near = inner_or_distance(block, shared.value[key], metric)
-            order = np.argsort(near if metric == "l2" else -near, axis=1, kind="stable")[:, :n]
-            for i, cells in zip(at, order):
-                out[i] = cells.astype(np.int32)
-        return pd.Series(out)
+    @F.arrow_udf(INTS)
+    def assign(dataset: pa.Array, lang: pa.Array, vectors: pa.Array) -> pa.Array:
+        def nearest(key, block):
+            near = inner_or_distance(as_indexed(block, metric), shared.value[key], metric)
+            return np.argsort(near if metric == "l2" else -near, axis=1, kind="stable")[:, :n]
+
+        return _per_bundle(dataset, lang, vectors, nearest)
 
-    return assign("dataset", "lang", "embedding")
+    # So marked, the cells are computed once and not again in the null check that
+    # Spark derives from using them as a key.
+    return assign.asNondeterministic()("dataset", "lang", "embedding")
+
+
+def _per_bundle(dataset: pa.Array, lang: pa.Array, vectors: pa.Array, work) -> pa.Array:
+    """``work(bundle, matrix)`` gives a row of ints per vector; back in row order."""
+    out: list = [None] * len(vectors)
+    bundles = pa.table({"a": dataset, "b": lang}).to_pandas().groupby(["a", "b"]).indices
+    for key, at in bundles.items():
+        for i, row in zip(at, work(key, matrix(pa.chunked_array([vectors.take(pa.array(at))])))):
+            out[i] = row
+    return pa.array(out, pa.list_(pa.int32()))
 
 
 def with_cell(corpus: DataFrame, centroids: Matrices, metric: str = "cosine") -> DataFrame:
     """The corpus with the ``cell`` of each document."""
-    ready = prepared(corpus, metric)
-    return ready.withColumn("cell", nearest_cells(ready, centroids, 1, metric)[0])
+    near = corpus.withColumn("cells", nearest_cells(corpus, centroids, 1, metric))
+    return near.withColumn("cell", F.col("cells")[0]).drop("cells")
 
 
 def probes(queries: DataFrame, centroids: Matrices, nprobe: int, metric: str = "cosine") -> DataFrame:
     """One row per query and cell to search."""
-    ready = prepared(queries, metric)
-    return ready.withColumn("cell", F.explode(nearest_cells(ready, centroids, nprobe, metric)))
+    near = queries.withColumn("cells", nearest_cells(queries, centroids, nprobe, metric))
+    return near.withColumn("cell", F.explode("cells")).drop("cells")
 
 
 def ivf_topk(
@@ -173,15 +188,17 @@ def load_index(spark, path: str) -> tuple[DataFrame, Matrices]:
 # --- product quantisation --------------------------------------------------------
 
 
-def residuals(celled: DataFrame, centroids: Matrices) -> DataFrame:
+def residuals(celled: DataFrame, centroids: Matrices, metric: str = "cosine") -> DataFrame:
     """``embedding`` minus the centroid of its cell."""
     shared = celled.sparkSession.sparkContext.broadcast(centroids)
 
-    @F.pandas_udf("array<double>")
-    def rest(dataset: pd.Series, lang: pd.Series, cell: pd.Series, vectors: pd.Series) -> pd.Series:
-        return pd.Series(
-            [np.asarray(v) - shared.value[d, l][c] for d, l, c, v in zip(dataset, lang, cell, vectors)]
-        )
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def rest(dataset: pa.Array, lang: pa.Array, cell: pa.Array, vectors: pa.Array) -> pa.Array:
+        block = as_indexed(matrix(pa.chunked_array([vectors])), metric)
+        keys = zip(dataset.to_pylist(), lang.to_pylist(), cell.to_pylist())
+        block = block - np.array([shared.value[d, l][c] for d, l, c in keys])
+        offsets = np.arange(len(block) + 1, dtype=np.int32) * block.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(block.ravel()))
 
     return celled.withColumn("embedding", rest("dataset", "lang", "cell", "embedding"))
 
@@ -210,18 +227,14 @@ def with_codes(rest: DataFrame, codebooks: dict) -> DataFrame:
     """Residuals replaced by one code per sub-vector."""
     shared = rest.sparkSession.sparkContext.broadcast(codebooks)
 
-    @F.pandas_udf("array<int>")
-    def encode(dataset: pd.Series, lang: pd.Series, vectors: pd.Series) -> pd.Series:
-        out = [None] * len(vectors)
-        for key, at in pd.DataFrame({"a": dataset, "b": lang}).groupby(["a", "b"]).indices.items():
+    @F.arrow_udf(INTS)
+    def encode(dataset: pa.Array, lang: pa.Array, vectors: pa.Array) -> pa.Array:
+        def codes(key, block):
             books = shared.value[key]
-            block = np.stack([vectors.iloc[i] for i in at])
-            codes = np.stack(
-                [inner_or_distance(p, b, "l2").argmin(1) for p, b in zip(np.split(block, len(books), 1), books)], 1
-            )
-            for i, code in zip(at, codes):
-                out[i] = code.astype(np.int32)
-        return pd.Series(out)
+            pieces = zip(np.split(block, len(books), axis=1), books)
+            return np.stack([inner_or_distance(piece, book, "l2").argmin(1) for piece, book in pieces], axis=1)
+
+        return _per_bundle(dataset, lang, vectors, codes)
 
     return rest.withColumn("codes", encode("dataset", "lang", "embedding")).drop("embedding")
 
@@ -239,7 +252,7 @@ def ivfpq_topk(
 ) -> DataFrame:
     """Search over codes: scores are sums of table lookups, not exact products."""
     centroids = train_cells(corpus, nlist, metric, seed)
-    rest = residuals(with_cell(corpus, centroids, metric), centroids)
+    rest = residuals(with_cell(corpus, centroids, metric), centroids, metric)
     codebooks = train_codebooks(rest, m, seed)
     context = corpus.sparkSession.sparkContext
     scorer = ProductCodes(metric, context.broadcast(centroids), context.broadcast(codebooks))

@@ -6,11 +6,10 @@ Both tables hold ``tokens``, an array of vectors per text.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from negsift.operators.cells import Matrices, nearest_cells, train_cells
+from negsift.operators.cells import INTS, Matrices, nearest_cells, train_cells
 from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged
 from negsift.operators.topk import best, topk
 from negsift.schema import KEYS, SCORE_PLACES
@@ -29,17 +28,16 @@ def document_codes(corpus: DataFrame, centroids: Matrices) -> DataFrame:
     """``codes``, the centroid of each token of each document."""
     shared = corpus.sparkSession.sparkContext.broadcast(centroids)
 
-    @F.pandas_udf("array<int>")
-    def assign(dataset: pd.Series, lang: pd.Series, texts: pd.Series) -> pd.Series:
-        out = []
-        for d, l, tokens in zip(dataset, lang, texts):
-            if tokens is None or not len(tokens):
-                out.append(np.array([], dtype=np.int32))
-                continue
-            out.append((np.stack(tokens).astype(np.float64) @ shared.value[d, l].T).argmax(1).astype(np.int32))
-        return pd.Series(out)
+    @F.arrow_udf(INTS)
+    def assign(dataset: pa.Array, lang: pa.Array, texts: pa.Array) -> pa.Array:
+        ragged = Ragged(pa.chunked_array([texts]))
+        out = [
+            (ragged.tokens[lo:hi] @ shared.value[d, l].T).argmax(1) if hi > lo else []
+            for d, l, lo, hi in zip(dataset.to_pylist(), lang.to_pylist(), ragged.starts[:-1], ragged.starts[1:])
+        ]
+        return pa.array(out, pa.list_(pa.int32()))
 
-    return corpus.select(*KEYS, "document_id", assign("dataset", "lang", "tokens").alias("codes"))
+    return corpus.select(*KEYS, "document_id", assign.asNondeterministic()("dataset", "lang", "tokens").alias("codes"))
 
 
 @F.arrow_udf(T.DoubleType())
@@ -76,8 +74,9 @@ def plaid_topk(
     if centroids is None:
         centroids = train_cells(_each_token(corpus, "document_id"), nlist, "ip", seed)
     tokens = _each_token(queries, "query_id")
+    near = tokens.withColumn("cells", nearest_cells(tokens, centroids, nprobe, "ip"))
     probe = (
-        tokens.select(*KEYS, "query_id", F.explode(nearest_cells(tokens, centroids, nprobe, "ip")).alias("cell"))
+        near.select(*KEYS, "query_id", F.explode("cells").alias("cell"))
         .distinct()
         .join(queries.select(*KEYS, "query_id", "tokens"), [*KEYS, "query_id"])
     )

@@ -104,33 +104,50 @@ class _Search:
         self.scorer, self.k, self.keys = scorer, k, keys
         self.ascending, self.doc_block, self.schema = ascending, doc_block, schema
 
-    def run(self, key: tuple, left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
-        """Score all ``left`` queries against all ``right`` documents of one key."""
+    def run(self, key: tuple, left: pa.Table, right: pa.Table, kept: dict | None = None) -> Iterator[pa.RecordBatch]:
+        """Score all ``left`` queries against all ``right`` documents of one key.
+
+        A task that scores several chunks for the same queries passes ``kept``,
+        the best k scores so far. Rows below the k-th of them cannot be among the
+        best and stay in the task, so what it emits grows with the logarithm of
+        its chunks. Ties with the k-th go out, the final ranking decides on them.
+        """
         if left.num_rows == 0 or right.num_rows == 0:
             return
         right = right.sort_by("document_id")
         query_ids, doc_ids = left["query_id"].combine_chunks(), right["document_id"].combine_chunks()
         q, d = self.scorer.queries(left, key), self.scorer.docs(right, key)
         step = max(1, _MATRIX_CELLS // max(right.num_rows, 1))
+        if kept is not None and key not in kept:
+            kept[key] = np.full((left.num_rows, self.k), -np.inf)
         for start in range(0, left.num_rows, step):
             stop = min(start + step, left.num_rows)
             scores = np.round(self.scorer.score(q, start, stop, d), SCORE_PLACES) + 0.0
-            row, col = self._select(scores)
+            signed = -scores if self.ascending else scores
+            chosen, top = self._select(signed)
+            if kept is not None:
+                before = kept[key][start:stop]
+                chosen &= signed >= before.min(axis=1, keepdims=True)
+                kept[key][start:stop] = np.partition(np.hstack([before, top]), -self.k, axis=1)[:, -self.k :]
+            row, col = np.nonzero(chosen)
             columns = [pa.repeat(value, len(row)) for value in key[: len(KEYS)]]
             columns += [query_ids.take(pa.array(row + start)), doc_ids.take(pa.array(col)), pa.array(scores[row, col])]
             yield pa.RecordBatch.from_arrays(columns, names=[*KEYS, "query_id", "document_id", "score"])
 
-    def _select(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row and column of the best k per row; columns are in id order, so among
-        equal scores at the boundary the first columns win."""
-        if scores.shape[1] <= self.k:
-            return np.nonzero(np.ones(scores.shape, dtype=bool))
-        signed = -scores if self.ascending else scores
-        bound = np.partition(signed, -self.k, axis=1)[:, -self.k][:, None]
+    def _select(self, signed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which cells hold the best k of their row, and the scores in them.
+
+        Columns are in id order, so among equal scores at the boundary the first
+        columns win.
+        """
+        if signed.shape[1] <= self.k:
+            return np.ones(signed.shape, dtype=bool), signed
+        top = np.partition(signed, -self.k, axis=1)[:, -self.k :]
+        bound = top.min(axis=1, keepdims=True)
         above = signed > bound
         tied = signed == bound
         room = self.k - above.sum(axis=1, keepdims=True)
-        return np.nonzero(above | (tied & (np.cumsum(tied, axis=1) <= room)))
+        return above | (tied & (np.cumsum(tied, axis=1) <= room)), top
 
 
 def _groups(table: pa.Table, keys: list[str]):
@@ -146,20 +163,20 @@ def _against_broadcast(queries: DataFrame, docs: DataFrame, search: _Search) ->
     shared = queries.sparkSession.sparkContext.broadcast(by_key)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held, rows, kept = [], 0, {}
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
             if rows >= search.doc_block:
-                yield from score(held)
+                yield from score(held, kept)
                 held, rows = [], 0
         if held:
-            yield from score(held)
+            yield from score(held, kept)
 
-    def score(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(held: list[pa.RecordBatch], kept: dict) -> Iterator[pa.RecordBatch]:
         for key, part in _groups(pa.Table.from_batches(held), search.keys):
             if key in shared.value:
-                yield from search.run(key, shared.value[key], part)
+                yield from search.run(key, shared.value[key], part, kept)
 
     return docs.mapInArrow(scan, search.schema)
 
