@@ -84,15 +84,24 @@ def containing(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of a benchmark item and a document that contains it.
 
     Whatever contains a text contains its inner words as whole words, so the two
-    tables meet on the longest inner word and only those pairs are compared.
+    tables meet on the longest inner word of each item. Words travel with ids
+    only; the texts join the few pairs that are left, and are compared in whole.
     """
     words = lambda c: F.split(c, " ")
-    items = table(spark, sf, "benchmark").withColumn("inner", F.slice(words("text"), 2, F.size(words("text")) - 2))
-    longest = F.array_max(F.transform("inner", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    documents, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    inner = F.slice(words("text"), 2, F.size(words("text")) - 2)
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     anchor = F.coalesce(longest, F.raise_error(F.lit("a benchmark item needs three words")).cast("string"))
-    items = items.select("item_id", F.col("text").alias("item"), anchor.alias("word"))
-    docs = table(spark, sf, "documents").select("doc_id", "text", F.explode(F.array_distinct(words("text"))).alias("word"))
-    return docs.join(items, "word").filter(F.contains("text", F.col("item"))).select("item_id", "doc_id")
+    anchors = items.select("item_id", anchor.alias("word"))
+    held = documents.select("doc_id", F.explode(F.array_distinct(words("text"))).alias("word"))
+    return (
+        held.join(anchors, "word")
+        .select("item_id", "doc_id")
+        .join(items.select("item_id", F.col("text").alias("item")), "item_id")
+        .join(documents.select("doc_id", "text"), "doc_id")
+        .filter(F.contains("text", F.col("item")))
+        .select("item_id", "doc_id")
+    )
 
 
 def beir_qrel_rows(spark: SparkSession, sf: str) -> DataFrame:

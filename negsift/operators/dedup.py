@@ -13,16 +13,24 @@ from pyspark.sql import DataFrame, functions as F
 from negsift.functions.text import text_key
 from negsift.operators.skew import HOT_ROWS, hot_keys, lookup
 from negsift.schema import Bundle, KEYS
+from negsift.session import stored
 
 
-def _keyed(corpus: DataFrame, keys: list[str]) -> DataFrame:
+def text_keys(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Id, position and text digest of each document: all that dedup needs.
+
+    Every function here takes this table in place of the corpus as well. Store it
+    when several of them are called, so that the texts are read once.
+    """
+    if "text_key" in corpus.columns:
+        return corpus
     return corpus.select(*keys, "document_id", "pos", text_key(F.col("document")).alias("text_key"))
 
 
 def canonical_ids(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Per distinct text: the first-seen id, its position and the number of copies."""
     return (
-        _keyed(corpus, keys)
+        text_keys(corpus, keys)
         .groupBy(*keys, "text_key")
         .agg(
             F.min_by("document_id", "pos").alias("canonical_id"),
@@ -33,12 +41,14 @@ def canonical_ids(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 
 def _with_canonical(corpus: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    # Both sides of the lookup keep the same columns, so that Spark plans the
+    # grouping once and reuses its exchange.
     canonical = canonical_ids(corpus, keys)
     return lookup(
-        _keyed(corpus, keys),
-        canonical.drop("copies"),
+        text_keys(corpus, keys),
+        canonical,
         [*keys, "text_key"],
-        canonical.filter(F.col("copies") >= hot_rows).drop("copies"),
+        canonical.filter(F.col("copies") >= hot_rows),
         spread=F.encode(F.concat(F.lit("row "), F.col("pos").cast("string")), "utf-8"),
     )
 
@@ -55,15 +65,16 @@ def id_map(corpus: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS)
     )
 
 
-def dedup_corpus(corpus: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dedup_corpus(
+    corpus: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS, digests: DataFrame | None = None
+) -> DataFrame:
     """The first row of each text, as it is.
 
     Written as "all rows but the later copies": the copies are few and only ids,
     so the join is usually a broadcast and the bodies do not move.
     """
-    later = (
-        _with_canonical(corpus, keys, hot_rows).filter(F.col("pos") > F.col("first_pos")).select(*keys, "pos")
-    )
+    known = _with_canonical(corpus if digests is None else digests, keys, hot_rows)
+    later = known.filter(F.col("pos") > F.col("first_pos")).select(*keys, "pos")
     return corpus.join(later, [*keys, "pos"], "left_anti")
 
 
@@ -80,10 +91,12 @@ def remap_qrels(qrels: DataFrame, mapping: DataFrame, keys: list[str] = KEYS, ho
 
 
 def dedup_bundle(bundle: Bundle, hot_rows: int = HOT_ROWS) -> Bundle:
+    """Corpus and judgements without copies. The digests are written once for both."""
+    digests = stored(text_keys(bundle.corpus), "text-keys")
     return Bundle(
         bundle.queries,
-        dedup_corpus(bundle.corpus, hot_rows=hot_rows),
-        remap_qrels(bundle.qrels, id_map(bundle.corpus, hot_rows=hot_rows), hot_rows=hot_rows),
+        dedup_corpus(bundle.corpus, hot_rows=hot_rows, digests=digests),
+        remap_qrels(bundle.qrels, id_map(digests, hot_rows=hot_rows), hot_rows=hot_rows),
     )
 
 
@@ -145,7 +158,7 @@ def dedup_report(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 def corpus_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Ids that stand for more than one text."""
     return (
-        _keyed(corpus, keys)
+        text_keys(corpus, keys)
         .groupBy(*keys, "document_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*keys, "document_id")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("rows"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from negsift.operators.mine import QUERY
+from negsift.operators.mine import PAIR, QUERY
 from negsift.operators.sample import sample
 from negsift.operators.skew import HOT_ROWS, hot_keys, lookup
 from negsift.schema import KEYS
@@ -53,21 +53,25 @@ def kd_documents(corpus: DataFrame, entries: DataFrame) -> DataFrame:
 # --- contrastive -----------------------------------------------------------------
 
 
-def valid_results(entries: DataFrame, metric: str = "cosine") -> DataFrame:
-    """Queries with at least two entries whose first one was retrieved.
+def _first_is_good(metric: str) -> Column:
+    """Whether a first entry makes its query usable.
 
     For similarities the test is ``score > 0``, which also drops a retrieved
     positive that is not similar at all. For ``l2`` it is the retrieval itself,
     because 0 is the best distance there.
     """
-    first = F.col("place") == 1
     good = F.col("retrieved") if metric == "l2" else F.col("score") > 0
+    return F.when(F.col("place") == 1, good)
+
+
+def valid_results(entries: DataFrame, metric: str = "cosine") -> DataFrame:
+    """Queries with at least two entries whose first one is good."""
     return (
         entries.groupBy(*QUERY)
         .agg(
             F.count(F.lit(1)).alias("entries"),
-            F.max(F.when(first, F.col("score"))).alias("positive_score"),
-            F.max(F.when(first, good)).alias("good"),
+            F.max(F.when(F.col("place") == 1, F.col("score"))).alias("positive_score"),
+            F.max(_first_is_good(metric)).alias("good"),
         )
         .filter((F.col("entries") >= 2) & F.col("good"))
         .select(*QUERY, "entries", "positive_score")
@@ -97,27 +101,34 @@ def contrastive_long(
     With ``extra_positives="as_negatives"`` everything after the first entry
     counts as a negative, further positives included; ``"drop"`` leaves them out.
     Ids are chosen and numbered first and texts joined last, so bodies are moved
-    for the kept entries only. Only an unretrieved positive can be absent from
-    the corpus; such entries go before the numbering.
+    for the kept entries only. Validity and numbering share one exchange on the
+    query. Only an unretrieved positive can be absent from the corpus; such
+    entries get no number.
     """
     if extra_positives not in (AS_NEGATIVES, DROP):
         raise ValueError(f"unknown extra_positives: {extra_positives}")
     on = [*KEYS, "document_id"]
-    chosen = sample(valid_results(entries, metric).select(*QUERY), limit, seed, "query_id")
-    kept = entries.join(chosen, QUERY, "left_semi")
-    after = kept.filter("place > 1")
+    unsure = entries.filter((F.col("place") > 1) & ~F.col("retrieved")).select(*PAIR)
+    absent = unsure.join(corpus.select(*on), on, "left_anti").withColumn("absent", F.lit(True))
+    of_query = W.partitionBy(*QUERY)
+    counted = (F.col("place") > 1) & F.col("absent").isNull()
     if extra_positives == DROP:
-        after = after.filter(~F.col("is_pos"))
-    present = after.filter("retrieved").unionByName(
-        after.filter(~F.col("retrieved")).join(corpus.select(*on), on, "left_semi")
-    )
+        counted = counted & ~F.col("is_pos")
+    running = of_query.orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)
     numbered = (
-        present.withColumn("ordinal", F.row_number().over(W.partitionBy(*QUERY).orderBy("place")) - 1)
-        .filter(F.col("ordinal") < num_negatives)
+        entries.join(absent, PAIR, "left")
+        .withColumn("entries", F.count(F.lit(1)).over(of_query))
+        .withColumn("good", F.max(_first_is_good(metric)).over(of_query))
+        .filter((F.col("entries") >= 2) & F.col("good"))
+        .withColumn("counted", counted)
+        .withColumn("ordinal", F.when(F.col("place") == 1, -1).otherwise(F.count_if("counted").over(running) - 1).cast("int"))
+        .filter(((F.col("place") == 1) | F.col("counted")) & (F.col("ordinal") < num_negatives))
+        .select(*PAIR, "ordinal", "score", "is_pos")
     )
-    heads = kept.filter("place = 1").withColumn("ordinal", F.lit(-1))
-    columns = [*QUERY, "document_id", "ordinal", "score", "is_pos"]
-    return _attach(heads.select(*columns).unionByName(numbered.select(*columns)), corpus, "document_id", "document", hot_rows)
+    if limit:
+        chosen = sample(valid_results(entries, metric).select(*QUERY), limit, seed, "query_id")
+        numbered = numbered.join(chosen, QUERY, "left_semi")
+    return _attach(numbered, corpus, "document_id", "document", hot_rows)
 
 
 def threshold(long: DataFrame, ratio: float) -> DataFrame:

@@ -10,6 +10,8 @@ from negsift.operators.cells import ivf_topk, ivfpq_topk, lsh_topk, train_cells,
 from negsift.operators.late import maxsim_topk, plaid_topk
 from negsift.operators.scorers import Dense
 from negsift.operators.topk import topk
+from negsift.schema import KEYS
+from negsift.session import stored
 
 # Names of the index kinds and of the retrieval architectures.
 METHODS = ("flat", "ivf", "ivfpq", "hnsw")
@@ -65,6 +67,11 @@ def retrieve(
     """
     if encode is not None:
         queries, corpus = encode(queries, "query"), encode(corpus, "document")
+        # Encoding is the costly step and several passes follow: the vectors of the
+        # queries, and of a corpus that gets an index, are written once.
+        queries = stored(_vectors(queries, "query_id"), "query-vectors")
+        if search.get("method", "flat") != "flat" or architecture == "late_interaction":
+            corpus = stored(_vectors(corpus, "document_id"), "document-vectors")
         search = {"spread": False, **search}  # the encoder has spread a small corpus
     if architecture == "single_vector":
         return knn(queries, corpus, k, **search)
@@ -74,13 +81,18 @@ def retrieve(
     raise ValueError(f"unknown architecture: {architecture}")
 
 
+def _vectors(rows: DataFrame, id_col: str) -> DataFrame:
+    payload = [c for c in ("embedding", "tokens") if c in rows.columns]
+    return rows.select(*KEYS, id_col, *payload)
+
+
 def recall(hits: DataFrame, exact: DataFrame, k: int) -> DataFrame:
     """Share of each bundle's exact top ``k`` that ``hits`` holds."""
-    keys = ["dataset", "lang", "query_id", "document_id"]
+    keys = [*KEYS, "query_id", "document_id"]
     got = hits.filter(F.col("rank") <= k).select(*keys, F.lit(1).alias("hit"))
     return (
         exact.filter(F.col("rank") <= k)
         .join(got, keys, "left")
-        .groupBy("dataset", "lang")
+        .groupBy(*KEYS)
         .agg((F.count("hit") / F.count(F.lit(1))).alias("recall"), F.count(F.lit(1)).alias("wanted"))
     )

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from negsift.operators.dedup import dedup_corpus, dedup_report, id_map, remap_scores
+from negsift.operators.dedup import dedup_corpus, dedup_report, id_map, remap_scores, text_keys
 from negsift.plans.job import replace_parts
 from negsift.schema import KEYS
 from negsift.session import stored
@@ -75,15 +75,17 @@ def _process(spark: SparkSession, root: str, out: str, targets: list[str], dry_r
         return reduce(lambda a, b: a.unionByName(b), [read_subset(spark, root, subset, t) for t in targets])
 
     documents, scores = every("documents"), every("scores")
-    report = stored(dedup_report(documents, TARGET), "dedup-report")
+    digests = stored(text_keys(documents, TARGET), "text-keys")
+    report = stored(dedup_report(digests, TARGET), "dedup-report")
     # At most one row per target and bundle.
     changed = F.broadcast(report.filter("removed > 0").select(*TARGET))
     if not dry_run and report.filter("removed > 0").limit(1).count():
         documents = documents.join(changed, TARGET, "left_semi")
         scores = scores.join(changed, TARGET, "left_semi")
-        mapping = id_map(documents, TARGET)
+        digests = digests.join(changed, TARGET, "left_semi")
+        mapping = id_map(digests, TARGET)
         for subset, rows in (
-            ("documents", dedup_corpus(documents, TARGET)),
+            ("documents", dedup_corpus(documents, TARGET, digests=digests)),
             ("scores", remap_scores(scores, mapping, TARGET)),
         ):
             rows = rows.withColumn("config", F.concat(F.lit(f"{subset}_"), "target"))

@@ -49,6 +49,18 @@ def test_both_forms_equal_brute_force(spark, metric):
     assert _ranks(knn(queries.repartition(3), corpus.repartition(6), 15, metric, broadcast_bytes=0)) == want
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_many_chunks_in_one_task(spark, metric):
+    """Later chunks send only what can still be among the best."""
+    q, d, queries, corpus = _data(spark, nd=400)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "25")
+    try:
+        hits = knn(queries, corpus.coalesce(1), 6, metric, form="broadcast", doc_block=25)
+        assert _ranks(hits) == _brute(q, d, 6, metric)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_fewer_documents_than_k(spark):
     q, d, queries, corpus = _data(spark, 3, 25)
     for form in ("broadcast", "blocks"):
