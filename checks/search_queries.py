@@ -207,8 +207,8 @@ def ivf_saved_roundtrip(spark, sf):
     queries, corpus, _ = t.vec(spark, sf)
     path = scratch_path(spark, "index")
     centroids = cells.train_cells(corpus, NLIST)
-    cells.save_index(cells.with_cell(corpus, centroids).select(*KEYS, "cell", "document_id", "embedding"), centroids, path)
-    celled, read = cells.load_index(spark, path)
+    cells.save_index(cells.with_cell(corpus, centroids), centroids, path)
+    celled, read, _ = cells.load_index(spark, path)
     return rounded(cells.ivf_topk(queries, celled, read, K, nprobe=NLIST))
 
 

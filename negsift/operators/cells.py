@@ -147,21 +147,27 @@ def ivf_topk(
 # --- saved index -----------------------------------------------------------------
 
 
-def save_index(celled: DataFrame, centroids: Matrices, path: str, rows_per_file: int = 200_000) -> None:
-    """Centroids and the celled corpus as Parquet, one folder per cell.
-
-    A cell is written by as many tasks as it has files' worth of rows, so a large
-    cell is neither one task nor one file.
+def save_index(
+    celled: DataFrame,
+    centroids: Matrices,
+    path: str,
+    codebooks: dict[tuple[str, str], list[np.ndarray]] | None = None,
+    rows_per_file: int = 200_000,
+) -> None:
+    """Centroids, codebooks and the celled corpus as Parquet, one folder per cell.
+
+    ``celled`` holds ``embedding``, or ``codes`` with codebooks. A cell is written
+    by as many tasks as it has files' worth of rows, so a large cell is neither
+    one task nor one file.
     """
     spark = celled.sparkSession
-    rows = [
-        (dataset, lang, cell, [float(x) for x in vector])
-        for (dataset, lang), vectors in centroids.items()
-        for cell, vector in enumerate(vectors)
-    ]
-    spark.createDataFrame(rows, "dataset string, lang string, cell int, centroid array<double>").write.parquet(
-        os.path.join(path, "centroids")
-    )
+    rows = [(*key, -1, i, list(map(float, v))) for key, block in centroids.items() for i, v in enumerate(block)]
+    for key, books in (codebooks or {}).items():
+        rows += [(*key, piece, i, list(map(float, v))) for piece, book in enumerate(books) for i, v in enumerate(book)]
+    schema = "dataset string, lang string, piece int, i int, vector array<double>"
+    spark.createDataFrame(rows, schema).write.parquet(os.path.join(path, "vectors"))
+    payload = [c for c in ("embedding", "codes") if c in celled.columns]
+    celled = celled.select(*KEYS, "cell", "document_id", *payload)
     sizes = celled.groupBy(*KEYS, "cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_files"))
     part = F.pmod(F.xxhash64("document_id"), F.col("_files"))
     (
@@ -174,15 +180,18 @@ def save_index(celled: DataFrame, centroids: Matrices, path: str, rows_per_file:
     )
 
 
-def load_index(spark, path: str) -> tuple[DataFrame, Matrices]:
-    stored = spark.read.parquet(os.path.join(path, "centroids")).orderBy(*KEYS, "cell").collect()
-    grouped: dict[tuple[str, str], list] = {}
-    for row in stored:
-        grouped.setdefault((row["dataset"], row["lang"]), []).append(row["centroid"])
+def load_index(spark, path: str) -> tuple[DataFrame, Matrices, dict[tuple[str, str], list[np.ndarray]]]:
+    """Celled corpus, centroids and codebooks. Only the latter two, whose size is a
+    parameter of the index, come to the driver."""
+    stored: dict[int, Matrices] = {}
+    rows = spark.read.parquet(os.path.join(path, "vectors")).orderBy(*KEYS, "piece", "i").collect()
+    for row in rows:
+        stored.setdefault(row["piece"], {}).setdefault((row["dataset"], row["lang"]), []).append(row["vector"])
+    stored = {piece: {key: np.array(v) for key, v in blocks.items()} for piece, blocks in stored.items()}
     celled = spark.read.parquet(os.path.join(path, "cells"))
-    return celled.withColumns({c: F.col(c).cast("string") for c in KEYS}), {
-        key: np.array(vectors) for key, vectors in grouped.items()
-    }
+    centroids = stored.pop(-1)
+    codebooks = {key: [stored[piece][key] for piece in sorted(stored)] for key in centroids} if stored else {}
+    return celled.withColumns({c: F.col(c).cast("string") for c in KEYS}), centroids, codebooks
 
 
 # --- product quantisation --------------------------------------------------------
@@ -239,28 +248,33 @@ def with_codes(rest: DataFrame, codebooks: dict) -> DataFrame:
     return rest.withColumn("codes", encode("dataset", "lang", "embedding")).drop("embedding")
 
 
+def build_codes(
+    corpus: DataFrame, nlist: int = 100, m: int = 8, metric: str = "cosine", seed: int = 42
+) -> tuple[DataFrame, Matrices, dict]:
+    """Coded corpus, centroids and codebooks."""
+    centroids = train_cells(corpus, nlist, metric, seed)
+    rest = residuals(with_cell(corpus, centroids, metric), centroids, metric)
+    codebooks = train_codebooks(rest, m, seed)
+    return with_codes(rest, codebooks), centroids, codebooks
+
+
 def ivfpq_topk(
     queries: DataFrame,
-    corpus: DataFrame,
+    coded: DataFrame,
+    centroids: Matrices,
+    codebooks: dict,
     k: int,
-    nlist: int = 100,
     nprobe: int = 10,
-    m: int = 8,
     metric: str = "cosine",
-    seed: int = 42,
     **physical,
 ) -> DataFrame:
     """Search over codes: scores are sums of table lookups, not exact products."""
-    centroids = train_cells(corpus, nlist, metric, seed)
-    rest = residuals(with_cell(corpus, centroids, metric), centroids, metric)
-    codebooks = train_codebooks(rest, m, seed)
-    context = corpus.sparkSession.sparkContext
-    scorer = ProductCodes(metric, context.broadcast(centroids), context.broadcast(codebooks))
+    context = queries.sparkSession.sparkContext
     return topk(
         probes(queries, centroids, nprobe, metric),
-        with_codes(rest, codebooks),
+        coded,
         k,
-        scorer,
+        ProductCodes(metric, context.broadcast(centroids), context.broadcast(codebooks)),
         keys=[*KEYS, "cell"],
         ascending=metric == "l2",
         **physical,

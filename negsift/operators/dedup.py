@@ -166,13 +166,11 @@ def corpus_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
-def resolve_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def resolve_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per id: the last one in source order wins."""
-    last = corpus.groupBy(*keys, "document_id").agg(F.max("pos").alias("pos"), F.count(F.lit(1)).alias("n"))
-    stale = (
-        corpus.select(*keys, "document_id", "pos")
-        .join(last.filter("n > 1").withColumnRenamed("pos", "last_pos"), [*keys, "document_id"])
-        .filter(F.col("pos") < F.col("last_pos"))
-        .select(*keys, "pos")
-    )
+    on = [*keys, "document_id"]
+    last = corpus.groupBy(*on).agg(F.max("pos").alias("last_pos"), F.count(F.lit(1)).alias("n"))
+    spread = F.concat(F.lit("row "), F.col("pos").cast("string"))
+    known = lookup(corpus.select(*on, "pos"), last.filter("n > 1"), on, last.filter(F.col("n") >= hot_rows), spread)
+    stale = known.filter(F.col("pos") < F.col("last_pos")).select(*keys, "pos")
     return corpus.join(stale, [*keys, "pos"], "left_anti")

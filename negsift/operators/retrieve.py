@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from negsift.operators.cells import ivf_topk, ivfpq_topk, lsh_topk, train_cells, with_cell
+from negsift.operators.cells import build_codes, ivf_topk, ivfpq_topk, lsh_topk, train_cells, with_cell
 from negsift.operators.late import maxsim_topk, plaid_topk
 from negsift.operators.scorers import Dense
 from negsift.operators.topk import topk
@@ -45,7 +45,8 @@ def knn(
         centroids = train_cells(corpus, nlist, metric, seed)
         return ivf_topk(queries, with_cell(corpus, centroids, metric), centroids, k, nprobe, metric, **physical)
     if method == "ivfpq":
-        return ivfpq_topk(queries, corpus, k, nlist, nprobe, m_pq, metric, seed, **physical)
+        index = build_codes(corpus, nlist, m_pq, metric, seed)
+        return ivfpq_topk(queries, *index, k, nprobe, metric, **physical)
     if method == "hnsw":
         return lsh_topk(queries, corpus, k, metric, hash_tables, bucket_length, seed, **physical)
     raise ValueError(f"unknown index method: {method}")

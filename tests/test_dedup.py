@@ -53,7 +53,10 @@ def test_id_conflicts(spark):
     assert as_set(corpus_id_conflicts(docs), "document_id", "texts", "rows") == {("a", 2, 2)}
     # The last mapping of an id wins, and so does its last text.
     assert as_set(id_map(docs), "document_id", "canonical_id") == {("a", "b"), ("b", "b"), ("c", "c")}
-    assert as_set(resolve_id_conflicts(docs), "document_id", "document", "pos") == {("a", "t2", 2), ("b", "t2", 1), ("c", "t3", 4)}
+    for hot in (1_000_000, 2):
+        assert as_set(resolve_id_conflicts(docs, hot_rows=hot), "document_id", "document", "pos") == {
+            ("a", "t2", 2), ("b", "t2", 1), ("c", "t3", 4),
+        }
 
 
 def _scores(spark, rows):

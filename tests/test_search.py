@@ -121,11 +121,20 @@ def test_saved_index(spark, tmp_path):
     centroids = cells.train_cells(corpus, 6)
     celled = cells.with_cell(corpus, centroids)
     cells.save_index(celled, centroids, str(tmp_path), rows_per_file=20)
-    read, back = cells.load_index(spark, str(tmp_path))
-    assert read.count() == 300 and np.allclose(back["s", "x"], centroids["s", "x"])
+    read, back, books = cells.load_index(spark, str(tmp_path))
+    assert read.count() == 300 and np.allclose(back["s", "x"], centroids["s", "x"]) and books == {}
     assert _ranks(cells.ivf_topk(queries, read, back, 7, nprobe=2)) == _ranks(cells.ivf_topk(queries, celled, centroids, 7, nprobe=2))
 
 
+def test_saved_codes(spark, tmp_path):
+    _, _, queries, corpus = _data(spark)
+    index = cells.build_codes(corpus, nlist=6, m=4)
+    cells.save_index(index[0], index[1], str(tmp_path), index[2])
+    read = cells.load_index(spark, str(tmp_path))
+    assert "embedding" not in read[0].columns
+    assert _ranks(cells.ivfpq_topk(queries, *read, 7, nprobe=3)) == _ranks(cells.ivfpq_topk(queries, *index, 7, nprobe=3))
+
+
 def _recall(hits, exact, k):
     return recall(hits, exact, k).first()["recall"]
 
