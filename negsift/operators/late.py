@@ -5,13 +5,16 @@ Both tables hold ``tokens``, an array of vectors per text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from negsift.operators.cells import INTS, Matrices, nearest_cells, train_cells
-from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged
-from negsift.operators.topk import best, topk
+from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged, sum_per_text
+from negsift.operators.topk import BROADCAST_BYTES, best, groups, pair_schema, size_in_bytes, topk
 from negsift.schema import KEYS, SCORE_PLACES
 
 
@@ -50,6 +53,55 @@ def _pair_maxsim(queries: pa.Array, documents: pa.Array) -> pa.Array:
     return pa.array(np.round(out, SCORE_PLACES) + 0.0)
 
 
+def exact_scores(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """Late-interaction scores of given pairs.
+
+    Token vectors are far larger than ids, so they should not travel once per
+    pair. While the queries fit a broadcast, a document's tokens meet the list of
+    the queries that want it, which is no longer than the bundle's queries.
+    Beyond that both sides are joined to the pairs.
+    """
+    pairs = candidates.select(*KEYS, "query_id", "document_id")
+    queries = queries.select(*KEYS, "query_id", "tokens")
+    documents = corpus.select(*KEYS, "document_id", F.col("tokens").alias("_d"))
+    if size_in_bytes(queries) > broadcast_bytes:
+        joined = pairs.join(documents, [*KEYS, "document_id"]).join(
+            queries.withColumnRenamed("tokens", "_q"), [*KEYS, "query_id"]
+        )
+        return joined.select(*KEYS, "query_id", "document_id", _pair_maxsim("_q", "_d").alias("score"))
+
+    # At most broadcast_bytes, measured above.
+    by_bundle = {
+        key: ({q: i for i, q in enumerate(part["query_id"].to_pylist())}, Ragged(part["tokens"]))
+        for key, part in groups(queries.toArrow(), KEYS)
+    }
+    shared = queries.sparkSession.sparkContext.broadcast(by_bundle)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = Ragged(pa.chunked_array([batch["_d"]]))
+            wanted = batch["_queries"].to_pylist()
+            values = []
+            for i, (dataset, lang) in enumerate(zip(batch["dataset"].to_pylist(), batch["lang"].to_pylist())):
+                places, q = shared.value[dataset, lang]
+                at = np.array([places[query] for query in wanted[i]])
+                rows = np.concatenate([np.arange(q.starts[j], q.starts[j + 1]) for j in at])
+                found = np.zeros(len(at))
+                if len(rows) and d.counts[i]:
+                    sims = q.tokens[rows] @ d.tokens[d.starts[i] : d.starts[i + 1]].T
+                    ends = np.concatenate([[0], np.cumsum(q.counts[at])])
+                    found = sum_per_text(sims.max(axis=1)[:, None], ends, q.counts[at])[:, 0]
+                values.append(np.round(found, SCORE_PLACES) + 0.0)
+            lists = batch["_queries"]
+            row = pc.list_parent_indices(lists)
+            columns = [batch[c].take(row) for c in KEYS] + [lists.flatten(), batch["document_id"].take(row)]
+            scores = pa.array(np.concatenate(values) if values else np.zeros(0))
+            yield pa.RecordBatch.from_arrays([*columns, scores], names=[*KEYS, "query_id", "document_id", "score"])
+
+    wanted = pairs.groupBy(*KEYS, "document_id").agg(F.collect_list("query_id").alias("_queries"))
+    return wanted.join(documents, [*KEYS, "document_id"]).mapInArrow(score, pair_schema(queries, KEYS))
+
+
 def plaid_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -97,11 +149,5 @@ def plaid_topk(
         keys=[*KEYS, "cell"],
         **physical,
     )
-    pairs = (
-        candidates.select(*KEYS, "query_id", "document_id")
-        .join(corpus.select(*KEYS, "document_id", F.col("tokens").alias("_d")), [*KEYS, "document_id"])
-        .join(queries.select(*KEYS, "query_id", F.col("tokens").alias("_q")), [*KEYS, "query_id"])
-    )
-    return best(
-        pairs.select(*KEYS, "query_id", "document_id", _pair_maxsim("_q", "_d").alias("score")), k
-    )
+    limit = physical.get("broadcast_bytes", BROADCAST_BYTES)
+    return best(exact_scores(candidates, queries, corpus, limit), k)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from negsift.functions.docstrings import strip_docstrings
+from negsift.operators.spread import spread_small
 from negsift.schema import Bundle, KEYS
 
 
@@ -31,7 +32,7 @@ def load_report(bundle: Bundle) -> DataFrame:
 
 def docstring_report(corpus: DataFrame) -> DataFrame:
     """Per bundle: documents parsed, changed and failed by the docstring step."""
-    status = corpus.select(*KEYS, strip_docstrings(F.col("document"), F.col("lang"))["status"].alias("status"))
+    status = spread_small(corpus).select(*KEYS, strip_docstrings(F.col("document"), F.col("lang"))["status"].alias("status"))
     return status.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("status").isin("parsed", "changed")).alias("parsed"),

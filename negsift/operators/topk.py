@@ -54,8 +54,8 @@ def topk(
     queries = queries.select(*keys, "query_id", *scorer.query_columns)
     docs = docs.select(*keys, "document_id", *scorer.doc_columns)
     if form == "auto":
-        form = "broadcast" if _bytes(queries) <= broadcast_bytes else "blocks"
-    search = _Search(scorer, k, keys, ascending, doc_block, _schema_of(queries, keys))
+        form = "broadcast" if size_in_bytes(queries) <= broadcast_bytes else "blocks"
+    search = _Search(scorer, k, keys, ascending, doc_block, pair_schema(queries, keys))
     if form == "broadcast":
         found = _against_broadcast(queries, spread_small(docs) if spread else docs, search)
     elif form == "blocks":
@@ -75,10 +75,10 @@ def best(found: DataFrame, k: int, ascending: bool = False, distinct: bool = Fal
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def _bytes(queries: DataFrame) -> int:
-    """Size of the query side in memory, from the lengths of its values."""
+def size_in_bytes(rows: DataFrame) -> int:
+    """Size of a table in memory, from the lengths of its values."""
     size = F.lit(0).cast("long")
-    for field in queries.schema.fields:
+    for field in rows.schema.fields:
         kind = field.dataType.simpleString()
         if kind.startswith("array<array"):
             one = F.size(F.flatten(field.name)) * 4 + F.size(field.name) * 8
@@ -89,10 +89,10 @@ def _bytes(queries: DataFrame) -> int:
         else:
             one = F.lit(8)
         size = size + F.coalesce(one.cast("long"), F.lit(0))
-    return queries.agg(F.sum(size)).first()[0] or 0
+    return rows.agg(F.sum(size)).first()[0] or 0
 
 
-def _schema_of(queries: DataFrame, keys: list[str]) -> str:
+def pair_schema(queries: DataFrame, keys: list[str]) -> str:
     types = dict(queries.dtypes)
     return ", ".join(f"{c} {types[c]}" for c in KEYS) + ", query_id string, document_id string, score double"
 
@@ -150,7 +150,7 @@ class _Search:
         return above | (tied & (np.cumsum(tied, axis=1) <= room)), top
 
 
-def _groups(table: pa.Table, keys: list[str]):
+def groups(table: pa.Table, keys: list[str]):
     """Rows of an Arrow table per key."""
     where = table.select(keys).to_pandas().groupby(keys, sort=False).indices
     for key, rows in where.items():
@@ -159,7 +159,7 @@ def _groups(table: pa.Table, keys: list[str]):
 
 def _against_broadcast(queries: DataFrame, docs: DataFrame, search: _Search) -> DataFrame:
     # At most broadcast_bytes, measured by the caller.
-    by_key = dict(_groups(queries.toArrow(), search.keys))
+    by_key = dict(groups(queries.toArrow(), search.keys))
     shared = queries.sparkSession.sparkContext.broadcast(by_key)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,7 @@ def _against_broadcast(queries: DataFrame, docs: DataFrame, search: _Search) ->
             yield from score(held, kept)
 
     def score(held: list[pa.RecordBatch], kept: dict) -> Iterator[pa.RecordBatch]:
-        for key, part in _groups(pa.Table.from_batches(held), search.keys):
+        for key, part in groups(pa.Table.from_batches(held), search.keys):
             if key in shared.value:
                 yield from search.run(key, shared.value[key], part, kept)
 

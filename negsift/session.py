@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,9 +39,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="negsift-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="negsift-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -201,6 +201,7 @@ def test_plaid_at_its_limit_is_exact(spark):
     exact = _ranks(late.maxsim_topk(queries, kept, 6))
     assert _ranks(late.plaid_topk(queries, kept, 6, nlist=5, nprobe=5, full_scores=None)) == exact
     assert _ranks(late.plaid_topk(queries, kept, 6, nlist=5, nprobe=5, full_scores=70)) == exact
+    assert _ranks(late.plaid_topk(queries, kept, 6, nlist=5, nprobe=5, full_scores=70, broadcast_bytes=0)) == exact
     assert _ranks(retrieve(queries, kept, 6, architecture="late_interaction", pruned=False)) == exact
 
 
