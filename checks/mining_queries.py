@@ -7,7 +7,6 @@ from checks.catalog import query
 from checks.search_queries import K, exact
 from negsift.operators import dedup, encode, formats, mine
 from negsift.operators.retrieve import retrieve
-from negsift.operators.sample import sample
 from negsift.schema import KEYS
 from negsift.session import scratch_path, stored
 

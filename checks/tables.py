@@ -16,8 +16,6 @@ from negsift.schema import Bundle, KEYS
 from negsift.sources.beir import beir_bundle
 from negsift.sources.layout import read_table
 
-LABELLED = "vec"
-
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

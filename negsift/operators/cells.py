@@ -8,7 +8,6 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,6 +17,7 @@ from negsift.functions.vectors import cut_vector, l2_normalize
 from negsift.operators.scorers import Dense, ProductCodes, check_metric, inner_or_distance, matrix, unit
 from negsift.operators.topk import topk
 from negsift.schema import KEYS
+from negsift.session import stored
 
 Matrices = dict[tuple[str, str], np.ndarray]
 
@@ -52,8 +52,9 @@ def fit_all(jobs: list) -> list:
 
 def train_cells(corpus: DataFrame, nlist: int, metric: str = "cosine", seed: int = 42) -> Matrices:
     """Centroids per bundle. One fit per bundle, each a distributed job over its
-    whole corpus; only the centroids come back."""
-    ready = prepared(corpus, metric).persist(StorageLevel.MEMORY_AND_DISK)
+    whole corpus; only the centroids come back. A corpus stored by bundle is read
+    once in all, since each fit reads its own folder."""
+    ready = prepared(corpus, metric)
     bundles = bundles_of(ready)
 
     def fit(dataset: str, lang: str, n: int) -> np.ndarray:
@@ -65,7 +66,6 @@ def train_cells(corpus: DataFrame, nlist: int, metric: str = "cosine", seed: int
         return np.array([[r["x"] for r in mean.orderBy("i").collect()]])
 
     fitted = fit_all([partial(fit, *bundle) for bundle in bundles])
-    ready.unpersist()
     return {bundle[:2]: centroids for bundle, centroids in zip(bundles, fitted)}
 
 
@@ -213,23 +213,25 @@ def residuals(celled: DataFrame, centroids: Matrices, metric: str = "cosine") ->
 
 
 def train_codebooks(rest: DataFrame, m: int, seed: int = 42) -> dict[tuple[str, str], list[np.ndarray]]:
-    """``m`` codebooks per bundle, each fitted on one slice of all residuals."""
-    rest = rest.persist(StorageLevel.MEMORY_AND_DISK)
+    """``m`` codebooks per bundle, each fitted on one slice of all residuals.
+
+    The slices are written as columns by bundle, so that a fit reads its own.
+    """
     bundles = bundles_of(rest)
     dim = rest.agg(F.max(F.size("embedding"))).first()[0] or 0
     if dim % m:
         raise ValueError(f"{dim} dimensions do not split into {m} sub-vectors")
-    pieces = rest.withColumn("pieces", cut_vector(F.col("embedding"), m, dim // m))
+    pieces = cut_vector(F.col("embedding"), m, dim // m)
+    sliced = rest.withColumn("pieces", pieces).select(*KEYS, *[F.col("pieces")[i].alias(f"piece_{i}") for i in range(m)])
+    sliced = stored(sliced, "residuals", by=KEYS)
 
     def fit(dataset: str, lang: str, n: int, piece: int) -> np.ndarray:
-        own = pieces.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
-        own = own.select(F.col("pieces")[piece].alias("embedding"))
+        own = sliced.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
+        own = own.select(F.col(f"piece_{piece}").alias("embedding"))
         return kmeans(own, min(CODES, n), seed) if n > 1 else np.array(own.first()[0])[None, :]
 
     fitted = iter(fit_all([partial(fit, *bundle, piece) for bundle in bundles for piece in range(m)]))
-    books = {bundle[:2]: [next(fitted) for _ in range(m)] for bundle in bundles}
-    rest.unpersist()
-    return books
+    return {bundle[:2]: [next(fitted) for _ in range(m)] for bundle in bundles}
 
 
 def with_codes(rest: DataFrame, codebooks: dict) -> DataFrame:

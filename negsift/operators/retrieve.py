@@ -72,7 +72,7 @@ def retrieve(
         # queries, and of a corpus that gets an index, are written once.
         queries = stored(_vectors(queries, "query_id"), "query-vectors")
         if search.get("method", "flat") != "flat" or architecture == "late_interaction":
-            corpus = stored(_vectors(corpus, "document_id"), "document-vectors")
+            corpus = stored(_vectors(corpus, "document_id"), "document-vectors", by=KEYS)
         search = {"spread": False, **search}  # the encoder has spread a small corpus
     if architecture == "single_vector":
         return knn(queries, corpus, k, **search)

@@ -1,6 +1,6 @@
 """How a chunk of queries and a chunk of documents become a score matrix.
 
-A scorer names its payload columns, turns an Arrow table of either side into
+A scorer names its payload columns and the rows of it that make a chunk, turns an Arrow table of either side into
 arrays once per chunk, and scores a range of the queries against all documents.
 All arithmetic is in doubles.
 """
@@ -48,6 +48,7 @@ class Dense:
     """One vector per text: cosine, inner product or squared distance."""
 
     query_columns = doc_columns = ["embedding"]
+    query_block, doc_block = 8_192, 20_000
 
     def __init__(self, metric: str):
         self.metric = check_metric(metric)
@@ -93,6 +94,7 @@ class MaxSim:
     """Late interaction: for each query token the best document token, summed."""
 
     query_columns = doc_columns = ["tokens"]
+    query_block, doc_block = 1_024, 2_000
     step = 50_000  # document tokens per product
 
     def queries(self, table, key):
@@ -123,6 +125,7 @@ class CentroidMaxSim:
     """MaxSim with each document token replaced by its centroid."""
 
     query_columns, doc_columns = ["tokens"], ["codes"]
+    query_block, doc_block = 1_024, 20_000
 
     def __init__(self, centroids):
         self.centroids = centroids  # broadcast: {bundle: matrix}
@@ -153,6 +156,7 @@ class ProductCodes:
     """
 
     query_columns, doc_columns = ["embedding"], ["codes"]
+    query_block, doc_block = 8_192, 50_000
 
     def __init__(self, metric: str, centroids, codebooks):
         self.metric = check_metric(metric)

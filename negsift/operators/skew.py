@@ -19,7 +19,8 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], hot: DataFrame, spre
 
     Rows of hot keys find theirs in a broadcast of the few ``hot`` dim rows and do
     not take part in the shuffle under that key: the last key column is replaced
-    by ``spread``, so they scatter over all tasks. Added column ``found``.
+    by ``spread``, so they scatter over all tasks. So do rows with a null key.
+    Added column ``found``.
     """
     values = [c for c in dim.columns if c not in on]
     last = on[-1]
@@ -28,9 +29,8 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], hot: DataFrame, spre
         return rows.select(*on, F.struct(F.lit(True).alias("found"), *values).alias(name))
 
     near = facts.join(F.broadcast(packed("_hot", hot)), on, "left")
-    probe = near.withColumn("_probe", F.when(F.col("_hot").isNull(), F.col(last)).otherwise(spread)).withColumn(
-        "_wanted", F.col("_hot").isNull()
-    )
+    cold = F.col("_hot").isNull() & F.col(last).isNotNull()
+    probe = near.withColumn("_probe", F.when(cold, F.col(last)).otherwise(spread)).withColumn("_wanted", cold)
     other = packed("_cold", dim).withColumnRenamed(last, "_probe").withColumn("_wanted", F.lit(True))
     joined = probe.join(other, [*on[:-1], "_probe", "_wanted"], "left").drop("_probe", "_wanted")
     value = F.coalesce("_hot", "_cold")

@@ -28,8 +28,7 @@ from negsift.operators.spread import spread_small
 from negsift.schema import KEYS, SCORE_PLACES
 
 BROADCAST_BYTES = 256 << 20
-DOC_BLOCK = 20_000
-QUERY_BLOCK = 8_192
+CHUNK_BYTES = 256 << 20
 _MATRIX_CELLS = 8_000_000  # score matrix of one chunk, 64 MB of doubles
 
 
@@ -42,15 +41,17 @@ def topk(
     ascending: bool = False,
     form: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
-    doc_block: int = DOC_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    doc_block: int | None = None,
+    query_block: int | None = None,
     spread: bool = True,
 ) -> DataFrame:
     """Hits ``dataset, lang, query_id, document_id, score, rank`` of two tables.
 
-    ``scorer.query_columns`` and ``scorer.doc_columns`` name the payload. Equal
-    scores rank by ``document_id``.
+    ``scorer.query_columns`` and ``scorer.doc_columns`` name the payload, and
+    ``scorer.doc_block`` and ``scorer.query_block`` say how many rows of it make a
+    chunk unless the caller does. Equal scores rank by ``document_id``.
     """
+    doc_block, query_block = doc_block or scorer.doc_block, query_block or scorer.query_block
     queries = queries.select(*keys, "query_id", *scorer.query_columns)
     docs = docs.select(*keys, "document_id", *scorer.doc_columns)
     if form == "auto":
@@ -163,13 +164,14 @@ def _against_broadcast(queries: DataFrame, docs: DataFrame, search: _Search) ->
     shared = queries.sparkSession.sparkContext.broadcast(by_key)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, kept = [], 0, {}
+        held, rows, size, kept = [], 0, 0, {}
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
-            if rows >= search.doc_block:
+            size += batch.nbytes
+            if rows >= search.doc_block or size >= CHUNK_BYTES:
                 yield from score(held, kept)
-                held, rows = [], 0
+                held, rows, size = [], 0, 0
         if held:
             yield from score(held, kept)
 

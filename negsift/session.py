@@ -52,12 +52,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For results with several readers: it cuts the lineage, so losing an executor
-    costs a re-read and not a second retrieval.
+    costs a re-read and not a second retrieval. ``by`` makes a folder per value,
+    for readers that want one value only.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*(by or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -256,3 +256,39 @@ def test_job_retriever_is_pluggable(spark, tmp_path):
     assert none.first()["queries"] == 3 and not (tmp_path / "b/contrastive").exists()
     with pytest.raises(ValueError):
         run_job(spark, root, [spec], Mining(), Output(str(tmp_path / "c"), "other"))
+
+
+def test_job_searches(spark, tmp_path):
+    """Every kind of search through the job, and two datasets of one language."""
+    from negsift.plans.job import run_job
+    from negsift.plans.params import Dataset, Mining, Output
+
+    root = str(tmp_path / "in")
+    words = ["red", "blue", "green", "round", "square", "small", "large", "old", "new", "warm"]
+    pick = lambda i, n: " ".join(words[(i * s + 3 * s) % 10] for s in range(1, n))
+    for name in ("Org/A", "Org/B"):
+        rows = [(f"{pick(i, 4)} {name} {i}", f"{pick(i, 7)} {name} {i}") for i in range(40)]
+        spark.createDataFrame(rows, "q string, d string").coalesce(1).write.parquet(f"{root}/{name}/train")
+    specs = [Dataset(name, ["go"], query_field="q", documents_field="d") for name in ("Org/A", "Org/B")]
+    plain = encode.hashed_encoder(32)
+    tokens = lambda rows, text: encode.token_matrix(plain(rows, text), 4, 8)
+    for i, mining in enumerate(
+        [
+            Mining(10, 5, encode=plain, search={"method": "ivf", "nlist": 2, "nprobe": 2}),
+            Mining(10, 5, encode=plain, search={"method": "ivfpq", "nlist": 2, "nprobe": 2, "m_pq": 4}),
+            Mining(10, 5, encode=plain, search={"method": "hnsw", "bucket_length": 2.0}),
+            Mining(10, 5, encode=plain, search={"metric": "l2"}),
+            Mining(10, 5, "late_interaction", tokens, {"nlist": 8}),
+            Mining(10, 5, "late_interaction", tokens, {"pruned": False}),
+        ]
+    ):
+        out = str(tmp_path / f"out{i}")
+        report = run_job(spark, root, specs, mining, Output(out, name="set", max_per_query=5))
+        assert as_set(report, *KEYS, "queries", "results") == {("Org/A", "go", 40, 40), ("Org/B", "go", 40, 40)}
+        scores = spark.read.parquet(f"{out}/kd/scores")
+        assert scores.groupBy("dataset").count().count() == 2
+        # Each dataset searched its own corpus.
+        documents = spark.read.parquet(f"{out}/set_kd/config=documents_go")
+        assert documents.filter(~F.contains("document", "dataset")).count() == 0
+        wide = spark.read.parquet(f"{out}/contrastive")
+        assert wide.count() == report.agg(F.sum("valid")).first()[0] > 0 and "negative_4_score" in wide.columns
