@@ -22,9 +22,9 @@ def vec_entries(spark, sf) -> DataFrame:
     return mine.mined_entries(queries, exact(spark, sf), qrels, NEGATIVES)
 
 
-def six(rows: DataFrame, *columns: str) -> DataFrame:
+def typed(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(
-        *[F.round(c, 6).alias(c) if "score" in c else F.col(c).cast("long").alias(c) if c in _COUNTS else c for c in columns]
+        *[F.col(c).cast("long").alias(c) if c in _COUNTS else c for c in columns]
     )
 
 
@@ -32,11 +32,11 @@ _COUNTS = {"rank", "place", "ordinal", "neg_rank", "positives", "entries"}
 
 
 @query(f"""WITH {sql.vec_hits(K)}, {sql.VEC_QRELS}
-SELECT h.query_id, h.document_id, round(h.score, 6) AS score, h.rank, r.query_id IS NOT NULL AS is_pos
+SELECT h.query_id, h.document_id, h.score, h.rank, r.query_id IS NOT NULL AS is_pos
 FROM hits h LEFT JOIN qrels r ON r.query_id = h.query_id AND r.document_id = h.document_id""")
 def hits_labeled(spark, sf):
     labelled = mine.label_hits(exact(spark, sf), t.vec(spark, sf).qrels)
-    return six(labelled, "query_id", "document_id", "score", "rank", "is_pos")
+    return typed(labelled, "query_id", "document_id", "score", "rank", "is_pos")
 
 
 @query(f"""WITH {sql.vec_hits(K)}, {sql.VEC_QRELS}
@@ -46,32 +46,32 @@ def positives_missing(spark, sf):
     return mine.missing_positives(exact(spark, sf), t.vec(spark, sf).qrels).drop(*KEYS)
 
 
-@query(f"WITH {VEC} SELECT query_id, document_id, round(score, 6) AS score, place - positives AS neg_rank FROM entries WHERE NOT is_pos")
+@query(f"WITH {VEC} SELECT query_id, document_id, score, place - positives AS neg_rank FROM entries WHERE NOT is_pos")
 def hard_negatives(spark, sf):
-    return six(mine.negatives(vec_entries(spark, sf)), "query_id", "document_id", "score", "neg_rank")
+    return typed(mine.negatives(vec_entries(spark, sf)), "query_id", "document_id", "score", "neg_rank")
 
 
 @query(f"""WITH {sql.vec_hits(K)}, {sql.VEC_QRELS}, {sql.mined(1000)}
-SELECT query_id, document_id, round(score, 6) AS score, place - positives AS neg_rank FROM entries WHERE NOT is_pos""")
+SELECT query_id, document_id, score, place - positives AS neg_rank FROM entries WHERE NOT is_pos""")
 def negatives_ranked(spark, sf):
     """All retrieved negatives in their order, before the cap."""
     queries, _, qrels = t.vec(spark, sf)
     entries = mine.mined_entries(queries, exact(spark, sf), qrels, 1000)
-    return six(mine.negatives(entries), "query_id", "document_id", "score", "neg_rank")
+    return typed(mine.negatives(entries), "query_id", "document_id", "score", "neg_rank")
 
 
-@query(f"WITH {VEC} SELECT query_id, document_id, place, round(score, 6) AS score, is_pos, retrieved FROM entries")
+@query(f"WITH {VEC} SELECT query_id, document_id, place, score, is_pos, retrieved FROM entries")
 def kd_long(spark, sf):
-    return six(vec_entries(spark, sf), "query_id", "document_id", "place", "score", "is_pos", "retrieved")
+    return typed(vec_entries(spark, sf), "query_id", "document_id", "place", "score", "is_pos", "retrieved")
 
 
 @query(f"""WITH {sql.vec_hits(K, 'l2')}, {sql.VEC_QRELS}, {sql.mined(NEGATIVES)}
-SELECT query_id, document_id, place, round(score, 6) AS score, is_pos, retrieved FROM entries""")
+SELECT query_id, document_id, place, score, is_pos, retrieved FROM entries""")
 def kd_long_l2(spark, sf):
     """Squared distances: the nearest negatives are kept."""
     queries, _, qrels = t.vec(spark, sf)
     entries = mine.mined_entries(queries, exact(spark, sf, metric="l2"), qrels, NEGATIVES, metric="l2")
-    return six(entries, "query_id", "document_id", "place", "score", "is_pos", "retrieved")
+    return typed(entries, "query_id", "document_id", "place", "score", "is_pos", "retrieved")
 
 
 # --- texts -----------------------------------------------------------------------
@@ -104,12 +104,12 @@ def mining_report(spark, sf):
 
 
 @query(f"""WITH {TEXT} SELECT query_id, string_agg(document_id, ',' ORDER BY place) AS document_ids,
-  string_agg({sql.micro('score')}::VARCHAR, ',' ORDER BY place) AS scores, 'mixed' AS split FROM entries GROUP BY query_id""")
+  string_agg({sql.whole('score')}::VARCHAR, ',' ORDER BY place) AS scores, 'mixed' AS split FROM entries GROUP BY query_id""")
 def kd_scores(spark, sf):
     scores = formats.kd_scores(text_entries(spark, sf))
-    micro = F.transform("scores", lambda s: F.round(s * 1_000_000).cast("long").cast("string"))
+    whole = F.transform("scores", lambda s: F.round(s * 1_000_000_000).cast("long").cast("string"))
     return scores.select(
-        "query_id", F.array_join("document_ids", ",").alias("document_ids"), F.array_join(micro, ",").alias("scores"), "split"
+        "query_id", F.array_join("document_ids", ",").alias("document_ids"), F.array_join(whole, ",").alias("scores"), "split"
     )
 
 
@@ -123,9 +123,9 @@ def kd_documents(spark, sf):
     return formats.kd_documents(t.beir(spark, sf).corpus, text_entries(spark, sf))
 
 
-@query(f"WITH {TEXT}, {sql.VALID} SELECT query_id, entries, round(positive_score, 6) AS positive_score FROM valid")
+@query(f"WITH {TEXT}, {sql.VALID} SELECT query_id, entries, positive_score FROM valid")
 def contrastive_valid(spark, sf):
-    return six(formats.valid_results(text_entries(spark, sf)), "query_id", "entries", "positive_score")
+    return typed(formats.valid_results(text_entries(spark, sf)), "query_id", "entries", "positive_score")
 
 
 def text_long(spark, sf, **options) -> DataFrame:
@@ -133,12 +133,12 @@ def text_long(spark, sf, **options) -> DataFrame:
     return formats.contrastive_long(entries, t.beir(spark, sf).corpus, options.pop("n", 5), **options)
 
 
-LONG_COLUMNS = "l.query_id, l.ordinal, l.document_id, c.document, round(l.score, 6) AS score"
+LONG_COLUMNS = "l.query_id, l.ordinal, l.document_id, c.document, l.score"
 LONG = f"{TEXT}, {sql.VALID}, {sql.contrastive(5)}"
 
 
 def _long(rows: DataFrame) -> DataFrame:
-    return six(rows, "query_id", "ordinal", "document_id", "document", "score")
+    return typed(rows, "query_id", "ordinal", "document_id", "document", "score")
 
 
 @query(f"WITH {LONG} SELECT {LONG_COLUMNS} FROM long l JOIN corpus c USING (document_id)")
@@ -155,19 +155,19 @@ def contrastive_dropped(spark, sf):
 
 WIDE_COLUMNS = ", ".join(
     f"coalesce(max(c.document) FILTER (l.ordinal = {i}), '') AS negative_{i}, "
-    f"coalesce(max(round(l.score, 6)) FILTER (l.ordinal = {i}), 0.0) AS negative_{i}_score"
+    f"coalesce(max(l.score) FILTER (l.ordinal = {i}), 0.0) AS negative_{i}_score"
     for i in range(12)
 )
 
 
 @query(f"""WITH {TEXT}, {sql.VALID}, {sql.contrastive(12)}
 SELECT l.query_id, any_value(q.query) AS query, max(c.document) FILTER (l.ordinal = -1) AS positive,
-  max(round(l.score, 6)) FILTER (l.ordinal = -1) AS positive_score, {WIDE_COLUMNS}
+  max(l.score) FILTER (l.ordinal = -1) AS positive_score, {WIDE_COLUMNS}
 FROM long l JOIN corpus c USING (document_id) JOIN queries q ON q.query_id = l.query_id GROUP BY l.query_id""")
 def contrastive_wide(spark, sf):
     """Twelve negatives per row where mining kept ten: the last ones are padded."""
     wide = formats.contrastive_wide(text_long(spark, sf, n=12), t.beir(spark, sf).queries, 12)
-    return wide.select(*[F.round(c, 6).alias(c) if c.endswith("score") else c for c in wide.columns if c not in KEYS])
+    return wide.drop(*KEYS)
 
 
 @query(f"""WITH {LONG}, pos AS (SELECT query_id, score AS positive_score FROM long WHERE ordinal = -1)
@@ -209,11 +209,11 @@ def kd_dedup_documents(spark, sf):
 @query(f"""WITH {KD},
 canon AS (SELECT query_id, coalesce(canonical_id, document_id) AS document_id, min(place) AS p, arg_min(score, place) AS score
           FROM entries LEFT JOIN id_map USING (document_id) GROUP BY ALL)
-SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, round(score, 6) AS score FROM canon""")
+SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, score FROM canon""")
 def scores_remapped(spark, sf):
     documents, scores = kd_tables(spark, sf)
     remapped = dedup.remap_scores(scores, dedup.id_map(documents))
-    return six(formats.entries_of(remapped), "query_id", "document_id", "place", "score")
+    return typed(formats.entries_of(remapped), "query_id", "document_id", "place", "score")
 
 
 # --- the full job ----------------------------------------------------------------
@@ -260,24 +260,24 @@ qrels AS (SELECT query_id, document_id FROM chat),
 {sql.text_hits(TEXT_K, 256).replace(sql.BEIR + ",", "", 1)}, {sql.mined(TEXT_NEGATIVES)}"""
 
 
-@query(f"""WITH {CHAT_TEXT} SELECT query_id, document_id, place, round(score, 6) AS score, 'mixed' AS split FROM entries""")
+@query(f"""WITH {CHAT_TEXT} SELECT query_id, document_id, place, score, 'mixed' AS split FROM entries""")
 def job_kd_scores(spark, sf):
     """KD scores of the paired dataset, read back from the written job."""
     out, _ = job(spark, sf, "kd")
     scores = spark.read.parquet(f"{out}/kd/scores").filter(F.col("dataset") == CHAT_DATASET)
-    return six(formats.entries_of(scores).withColumn("split", F.lit("mixed")), "query_id", "document_id", "place", "score", "split")
+    return typed(formats.entries_of(scores).withColumn("split", F.lit("mixed")), "query_id", "document_id", "place", "score", "split")
 
 
 @query(f"""WITH {CHAT_TEXT}, {sql.VALID}, {sql.contrastive(3)}
 SELECT any_value(q.query) AS query, max(c.document) FILTER (l.ordinal = -1) AS positive,
-  round(max(l.score) FILTER (l.ordinal = -1), 6) AS positive_score,
+  max(l.score) FILTER (l.ordinal = -1) AS positive_score,
   coalesce(max(c.document) FILTER (l.ordinal = 2), '') AS negative_2
 FROM long l JOIN corpus c USING (document_id) JOIN queries q ON q.query_id = l.query_id GROUP BY l.query_id""")
 def job_contrastive(spark, sf):
     """Contrastive rows of the paired dataset from the published layout."""
     out, _ = job(spark, sf)
     rows = spark.read.parquet(f"{out}/demo/config=mixed")
-    return six(rows, "query", "positive", "positive_score", "negative_2")
+    return typed(rows, "query", "positive", "positive_score", "negative_2")
 
 
 POSTHOC = f"""{KD}, counts AS (SELECT count(*) AS before, count(DISTINCT document) AS after FROM docs)"""
@@ -299,7 +299,7 @@ def posthoc_report(spark, sf):
 @query(f"""WITH {KD},
 canon AS (SELECT query_id, coalesce(canonical_id, document_id) AS document_id, min(place) AS p, arg_min(score, place) AS score
           FROM entries LEFT JOIN id_map USING (document_id) GROUP BY ALL)
-SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, round(score, 6) AS score FROM canon""")
+SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, score FROM canon""")
 def posthoc_scores(spark, sf):
     """The score lists that the post-hoc dedup wrote."""
     from negsift.plans.posthoc import dedup_published, read_subset
@@ -307,4 +307,4 @@ def posthoc_scores(spark, sf):
     out, _ = job(spark, sf, "kd")
     written = scratch_path(spark, "deduped")
     dedup_published(spark, f"{out}/demo_kd", written, ("bench-mixed",))
-    return six(formats.entries_of(read_subset(spark, written, "scores", "bench-mixed")), "query_id", "document_id", "place", "score")
+    return typed(formats.entries_of(read_subset(spark, written, "scores", "bench-mixed")), "query_id", "document_id", "place", "score")

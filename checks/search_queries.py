@@ -15,11 +15,11 @@ K = 10
 
 
 def rounded(hits: DataFrame) -> DataFrame:
-    return hits.select("query_id", "document_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return hits.select("query_id", "document_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
 def hits_sql(ctes: str) -> str:
-    return f"WITH {ctes} SELECT query_id, document_id, round(score, 6) AS score, rank FROM hits"
+    return f"WITH {ctes} SELECT query_id, document_id, score, rank FROM hits"
 
 
 # --- encoding --------------------------------------------------------------------
@@ -156,7 +156,7 @@ scored AS (
   FROM near p JOIN embeddings q ON q.vec_id = p.vec_id
   JOIN near a ON a.cell = p.cell AND a.place = 1 JOIN embeddings d ON d.vec_id = a.vec_id WHERE p.place <= 3),
 {sql.ranked('scored', K)}
-SELECT query_id, document_id, round(score, 6) AS score, rank FROM hits""")
+SELECT query_id, document_id, score, rank FROM hits""")
 def ivf_topk(spark, sf):
     """Search in the three closest of a fixed set of cells."""
     queries, corpus, _ = t.vec(spark, sf)

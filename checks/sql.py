@@ -141,5 +141,6 @@ long AS (
   WHERE ordinal < {num_negatives})"""
 
 
-def micro(value: str) -> str:
-    return f"round({value} * 1000000)::BIGINT"
+def whole(value: str) -> str:
+    """A score of nine places as an integer: lists of these print alike everywhere."""
+    return f"round({value} * 1000000000)::BIGINT"
