@@ -20,7 +20,7 @@ def duck(sf: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else value + 0.0
     return value
 
 
