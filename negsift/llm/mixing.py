@@ -31,7 +31,7 @@ from negsift.llm.frames import fresh, row_key, small_table, words as words_of
 from negsift.session import stored
 
 MAX_LABELLED = 20_000
-MAX_FEATURES = 512
+MAX_FEATURES = 32
 RATIO = 2.0
 PRIOR = 5.0
 MAX_STEPS = 100
