@@ -188,10 +188,14 @@ def contrastive_sample(spark, sf):
 
 # --- post-hoc dedup --------------------------------------------------------------
 
-KD = f"""{TEXT},
+DOCS = """
 docs AS (SELECT * FROM corpus WHERE document_id IN (SELECT document_id FROM entries)),
 firsts AS (SELECT document, arg_min(document_id, pos) AS canonical_id, min(pos) AS pos FROM docs GROUP BY document),
 id_map AS (SELECT d.document_id, f.canonical_id FROM docs d JOIN firsts f USING (document))"""
+CANON = """
+canon AS (SELECT query_id, coalesce(canonical_id, document_id) AS document_id, min(place) AS p, arg_min(score, place) AS score
+          FROM entries LEFT JOIN id_map USING (document_id) GROUP BY ALL)"""
+KD = f"{TEXT}, {DOCS}"
 
 
 def kd_tables(spark, sf):
@@ -206,9 +210,7 @@ def kd_dedup_documents(spark, sf):
     return dedup.dedup_corpus(documents).drop(*KEYS)
 
 
-@query(f"""WITH {KD},
-canon AS (SELECT query_id, coalesce(canonical_id, document_id) AS document_id, min(place) AS p, arg_min(score, place) AS score
-          FROM entries LEFT JOIN id_map USING (document_id) GROUP BY ALL)
+@query(f"""WITH {KD}, {CANON}
 SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, score FROM canon""")
 def scores_remapped(spark, sf):
     documents, scores = kd_tables(spark, sf)
@@ -219,38 +221,33 @@ def scores_remapped(spark, sf):
 # --- the full job ----------------------------------------------------------------
 
 CHAT_DATASET, BEIR_DATASET = "chat/Turns", "beir/Bench"
+JOB_NEGATIVES = 3
 
 
-def job(spark, sf, kind="both"):
-    """Store both layouts as datasets, run the job on them, return its folder."""
-    from negsift.plans.job import run_job
-    from negsift.plans.params import Dataset, Mining, Output
-
-    root, out = scratch_path(spark, "datasets"), scratch_path(spark, "mined")
-    drop = lambda rows: rows.drop(*KEYS)
+def store_datasets(spark, sf) -> str:
+    """Both layouts as stored datasets."""
+    root = scratch_path(spark, "datasets")
+    drop = lambda rows: rows.drop(*KEYS)
     drop(t.chat_rows(spark, sf)).write.parquet(f"{root}/{CHAT_DATASET}/train")
     drop(t.beir_corpus_rows(spark, sf)).write.parquet(f"{root}/{BEIR_DATASET}/corpus/corpus")
     drop(t.beir_query_rows(spark, sf)).write.parquet(f"{root}/{BEIR_DATASET}/queries/queries")
     drop(t.beir_qrel_rows(spark, sf)).write.parquet(f"{root}/{BEIR_DATASET}/default/train")
+    return root
+
+
+def job(spark, sf, kind="both", **output):
+    """Run the job on both datasets; returns its folder and report."""
+    from negsift.plans.job import run_job
+    from negsift.plans.params import Dataset, Mining, Output
+
     datasets = [
-        Dataset(CHAT_DATASET, ["mixed"], query_field="instruction", documents_field="response"),
-        Dataset(BEIR_DATASET, ["mixed"], layout="coir"),
+        Dataset(CHAT_DATASET, ["mixed"], query_field="instruction", documents_field="response", pos_field="pos"),
+        Dataset(BEIR_DATASET, ["mixed"], layout="coir", pos_field="pos"),
     ]
+    out = scratch_path(spark, "mined")
     mining = Mining(top_k=TEXT_K, num_negatives=TEXT_NEGATIVES, encode=encode.hashed_encoder(256))
-    report = run_job(spark, root, datasets, mining, Output(out, kind, name="demo", max_per_query=3))
-    return out, report
-
-
-@query(f"""WITH {TEXT}, {sql.VALID} SELECT 'mixed' AS lang, (SELECT count(*) FROM queries) AS queries,
-  (SELECT count(DISTINCT query_id) FROM entries) AS results,
-  (SELECT count(*) FROM entries WHERE is_pos AND NOT retrieved) AS positives_not_retrieved, (SELECT count(*) FROM valid) AS valid,
-  'written' AS status""")
-def job_report(spark, sf):
-    """Two datasets in one run; the counters of the three-table one."""
-    _, report = job(spark, sf)
-    return report.filter(F.col("dataset") == BEIR_DATASET).select(
-        "lang", "queries", "results", "positives_not_retrieved", "valid", "status"
-    )
+    target = Output(out, kind, name="demo", max_per_query=JOB_NEGATIVES, **output)
+    return out, run_job(spark, store_datasets(spark, sf), datasets, mining, target)
 
 
 CHAT_TEXT = f"""{sql.CHAT_ROWS},
@@ -260,51 +257,146 @@ qrels AS (SELECT query_id, document_id FROM chat),
 {sql.text_hits(TEXT_K, 256).replace(sql.BEIR + ",", "", 1)}, {sql.mined(TEXT_NEGATIVES)}"""
 
 
-@query(f"""WITH {CHAT_TEXT} SELECT query_id, document_id, place, score, 'mixed' AS split FROM entries""")
+def of_both(select: str, *ctes: str) -> str:
+    """The same SELECT over what is mined from either dataset, called ``{name}`` in it."""
+    parts = []
+    for name, config, mined in ((CHAT_DATASET, "mixed", CHAT_TEXT), (BEIR_DATASET, "bench-mixed", TEXT)):
+        parts.append(f"SELECT * FROM (WITH {', '.join([mined, *ctes])} {select.format(name=name, config=config)})")
+    return " UNION ALL ".join(parts)
+
+
+@query(of_both("""SELECT '{name}' AS dataset, 'mixed' AS lang, (SELECT count(*) FROM queries) AS queries_available,
+  (SELECT count(*) FROM queries) AS queries, (SELECT count(DISTINCT query_id) FROM entries) AS results,
+  (SELECT count(*) FROM entries WHERE is_pos AND NOT retrieved) AS positives_not_retrieved,
+  (SELECT count(*) FROM queries) - (SELECT count(DISTINCT query_id) FROM entries) AS skipped,
+  (SELECT count(*) FROM valid) AS valid, 'written' AS status""", sql.VALID))
+def job_report(spark, sf):
+    """Two datasets in one run."""
+    return job(spark, sf)[1]
+
+
+@query(of_both("SELECT '{name}' AS dataset, query_id, document_id, place, score FROM entries"))
 def job_kd_scores(spark, sf):
-    """KD scores of the paired dataset, read back from the written job."""
+    """KD scores read back from the written job."""
     out, _ = job(spark, sf, "kd")
-    scores = spark.read.parquet(f"{out}/kd/scores").filter(F.col("dataset") == CHAT_DATASET)
-    return typed(formats.entries_of(scores).withColumn("split", F.lit("mixed")), "query_id", "document_id", "place", "score", "split")
+    return typed(formats.entries_of(spark.read.parquet(f"{out}/kd/scores")), "dataset", "query_id", "document_id", "place", "score")
 
 
-@query(f"""WITH {CHAT_TEXT}, {sql.VALID}, {sql.contrastive(3)}
-SELECT any_value(q.query) AS query, max(c.document) FILTER (l.ordinal = -1) AS positive,
-  max(l.score) FILTER (l.ordinal = -1) AS positive_score,
-  coalesce(max(c.document) FILTER (l.ordinal = 2), '') AS negative_2
-FROM long l JOIN corpus c USING (document_id) JOIN queries q ON q.query_id = l.query_id GROUP BY l.query_id""")
+def wide_columns(n: int) -> str:
+    return ", ".join(
+        f"coalesce(max(c.document) FILTER (l.ordinal = {i}), '') AS negative_{i}, "
+        f"coalesce(max(l.score) FILTER (l.ordinal = {i}), 0.0) AS negative_{i}_score"
+        for i in range(n)
+    )
+
+
+PUBLISHED_WIDE = f"""SELECT '{{config}}' AS config, any_value(q.query) AS query, max(c.document) FILTER (l.ordinal = -1) AS positive,
+  max(l.score) FILTER (l.ordinal = -1) AS positive_score, {wide_columns(JOB_NEGATIVES)}
+FROM long l JOIN corpus c USING (document_id) JOIN queries q ON q.query_id = l.query_id GROUP BY l.query_id"""
+
+
+def published(spark, out: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/demo").drop(*KEYS)
+
+
+@query(of_both(PUBLISHED_WIDE, sql.VALID, sql.contrastive(JOB_NEGATIVES)))
 def job_contrastive(spark, sf):
-    """Contrastive rows of the paired dataset from the published layout."""
-    out, _ = job(spark, sf)
-    rows = spark.read.parquet(f"{out}/demo/config=mixed")
-    return typed(rows, "query", "positive", "positive_score", "negative_2")
+    """Contrastive rows of both datasets from the published layout."""
+    return published(spark, job(spark, sf)[0])
+
+
+@query(of_both(PUBLISHED_WIDE, sql.VALID, sql.contrastive(JOB_NEGATIVES)))
+def job_contrastive_only(spark, sf):
+    """The same without a KD dataset beside it."""
+    return published(spark, job(spark, sf, "contrastive")[0])
+
+
+NEAR = f"""{sql.contrastive(JOB_NEGATIVES).replace("long AS", "whole AS", 1)},
+far AS (
+  SELECT w.* FROM whole w JOIN (SELECT query_id, score AS positive_score FROM whole WHERE ordinal = -1) p USING (query_id)
+  WHERE w.ordinal = -1 OR w.score <= 0.95 * p.positive_score),
+long AS (
+  SELECT query_id, document_id, score,
+    CASE WHEN ordinal = -1 THEN -1 ELSE row_number() OVER (PARTITION BY query_id, ordinal = -1 ORDER BY ordinal) - 1 END AS ordinal
+  FROM far)"""
+
+
+@query(of_both(PUBLISHED_WIDE, sql.VALID, NEAR))
+def job_threshold(spark, sf):
+    """Negatives too near their positive left out; the columns close up."""
+    return published(spark, job(spark, sf, threshold=0.95)[0])
+
+
+SHARED_IDS = """
+hosts AS (
+  SELECT page_id AS pos, regexp_replace(split_part(url, '/', 3), '^www[.]', '') AS id, url, html FROM pages WHERE url <> '' AND html <> ''),
+kept AS (SELECT id, max(pos) AS pos FROM hosts GROUP BY id),
+corpus AS (SELECT k.id AS document_id, h.html AS document, h.pos FROM kept k JOIN hosts h ON h.pos = k.pos),
+queries AS (SELECT k.id AS query_id, h.url AS query, h.pos FROM kept k JOIN hosts h ON h.pos = k.pos),
+qrels AS (SELECT query_id, query_id AS document_id FROM queries)"""
+SHARED_TEXT = f"""{SHARED_IDS},
+{sql.text_hits(TEXT_K, 256).replace(sql.BEIR + ",", "", 1)}, {sql.mined(TEXT_NEGATIVES)}"""
+
+
+@query(f"WITH {SHARED_TEXT}, {sql.VALID}, {sql.contrastive(JOB_NEGATIVES)} {PUBLISHED_WIDE.format(config='hosts-mixed')}")
+def job_contrastive_conflicts(spark, sf):
+    """Pages by host: a host has several pages, and the last one counts."""
+    from negsift.plans.job import run_job
+    from negsift.plans.params import Dataset, Mining, Output
 
+    root, out = scratch_path(spark, "datasets"), scratch_path(spark, "mined")
+    host = F.regexp_replace(F.split_part("url", F.lit("/"), F.lit(3)), "^www[.]", "")
+    pages = t.table(spark, sf, "pages").filter("url <> '' and html <> ''").withColumn("_id", host)
+    pages.select("_id", F.col("html").alias("text"), F.col("page_id").alias("pos")).write.parquet(f"{root}/web/Hosts/corpus/corpus")
+    pages.select("_id", F.col("url").alias("text"), F.col("page_id").alias("pos")).write.parquet(f"{root}/web/Hosts/queries/queries")
+    judged = pages.groupBy("_id").agg(F.max("page_id").alias("pos"))
+    judged.select(F.col("_id").alias("query-id"), F.col("_id").alias("corpus-id"), "pos").write.parquet(f"{root}/web/Hosts/default/train")
+    mining = Mining(top_k=TEXT_K, num_negatives=TEXT_NEGATIVES, encode=encode.hashed_encoder(256))
+    spec = Dataset("web/Hosts", ["mixed"], layout="coir", pos_field="pos")
+    run_job(spark, root, [spec], mining, Output(out, name="demo", max_per_query=JOB_NEGATIVES))
+    return published(spark, out)
 
-POSTHOC = f"""{KD}, counts AS (SELECT count(*) AS before, count(DISTINCT document) AS after FROM docs)"""
 
+TARGETS = ("mixed", "bench-mixed")
 
-@query(f"""WITH {POSTHOC}
-SELECT 'bench-mixed' AS target, 'changed' AS status, before, after, before - after AS removed,
-  (SELECT count(*) FROM id_map WHERE document_id <> canonical_id) AS ids_remapped FROM counts
-UNION ALL SELECT 'absent-mixed', 'failed', NULL, NULL, NULL, NULL""")
+
+@query(of_both("""SELECT '{config}' AS target, CASE WHEN before > after THEN 'changed' ELSE 'no duplicates' END AS status,
+  before, after, before - after AS removed, (SELECT count(*) FROM id_map WHERE document_id <> canonical_id) AS ids_remapped
+FROM (SELECT count(*) AS before, count(DISTINCT document) AS after FROM docs)""", DOCS)
++ " UNION ALL SELECT 'absent-mixed', 'failed', NULL, NULL, NULL, NULL")
 def posthoc_report(spark, sf):
-    """Post-hoc dedup of a published dataset, next to a target that is absent."""
+    """Post-hoc dedup of two published datasets, next to a target that is absent."""
     from negsift.plans.posthoc import dedup_published
 
     out, _ = job(spark, sf, "kd")
-    report = dedup_published(spark, f"{out}/demo_kd", scratch_path(spark, "deduped"), ("bench-mixed", "absent-mixed"))
+    report = dedup_published(spark, f"{out}/demo_kd", scratch_path(spark, "deduped"), (*TARGETS, "absent-mixed"))
     return report.select("target", "status", "before", "after", "removed", "ids_remapped")
 
 
-@query(f"""WITH {KD},
-canon AS (SELECT query_id, coalesce(canonical_id, document_id) AS document_id, min(place) AS p, arg_min(score, place) AS score
-          FROM entries LEFT JOIN id_map USING (document_id) GROUP BY ALL)
-SELECT query_id, document_id, row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, score FROM canon""")
+@query(of_both("""SELECT 'documents_{config}' AS config, f.canonical_id AS document_id, f.document, 'mixed' AS split FROM firsts f
+WHERE (SELECT count(*) FROM docs) > (SELECT count(*) FROM firsts)""", DOCS))
+def posthoc_documents(spark, sf):
+    """The documents that the post-hoc dedup wrote."""
+    return _deduped(spark, sf).filter(F.col("config").startswith("documents_")).select("config", "document_id", "document", "split")
+
+
+@query(of_both("""SELECT 'scores_{config}' AS config, query_id, document_id,
+  row_number() OVER (PARTITION BY query_id ORDER BY p) AS place, score
+FROM canon WHERE (SELECT count(*) FROM docs) > (SELECT count(*) FROM firsts)""", DOCS, CANON))
 def posthoc_scores(spark, sf):
     """The score lists that the post-hoc dedup wrote."""
-    from negsift.plans.posthoc import dedup_published, read_subset
+    scores = _deduped(spark, sf).filter(F.col("config").startswith("scores_"))
+    entries = scores.select("config", "query_id", F.posexplode(F.arrays_zip("document_ids", "scores")).alias("i", "e"))
+    return entries.select(
+        "config", "query_id", F.col("e.document_ids").alias("document_id"), (F.col("i") + 1).cast("long").alias("place"),
+        F.col("e.scores").alias("score"),
+    )
+
+
+def _deduped(spark, sf) -> DataFrame:
+    from negsift.plans.posthoc import dedup_published
 
     out, _ = job(spark, sf, "kd")
     written = scratch_path(spark, "deduped")
-    dedup_published(spark, f"{out}/demo_kd", written, ("bench-mixed",))
-    return typed(formats.entries_of(read_subset(spark, written, "scores", "bench-mixed")), "query_id", "document_id", "place", "score")
+    dedup_published(spark, f"{out}/demo_kd", written, TARGETS)
+    return spark.read.option("mergeSchema", True).parquet(written)

@@ -8,8 +8,10 @@ from checks.catalog import query
 from negsift.functions.vectors import l2_normalize as unit_vector
 from negsift.operators import cells, encode, late
 from negsift.operators.retrieve import knn, recall, retrieve
+from negsift.operators.scorers import Dense
+from negsift.operators.topk import emitted
 from negsift.schema import KEYS
-from negsift.session import scratch_path
+from negsift.session import scratch_path, stored
 
 K = 10
 
@@ -80,14 +82,35 @@ toks AS (
   FROM embeddings, generate_series(0, 3) g(tok))"""
 
 
-@query(f"""WITH {TOKENS} SELECT 'd' || vec_id AS document_id, tok, round(v[1], 6) AS head, len(v)::BIGINT AS width,
-  round(list_sum(v), 6) AS total FROM toks""")
+@query(f"""WITH {TOKENS} SELECT 'd' || vec_id AS document_id, tok, i - 1 AS i, v[i] AS x FROM toks, generate_series(1, 16) g(i)""")
 def token_vectors(spark, sf):
     rows = encode.token_vectors(t.vec_tokens(spark, sf).corpus, "document_id")
-    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return rows.select(
-        "document_id", F.col("tok").cast("long").alias("tok"), F.round(F.col("v")[0].cast("double"), 6).alias("head"),
-        F.size("v").cast("long").alias("width"), F.round(total, 6).alias("total"),
+    return rows.select("document_id", F.col("tok").cast("long").alias("tok"), F.posexplode("v").alias("i", "x")).select(
+        "document_id", "tok", F.col("i").cast("long").alias("i"), F.col("x").cast("double").alias("x")
+    )
+
+
+HASHED_WORD = "list_transform(range(16), lambda i: (('0x' || substr(md5(w), 2 * i + 1, 2))::BIGINT - 127.5))"
+
+
+def word_sets(name: str, source: str, id_col: str, text: str) -> str:
+    return f"""
+{name} AS (
+  SELECT DISTINCT {id_col}, w FROM (
+    SELECT {id_col}, unnest(string_split_regex(lower({text}), '[ \\t\\n\\r\\f]+')) AS w FROM {source}) WHERE w <> '')"""
+
+
+@query(f"""WITH {word_sets('words', 'documents', 'doc_id', 'text')},
+raw AS (SELECT w, {HASHED_WORD} AS v FROM (SELECT DISTINCT w FROM words)),
+unit AS (SELECT w, sqrt(list_inner_product(v, v)) AS n, v FROM raw)
+SELECT doc_id, count(*) AS tokens, round(sum(v[1] / n), 3) AS first_sum, round(sum(v[16] / n), 3) AS last_sum
+FROM words JOIN unit USING (w) GROUP BY doc_id""")
+def encode_tokens(spark, sf):
+    """Token vectors from text: how many, and the sums of their first and last numbers."""
+    rows = encode.hashed_token_encoder()(t.table(spark, sf, "documents"), "text")
+    total = lambda i: F.aggregate("tokens", F.lit(0.0), lambda a, v: a + v[i].cast("double"))
+    return rows.filter(F.size("tokens") > 0).select(
+        "doc_id", F.size("tokens").cast("long").alias("tokens"), F.round(total(0), 3).alias("first_sum"), F.round(total(15), 3).alias("last_sum")
     )
 
 
@@ -120,6 +143,22 @@ def knn_blocked(spark, sf):
     return rounded(exact(spark, sf, form="blocks", doc_block=300, query_block=200))
 
 
+@query(hits_sql(sql.vec_hits(K)))
+def knn_floors(spark, sf):
+    """Floors found on a quarter of the corpus, then the whole corpus in small blocks."""
+    return rounded(exact(spark, sf, form="blocks", doc_block=40, query_block=200, floor_rows=1, floor_share=4))
+
+
+@query(f"""SELECT count(*) AS queries, {K}::BIGINT AS k, true AS bounded FROM embeddings""")
+def knn_emitted(spark, sf):
+    """What leaves the scoring steps stays near k rows per query and share of the floors
+    (twice that is asked), also when each block holds few documents."""
+    queries, corpus, _ = t.vec(spark, sf)
+    sent = emitted(queries, corpus, K, Dense("cosine"), form="blocks", doc_block=20, floor_rows=1, floor_share=4)
+    found = sent.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("queries"))
+    return found.select("queries", F.lit(K).cast("long").alias("k"), (F.col("n") <= 2 * 4 * K * F.col("queries")).alias("bounded"))
+
+
 @query(hits_sql(sql.text_hits(20, 256)))
 def knn_text_topk(spark, sf):
     """Texts in, hits out: hashed encoder and exact cosine."""
@@ -170,35 +209,157 @@ def ivf_all_cells(spark, sf):
     return rounded(exact(spark, sf, method="ivf", nlist=NLIST, nprobe=NLIST))
 
 
-@query()
+@query(f"SELECT 'vec' AS dataset, 'mixed' AS lang, count(*) AS documents, true AS within FROM embeddings")
 def ivf_cells(spark, sf):
-    """Documents per trained cell."""
+    """Trained cells hold every document once, and there are as many as asked for at most."""
     corpus = t.vec(spark, sf).corpus
-    return cells.with_cell(corpus, cells.train_cells(corpus, NLIST)).groupBy(*KEYS, "cell").count()
+    sizes = cells.with_cell(corpus, cells.train_cells(corpus, NLIST)).groupBy(*KEYS, "cell").count()
+    within = F.min("cell").between(0, NLIST - 1) & F.max("cell").between(0, NLIST - 1)
+    return sizes.groupBy(*KEYS).agg(F.sum("count").alias("documents"), within.alias("within"))
+
+
+#: What a trained or random search must reach on these vectors, which are random: the cells
+#: and buckets that it leaves out are as good as those it searches.
+FLOORS = {"ivf": 0.35, "ivfpq": 0.5, "lsh": 0.7, "plaid": 0.5}
+
+
+def enough(kind: str) -> str:
+    return f"SELECT 'vec' AS dataset, 'mixed' AS lang, count(*) * {K} AS wanted, true AS enough FROM embeddings"
 
 
-def _recall(spark, sf, hits: DataFrame) -> DataFrame:
-    return recall(hits, exact(spark, sf), K)
+def _enough(spark, sf, kind: str, hits: DataFrame, against: DataFrame | None = None) -> DataFrame:
+    found = recall(hits, exact(spark, sf) if against is None else against, K)
+    return found.select(*KEYS, "wanted", (F.col("recall") >= FLOORS[kind]).alias("enough"))
 
 
-@query()
+@query(enough("ivf"))
 def ivf_recall(spark, sf):
-    return _recall(spark, sf, exact(spark, sf, method="ivf", nlist=NLIST, nprobe=NPROBE))
+    return _enough(spark, sf, "ivf", exact(spark, sf, method="ivf", nlist=NLIST, nprobe=NPROBE))
 
 
-@query()
+@query(enough("ivfpq"))
 def ivfpq_recall(spark, sf):
-    return _recall(spark, sf, exact(spark, sf, method="ivfpq", nlist=NLIST, nprobe=NLIST, m_pq=8))
+    return _enough(spark, sf, "ivfpq", exact(spark, sf, method="ivfpq", nlist=NLIST, nprobe=NLIST, m_pq=8))
+
+
+PIECES = 8  # sub-vectors of 8 numbers
+
+FIXED_CODES = f"""
+{FIXED_CELLS},
+unit AS (
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS u
+  FROM embeddings),
+celled AS (
+  SELECT u.vec_id, n.cell, k.c, list_transform(range(64), lambda i: u.u[i + 1] - k.c[i + 1]) AS r
+  FROM unit u JOIN near n ON n.vec_id = u.vec_id AND n.place = 1 JOIN centroids k ON k.cell = n.cell),
+coded AS (
+  SELECT * FROM (
+    SELECT d.vec_id, d.cell, j, list_slice(k.c, 8 * j + 1, 8 * j + 8) AS book,
+      row_number() OVER (PARTITION BY d.vec_id, j ORDER BY list_distance(list_slice(d.r, 8 * j + 1, 8 * j + 8), list_slice(k.c, 8 * j + 1, 8 * j + 8)), k.cell) AS place
+    FROM celled d CROSS JOIN generate_series(0, {PIECES - 1}) g(j) CROSS JOIN centroids k)
+  WHERE place = 1),
+approx AS (SELECT vec_id, any_value(cell) AS cell, flatten(list(book ORDER BY j)) AS r FROM coded GROUP BY vec_id)"""
+
+
+@query(f"""WITH {FIXED_CODES},
+scored AS (
+  SELECT 'q' || q.vec_id AS query_id, 'd' || d.vec_id AS document_id,
+    round(list_inner_product(q.u, k.c) + list_inner_product(q.u, d.r), {sql.PLACES}) AS score
+  FROM near p JOIN unit q ON q.vec_id = p.vec_id JOIN approx d ON d.cell = p.cell JOIN centroids k ON k.cell = p.cell WHERE p.place <= 3),
+{sql.ranked('scored', K)}
+SELECT query_id, document_id, score, rank FROM hits""")
+def ivfpq_fixed_topk(spark, sf):
+    """Codes from fixed codebooks, the slices of the fixed centroids."""
+    queries, corpus, _ = t.vec(spark, sf)
+    fixed = label_centroids(spark, sf)
+    books = {key: np.split(block, PIECES, axis=1) for key, block in fixed.items()}
+    coded = cells.with_codes(cells.residuals(cells.with_cell(corpus, fixed), fixed), books)
+    return rounded(cells.ivfpq_topk(queries, coded, fixed, books, K, nprobe=3))
+
+
+TABLES, BITS, FLIPS = 4, 3, 1
+
+
+def fixed_planes(dim: int = 64) -> np.ndarray:
+    """Signs by the first hex digit of an MD5."""
+    import hashlib
+
+    sign = lambda *at: 1.0 if hashlib.md5(":".join(map(str, at)).encode()).hexdigest()[0] in "01234567" else -1.0
+    return np.array([[[sign(a, b, i) for i in range(dim)] for b in range(BITS)] for a in range(TABLES)])
+
 
+FIXED_BUCKETS = f"""
+planes AS (
+  SELECT a AS tbl, b AS bit, list(CASE WHEN substr(md5(a || ':' || b || ':' || i), 1, 1) < '8' THEN 1.0 ELSE -1.0 END::DOUBLE ORDER BY i) AS p
+  FROM generate_series(0, {TABLES - 1}) x(a), generate_series(0, {BITS - 1}) y(b), generate_series(0, 63) z(i) GROUP BY a, b),
+sides AS (
+  SELECT e.vec_id, tbl, bit, list_inner_product(list_transform(e.embedding::DOUBLE[],
+    lambda x: x / sqrt(list_inner_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[]))), p) AS side FROM embeddings e CROSS JOIN planes),
+nearest AS (SELECT *, row_number() OVER (PARTITION BY vec_id, tbl ORDER BY abs(side), bit) AS place FROM sides),
+own AS (
+  SELECT vec_id, tbl, sum(CASE WHEN side > 0 THEN 1 << bit ELSE 0 END)::BIGINT AS bucket FROM sides GROUP BY ALL),
+probed AS (
+  SELECT vec_id, tbl, bucket FROM own
+  UNION ALL SELECT o.vec_id, o.tbl, xor(o.bucket, (1 << n.bit)::BIGINT) FROM own o JOIN nearest n ON n.vec_id = o.vec_id AND n.tbl = o.tbl AND n.place <= {FLIPS}),
+pairs AS (SELECT DISTINCT p.vec_id AS qv, o.vec_id AS dv FROM probed p JOIN own o ON o.tbl = p.tbl AND o.bucket = p.bucket)"""
 
-@query()
+
+@query(f"""WITH {FIXED_BUCKETS},
+scored AS (
+  SELECT 'q' || q.vec_id AS query_id, 'd' || d.vec_id AS document_id, round({sql.METRIC['cosine']}, {sql.PLACES}) AS score
+  FROM pairs JOIN embeddings q ON q.vec_id = qv JOIN embeddings d ON d.vec_id = dv),
+{sql.ranked('scored', K)}
+SELECT query_id, document_id, score, rank FROM hits""")
+def lsh_fixed_topk(spark, sf):
+    """Buckets of fixed planes: a pair is scored once, however many tables it meets in."""
+    queries, corpus, _ = t.vec(spark, sf)
+    return rounded(cells.lsh_topk(queries, corpus, K, flips=FLIPS, planes=fixed_planes(), center={("vec", "mixed"): np.zeros(64)}))
+
+
+@query(f"""WITH {FIXED_BUCKETS}
+SELECT 'vec' AS dataset, 'mixed' AS lang, (SELECT count(*) FROM probed p JOIN own o ON o.tbl = p.tbl AND o.bucket = p.bucket) AS met,
+  (SELECT count(*) FROM embeddings) AS queries, (SELECT count(*) FROM embeddings) AS documents,
+  met / (queries * documents) AS share""")
+def lsh_share(spark, sf):
+    """Pairs that the fixed buckets bring together, as a share of all."""
+    queries, corpus, _ = t.vec(spark, sf)
+    return cells.scored_share(*cells.bucketed(queries, corpus, fixed_planes(), {("vec", "mixed"): np.zeros(64)}, "cosine", FLIPS))
+
+
+def right(hits: str = str(K)) -> str:
+    return f"SELECT 'q' || vec_id AS query_id, {hits}::BIGINT AS hits, true AS exact FROM embeddings"
+
+
+def _right(found: DataFrame, scores: DataFrame) -> DataFrame:
+    """Per query: hits, and whether each has the score that exact search gives the pair."""
+    pair = ["query_id", "document_id"]
+    both = found.select(*pair, "score").join(scores.select(*pair, F.col("score").alias("whole")), pair, "left")
+    return both.groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"), F.bool_and(F.col("score").eqNullSafe(F.col("whole"))).alias("exact"))
+
+
+@query(right())
 def lsh_topk(spark, sf):
-    return rounded(exact(spark, sf, method="hnsw"))
+    """Random planes: k hits per query, each with its exact score."""
+    corpus = t.vec(spark, sf).corpus.count()
+    return _right(exact(spark, sf, method="hnsw"), exact(spark, sf, k=corpus))
+
+
+@query(f"SELECT 'beir/Bench' AS dataset, 'mixed' AS lang, count(*) * {K} AS wanted, true AS enough, true AS pruned FROM benchmark WHERE text <> ''")
+def lsh_text_recall(spark, sf):
+    """Hashed texts, which have near neighbours: nine in ten of them, for three in ten of the pairs."""
+    encoded = encode.hashed_encoder(256)
+    queries, corpus, _ = t.beir_texts(spark, sf)
+    queries, corpus = stored(encoded(queries, "query"), "vectors"), stored(encoded(corpus, "document"), "vectors")
+    planes, center = cells.random_planes(8, 7, 256, 42), cells.centers(corpus, "cosine")
+    hits = cells.lsh_topk(queries, corpus, K, flips=3, planes=planes, center=center)
+    share = cells.scored_share(*cells.bucketed(queries, corpus, planes, center, "cosine", 3)).select(*KEYS, "share")
+    found = recall(hits, knn(queries, corpus, K), K).join(share, KEYS)
+    return found.select(*KEYS, "wanted", (F.col("recall") >= 0.9).alias("enough"), (F.col("share") <= 0.3).alias("pruned"))
 
 
-@query()
+@query(enough("lsh"))
 def lsh_recall(spark, sf):
-    return _recall(spark, sf, exact(spark, sf, method="hnsw"))
+    return _enough(spark, sf, "lsh", exact(spark, sf, method="hnsw"))
 
 
 @query(hits_sql(sql.vec_hits(K)))
@@ -236,13 +397,74 @@ def plaid_full(spark, sf):
     return rounded(late.plaid_topk(queries, corpus, K, nlist=NLIST, nprobe=NLIST, full_scores=None))
 
 
-@query()
+CENTROIDS = 16
+#: Fixed token centroids: words by number, hashed like words.
+FIXED_TOKENS = f"""
+{TOKENS},
+raw AS (SELECT c, {HASHED_WORD.replace("md5(w)", "md5(c::VARCHAR)")} AS v FROM generate_series(0, {CENTROIDS - 1}) g(c)),
+centroids AS (SELECT c, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM raw),
+close AS (
+  SELECT t.vec_id, t.tok, t.v, k.c, k.v AS cv, list_inner_product(t.v, k.v) AS s,
+    row_number() OVER (PARTITION BY t.vec_id, t.tok ORDER BY list_inner_product(t.v, k.v) DESC, k.c) AS place
+  FROM toks t CROSS JOIN centroids k),
+codes AS (SELECT vec_id, tok, c, cv FROM close WHERE place = 1),
+candidates AS (SELECT DISTINCT q.vec_id AS qv, d.vec_id AS dv FROM close q JOIN codes d ON d.c = q.c WHERE q.place <= 2),
+rough AS (
+  SELECT qv, dv, sum(s ORDER BY tok) AS s FROM (
+    SELECT qv, dv, q.tok, max(list_inner_product(q.v, d.cv)) AS s
+    FROM candidates JOIN toks q ON q.vec_id = qv JOIN codes d ON d.vec_id = dv GROUP BY ALL) GROUP BY qv, dv),
+kept AS (
+  SELECT qv, dv FROM (
+    SELECT *, row_number() OVER (PARTITION BY qv ORDER BY round(s, {sql.PLACES}) DESC, 'd' || dv) AS place FROM rough) WHERE place <= {4 * K}),
+best AS (
+  SELECT qv, dv, q.tok, max(list_inner_product(q.v, d.v)) AS s
+  FROM kept JOIN toks q ON q.vec_id = qv JOIN toks d ON d.vec_id = dv GROUP BY ALL),
+scored AS (
+  SELECT 'q' || qv AS query_id, 'd' || dv AS document_id, round(sum(s ORDER BY tok), {sql.PLACES}) AS score FROM best GROUP BY qv, dv),
+{sql.ranked('scored', K)}"""
+
+
+def fixed_token_centroids() -> cells.Matrices:
+    import hashlib
+
+    raw = np.array([np.frombuffer(hashlib.md5(str(c).encode()).digest(), np.uint8) - 127.5 for c in range(CENTROIDS)])
+    return {("vec", "mixed"): raw / np.linalg.norm(raw, axis=1, keepdims=True)}
+
+
+@query(hits_sql(FIXED_TOKENS))
+def plaid_fixed_topk(spark, sf):
+    """Fixed token centroids, two probed per token, the best 4k by centroid scored exactly."""
+    queries, corpus, _ = t.vec_tokens(spark, sf)
+    return rounded(late.plaid_topk(queries, corpus, K, nprobe=2, full_scores=4 * K, centroids=fixed_token_centroids()))
+
+
+@query(f"""WITH {word_sets('dw', 'documents', 'doc_id', 'text')}, {word_sets('qw', 'benchmark', 'item_id', 'text')},
+raw AS (SELECT w, {HASHED_WORD} AS v FROM (SELECT w FROM dw UNION SELECT w FROM qw)),
+unit AS (SELECT w, list_transform(v, lambda x: (x / sqrt(list_inner_product(v, v)))::FLOAT::DOUBLE) AS v FROM raw),
+pairs AS (
+  SELECT a.w AS qw, b.w AS dw, list_inner_product(a.v, b.v) AS s
+  FROM (SELECT * FROM unit WHERE w IN (SELECT w FROM qw)) a CROSS JOIN (SELECT * FROM unit WHERE w IN (SELECT w FROM dw)) b),
+best AS (SELECT pairs.qw, doc_id, max(s) AS s FROM pairs JOIN dw ON dw.w = pairs.dw GROUP BY ALL),
+scored AS (
+  SELECT item_id::VARCHAR AS query_id, doc_id::VARCHAR AS document_id, round(sum(s), 6) AS score
+  FROM qw JOIN best ON best.qw = qw.w GROUP BY ALL),
+{sql.ranked('scored', K)}
+SELECT query_id, score, rank FROM hits""")
+def maxsim_text_topk(spark, sf):
+    """Late interaction from text: every benchmark item against every document."""
+    queries, corpus, _ = t.beir_texts(spark, sf)
+    hits = retrieve(queries, corpus, K, "late_interaction", encode.hashed_token_encoder(), pruned=False)
+    return rounded(hits).select("query_id", F.round("score", 6).alias("score"), "rank")
+
+
+@query(right())
 def plaid_topk(spark, sf):
+    """Trained centroids: k hits per query, each with its exact score."""
     queries, corpus, _ = t.vec_tokens(spark, sf)
-    return rounded(late.plaid_topk(queries, corpus, K, nlist=64))
+    return _right(late.plaid_topk(queries, corpus, K, nlist=64), late.maxsim_topk(queries, corpus, corpus.count()))
 
 
-@query()
+@query(enough("plaid"))
 def plaid_recall(spark, sf):
     queries, corpus, _ = t.vec_tokens(spark, sf)
-    return recall(late.plaid_topk(queries, corpus, K, nlist=64), late.maxsim_topk(queries, corpus, K), K)
+    return _enough(spark, sf, "plaid", late.plaid_topk(queries, corpus, K, nlist=64), late.maxsim_topk(queries, corpus, K))

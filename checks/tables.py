@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from negsift.schema import Bundle, KEYS
 from negsift.sources.beir import beir_bundle
-from negsift.sources.layout import read_table
+from negsift.sources.positions import read_with_pos
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -54,10 +54,22 @@ def vec_tokens(spark: SparkSession, sf: str) -> Bundle:
     return Bundle(token_matrix(queries, 4, 16), token_matrix(corpus, 4, 16), qrels)
 
 
+def beir_texts(spark: SparkSession, sf: str) -> Bundle:
+    """Plain texts of the same two tables, without judgements."""
+    queries = bundle_columns(table(spark, sf, "benchmark"), "beir/Bench", "mixed").select(
+        *KEYS, F.col("item_id").cast("string").alias("query_id"), F.col("text").alias("query"), F.col("item_id").alias("pos")
+    )
+    corpus = bundle_columns(table(spark, sf, "documents"), "beir/Bench", "mixed").select(
+        "dataset", F.lit("mixed").alias("lang"), F.col("doc_id").cast("string").alias("document_id"), F.col("text").alias("document"),
+        F.col("doc_id").alias("pos"),
+    )
+    return Bundle(queries, corpus, queries.limit(0))
+
+
 def chat_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every turn is a source row; only a user turn followed by an assistant turn
     has both fields, so the pair filter drops the others and ids have gaps."""
-    turns = read_table(spark, f"{sf}/conversations.parquet")
+    turns = read_with_pos(spark, f"{sf}/conversations.parquet")
     answers = turns.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"), F.lit("user").alias("role")
     )

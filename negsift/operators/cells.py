@@ -9,8 +9,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from negsift.functions.vectors import cut_vector, l2_normalize
@@ -91,6 +90,8 @@ def nearest_cells(rows: DataFrame, centroids: Matrices, n: int, metric: str) ->
     @F.arrow_udf(INTS)
     def assign(dataset: pa.Array, lang: pa.Array, vectors: pa.Array) -> pa.Array:
         def nearest(key, block):
+            if key not in shared.value:  # a bundle without documents has no cells
+                return np.zeros((len(block), 0), np.int32)
             near = inner_or_distance(as_indexed(block, metric), shared.value[key], metric)
             return np.argsort(near if metric == "l2" else -near, axis=1, kind="stable")[:, :n]
 
@@ -103,18 +104,22 @@ def nearest_cells(rows: DataFrame, centroids: Matrices, n: int, metric: str) ->
 
 def _per_bundle(dataset: pa.Array, lang: pa.Array, vectors: pa.Array, work) -> pa.Array:
     """``work(bundle, matrix)`` gives a row of ints per vector; back in row order."""
-    out: list = [None] * len(vectors)
     bundles = pa.table({"a": dataset, "b": lang}).to_pandas().groupby(["a", "b"]).indices
-    for key, at in bundles.items():
-        for i, row in zip(at, work(key, matrix(pa.chunked_array([vectors.take(pa.array(at))])))):
-            out[i] = row
-    return pa.array(out, pa.list_(pa.int32()))
+    found = [(at, work(key, matrix(pa.chunked_array([vectors.take(pa.array(at))])))) for key, at in bundles.items()]
+    widths = np.zeros(len(vectors), np.int64)
+    for at, rows in found:
+        widths[at] = rows.shape[1]
+    starts = np.concatenate([[0], np.cumsum(widths)])
+    flat = np.zeros(starts[-1], np.int32)
+    for at, rows in found:
+        flat[starts[at][:, None] + np.arange(rows.shape[1])] = rows
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat))
 
 
 def with_cell(corpus: DataFrame, centroids: Matrices, metric: str = "cosine") -> DataFrame:
     """The corpus with the ``cell`` of each document."""
     near = corpus.withColumn("cells", nearest_cells(corpus, centroids, 1, metric))
-    return near.withColumn("cell", F.col("cells")[0]).drop("cells")
+    return near.withColumn("cell", F.get("cells", F.lit(0))).drop("cells")
 
 
 def probes(queries: DataFrame, centroids: Matrices, nprobe: int, metric: str = "cosine") -> DataFrame:
@@ -204,8 +209,11 @@ def residuals(celled: DataFrame, centroids: Matrices, metric: str = "cosine") ->
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def rest(dataset: pa.Array, lang: pa.Array, cell: pa.Array, vectors: pa.Array) -> pa.Array:
         block = as_indexed(matrix(pa.chunked_array([vectors])), metric)
-        keys = zip(dataset.to_pylist(), lang.to_pylist(), cell.to_pylist())
-        block = block - np.array([shared.value[d, l][c] for d, l, c in keys])
+        cells = cell.to_numpy(zero_copy_only=False)
+        out = np.zeros(block.shape)
+        for key, at in pa.table({"a": dataset, "b": lang}).to_pandas().groupby(["a", "b"]).indices.items():
+            out[at] = block[at] - shared.value[key][cells[at]]
+        block = out
         offsets = np.arange(len(block) + 1, dtype=np.int32) * block.shape[1]
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(block.ravel()))
 
@@ -286,15 +294,84 @@ def ivfpq_topk(
 # --- hashing ---------------------------------------------------------------------
 
 
-def hashed(rows: DataFrame, model, metric: str) -> DataFrame:
-    """One row per vector and hash table, keyed by table and bucket."""
-    ready = prepared(rows, metric).withColumn("features", array_to_vector("embedding"))
-    return (
-        model.transform(ready)
-        .select(*rows.columns, F.posexplode("hashes").alias("tbl", "hash"))
-        .withColumn("bucket", vector_to_array("hash")[0].cast("long"))
-        .drop("hash")
-    )
+def random_planes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
+    """Normals of ``bits`` planes for each table."""
+    return np.random.default_rng(seed).normal(size=(tables, bits, dim))
+
+
+def centers(corpus: DataFrame, metric: str) -> Matrices:
+    """Mean vector of each bundle: where its planes go through, so that each halves it."""
+    values = prepared(corpus, metric).select(*KEYS, F.posexplode("embedding").alias("i", "x"))
+    means: dict[tuple, list] = {}
+    for row in values.groupBy(*KEYS, "i").agg(F.avg("x").alias("x")).orderBy(*KEYS, "i").collect():
+        means.setdefault((row["dataset"], row["lang"]), []).append(row["x"])
+    return {key: np.array(mean) for key, mean in means.items()}
+
+
+def with_buckets(rows: DataFrame, planes: np.ndarray, center: Matrices, metric: str, flips: int, name: str) -> DataFrame:
+    """``rows`` with ``name``: per table the vector's bucket, and then those across its
+    ``flips`` nearest planes. Empty for a bundle without center."""
+    shared = rows.sparkSession.sparkContext.broadcast((planes, center))
+
+    @F.arrow_udf(INTS)
+    def hashed(dataset: pa.Array, lang: pa.Array, vectors: pa.Array) -> pa.Array:
+        normals, means = shared.value
+        tables, bits, dim = normals.shape
+
+        def buckets(key, block):
+            if key not in means:
+                return np.zeros((len(block), 0), np.int32)
+            side = (as_indexed(block, metric) - means[key]) @ normals.reshape(-1, dim).T
+            side = side.reshape(len(block), tables, bits)
+            own = ((side > 0) << np.arange(bits)).sum(axis=2)
+            near = np.argsort(np.abs(side), axis=2, kind="stable")[:, :, :flips]
+            return np.concatenate([own[:, :, None], own[:, :, None] ^ (1 << near)], axis=2).reshape(len(block), -1)
+
+        return _per_bundle(dataset, lang, vectors, buckets)
+
+    return rows.withColumn(name, hashed.asNondeterministic()("dataset", "lang", "embedding"))
+
+
+class FirstTable(Dense):
+    """Exact scores under a table and bucket, of the pairs that no earlier table brings together."""
+
+    query_columns, doc_columns = ["embedding", "probed"], ["embedding", "codes"]
+
+    def __init__(self, metric: str, tables: int):
+        super().__init__(metric)
+        self.tables = tables
+
+    def queries(self, table, key):
+        probed = matrix(table["probed"]).astype(np.int32).reshape(table.num_rows, self.tables, -1)
+        return super().queries(table, key), probed, key[-2]
+
+    def docs(self, table, key):
+        return super().queries(table, key), matrix(table["codes"]).astype(np.int32)
+
+    def query_powers(self, q):
+        return super().query_powers(q[0])
+
+    doc_powers = query_powers
+
+    def score(self, q, start, stop, d):
+        vectors, probed, current = q
+        out = inner_or_distance(vectors[start:stop], d[0], self.metric)
+        for earlier in range(current):
+            met = np.zeros(out.shape, bool)
+            for probe in range(probed.shape[2]):
+                met |= probed[start:stop, earlier, probe][:, None] == d[1][None, :, earlier]
+            out[met] = np.inf if self.metric == "l2" else -np.inf
+        return out
+
+
+def bucketed(queries: DataFrame, corpus: DataFrame, planes: np.ndarray, center: Matrices, metric: str, flips: int) -> tuple[DataFrame, DataFrame]:
+    """Queries with a row per table and probed bucket, documents with one per table."""
+    each = F.col("at") % (flips + 1)
+    probed = with_buckets(queries, planes, center, metric, flips, "probed")
+    asked = probed.select("*", F.posexplode("probed").alias("at", "bucket"))
+    asked = asked.withColumn("tbl", ((F.col("at") - each) / (flips + 1)).cast("int")).drop("at")
+    held = with_buckets(corpus, planes, center, metric, 0, "codes")
+    return asked, held.select("*", F.posexplode("codes").alias("tbl", "bucket"))
 
 
 def lsh_topk(
@@ -302,26 +379,38 @@ def lsh_topk(
     corpus: DataFrame,
     k: int,
     metric: str = "cosine",
-    tables: int = 4,
-    bucket_length: float = 0.5,
+    tables: int = 8,
+    bits: int = 4,
+    flips: int = 2,
     seed: int = 42,
+    planes: np.ndarray | None = None,
+    center: Matrices | None = None,
     **physical,
 ) -> DataFrame:
     """Approximate neighbours without a trained index: exact scores for documents
     that share a hash bucket with the query in at least one table.
 
-    The bucket is a key of the top-k operator, so a bucket is never paired out: a
-    large one is split into blocks and each block emits its best k.
+    A table cuts the space by ``bits`` random planes through the mean of the corpus, so a bucket
+    holds about one in 2^bits of it, whatever the scale of the vectors; a query looks
+    into its own bucket and across its ``flips`` nearest planes. A pair is scored in
+    the first table it meets in. The bucket is a key of the top-k operator, so a large one
+    is split into blocks and each block emits its best k.
     """
-    model = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    ).fit(prepared(corpus, metric).select(array_to_vector("embedding").alias("features")))
+    if planes is None:
+        dim = corpus.agg(F.max(F.size("embedding"))).first()[0] or 0
+        planes = random_planes(tables, bits, dim, seed)
+    center = centers(corpus, metric) if center is None else center
+    asked, held = bucketed(queries, corpus, planes, center, metric, flips)
     return topk(
-        hashed(queries, model, metric),
-        hashed(corpus, model, metric),
-        k,
-        Dense(metric),
-        keys=[*KEYS, "tbl", "bucket"],
-        ascending=metric == "l2",
-        **physical,
+        asked, held, k, FirstTable(metric, len(planes)), keys=[*KEYS, "tbl", "bucket"], ascending=metric == "l2", **physical
     )
+
+
+def scored_share(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """Per bundle: pairs that meet in the buckets, repeats included, of all pairs."""
+    on = [*KEYS, "tbl", "bucket"]
+    pairs = asked.groupBy(*on).count().join(held.groupBy(*on).agg(F.count(F.lit(1)).alias("docs")), on)
+    met = pairs.groupBy(*KEYS).agg(F.sum(F.col("count") * F.col("docs")).alias("met"))
+    distinct = lambda rows, c, name: rows.filter("tbl = 0").groupBy(*KEYS).agg(F.count_distinct(c).alias(name))
+    both = met.join(distinct(asked, "query_id", "queries"), KEYS).join(distinct(held, "document_id", "documents"), KEYS)
+    return both.withColumn("share", F.col("met") / (F.col("queries") * F.col("documents")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from negsift.functions.text import text_key
-from negsift.operators.skew import HOT_ROWS, hot_keys, lookup
+from negsift.operators.skew import HOT_ROWS, hot_keys, hottest, lookup
 from negsift.schema import Bundle, KEYS
 from negsift.session import stored
 
@@ -48,7 +48,7 @@ def _with_canonical(corpus: DataFrame, keys: list[str], hot_rows: int) -> DataFr
         text_keys(corpus, keys),
         canonical,
         [*keys, "text_key"],
-        canonical.filter(F.col("copies") >= hot_rows),
+        hottest(canonical, "copies", hot_rows),
         spread=F.encode(F.concat(F.lit("row "), F.col("pos").cast("string")), "utf-8"),
     )
 
@@ -70,8 +70,9 @@ def dedup_corpus(
 ) -> DataFrame:
     """The first row of each text, as it is.
 
-    Written as "all rows but the later copies": the copies are few and only ids,
-    so the join is usually a broadcast and the bodies do not move.
+    Written as "all rows but the later copies", whose side holds positions only. While
+    those fit a broadcast the bodies do not move; beyond that the join shuffles
+    the corpus once, by position.
     """
     known = _with_canonical(corpus if digests is None else digests, keys, hot_rows)
     later = known.filter(F.col("pos") > F.col("first_pos")).select(*keys, "pos")
@@ -114,23 +115,24 @@ def remap_scores(
     """Score lists on canonical ids; a repeated id keeps its first place and score.
 
     An unretrieved positive at the head therefore keeps -1 even if a copy of it
-    was retrieved further down. A row with an empty list stays a row.
+    was retrieved further down. A row with an empty list stays a row, and two rows of one
+    query stay two.
     """
     row = [*keys, "query_id", "split"]
     on = [*keys, "document_id"]
-    entries = scores.select(
-        *row, F.posexplode_outer(F.arrays_zip("document_ids", "scores")).alias("place", "entry")
-    ).select(*row, "place", F.col("entry.document_ids").alias("document_id"), F.col("entry.scores").alias("score"))
+    entries = scores.withColumn("_row", F.monotonically_increasing_id()).select(
+        *row, "_row", F.posexplode_outer(F.arrays_zip("document_ids", "scores")).alias("place", "entry")
+    ).select(*row, "_row", "place", F.col("entry.document_ids").alias("document_id"), F.col("entry.scores").alias("score"))
     hot = mapping.join(hot_keys(entries.filter("document_id is not null"), on, hot_rows), on, "left_semi")
     spread = F.concat_ws(" ", F.lit("row"), "query_id", F.col("place").cast("string"))
     first = (
         lookup(entries, mapping, on, hot, spread)
-        .groupBy(*row, F.coalesce("canonical_id", "document_id").alias("document_id"))
+        .groupBy(*row, "_row", F.coalesce("canonical_id", "document_id").alias("document_id"))
         .agg(F.min("place").alias("place"), F.min_by("score", "place").alias("score"))
     )
     entry = F.when(F.col("document_id").isNotNull(), F.struct("place", "document_id", "score"))
     return (
-        first.groupBy(*row)
+        first.groupBy(*row, "_row")
         .agg(F.array_sort(F.collect_list(entry)).alias("list"))
         .select(
             *row,
@@ -166,11 +168,14 @@ def corpus_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
-def resolve_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per id: the last one in source order wins."""
-    on = [*keys, "document_id"]
-    last = corpus.groupBy(*on).agg(F.max("pos").alias("last_pos"), F.count(F.lit(1)).alias("n"))
+def resolve_id_conflicts(
+    rows: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS, id_col: str = "document_id"
+) -> DataFrame:
+    """One row per id: the last one in source order wins. Only ids and positions are shuffled."""
+    on = [*keys, id_col]
+    ids = rows.select(*on, "pos")
+    last = ids.groupBy(*on).agg(F.max("pos").alias("last_pos"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     spread = F.concat(F.lit("row "), F.col("pos").cast("string"))
-    known = lookup(corpus.select(*on, "pos"), last.filter("n > 1"), on, last.filter(F.col("n") >= hot_rows), spread)
+    known = lookup(ids, last, on, hottest(last, "n", hot_rows), spread)
     stale = known.filter(F.col("pos") < F.col("last_pos")).select(*keys, "pos")
-    return corpus.join(stale, [*keys, "pos"], "left_anti")
+    return rows.join(stale, [*keys, "pos"], "left_anti")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from negsift.functions.vectors import cut_vector, hashed_counts
+from negsift.functions.vectors import cut_vector, hashed_counts, hashed_tokens
 from negsift.operators.spread import spread_small
 from negsift.schema import KEYS
 
@@ -39,6 +40,46 @@ def vector_column(name: str) -> Callable[[DataFrame, str], DataFrame]:
     return lambda rows, text: rows.withColumn("embedding", F.col(name).cast(VECTOR))
 
 
+def mode_of(text: str) -> str:
+    """Which side of the search a text column is."""
+    return "query" if text == "query" else "document"
+
+
+def hashed_token_encoder(max_tokens: dict[str, int] | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """``tokens``: a unit vector of 16 numbers per word, taken from the word's MD5.
+
+    ``max_tokens`` is the model's limit by mode, query or document; a word of a text
+    counts once, where it first stands. A null text has no tokens.
+    """
+    limits = max_tokens or {}
+
+    def encode(rows: DataFrame, text: str) -> DataFrame:
+        return spread_small(rows).withColumn("tokens", hashed_tokens(F.col(text), limits.get(mode_of(text), 0)))
+
+    return encode
+
+
+def model_token_encoder(make_predict: Callable, batch_size: int = 32) -> Callable[[DataFrame, str], DataFrame]:
+    """Any late-interaction model. ``make_predict(mode)`` loads it for queries or for
+    documents, once per task, and returns a function from a list of texts to a list of matrices,
+    a row per token."""
+
+    def encode(rows: DataFrame, text: str) -> DataFrame:
+        mode = mode_of(text)
+
+        @F.pandas_udf(T.ArrayType(VECTOR))
+        def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            model = make_predict(mode)
+            for batch in batches:
+                texts = batch.fillna("").tolist()
+                found = [matrix for at in range(0, len(texts), batch_size) for matrix in model(texts[at : at + batch_size])]
+                yield pd.Series([[list(map(float, v)) for v in matrix] for matrix in found])
+
+        return spread_small(rows).withColumn("tokens", predict(F.col(text)))
+
+    return encode
+
+
 def token_matrix(rows: DataFrame, parts: int, width: int, vector: str = "embedding") -> DataFrame:
     """Adds ``tokens``, one vector per consecutive piece of a vector column."""
     return rows.withColumn("tokens", cut_vector(F.col(vector), parts, width))

@@ -131,13 +131,16 @@ def contrastive_long(
     return _attach(numbered, corpus, "document_id", "document", hot_rows)
 
 
-def threshold(long: DataFrame, ratio: float) -> DataFrame:
-    """Without the negatives that score above ``ratio`` times their positive."""
+def threshold(long: DataFrame, ratio: float, metric: str = "cosine") -> DataFrame:
+    """Without the negatives that come too near their positive.
+
+    Similarities: those that score above ``ratio`` times the positive. Distances are small
+    where texts are near, so for ``l2`` those below the positive's over ``ratio``.
+    """
     best = long.filter("ordinal = -1").select(*QUERY, F.col("score").alias("positive_score"))
     joined = long.join(best, QUERY)
-    return joined.filter((F.col("ordinal") == -1) | (F.col("score") <= ratio * F.col("positive_score"))).drop(
-        "positive_score"
-    )
+    far = F.col("score") >= F.col("positive_score") / ratio if metric == "l2" else F.col("score") <= ratio * F.col("positive_score")
+    return joined.filter((F.col("ordinal") == -1) | far).drop("positive_score")
 
 
 def contrastive_wide(long: DataFrame, queries: DataFrame, num_negatives: int) -> DataFrame:

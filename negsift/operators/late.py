@@ -10,12 +10,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from negsift.operators.cells import INTS, Matrices, nearest_cells, train_cells
-from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged, sum_per_text
-from negsift.operators.topk import BROADCAST_BYTES, best, groups, pair_schema, size_in_bytes, topk
-from negsift.schema import KEYS, SCORE_PLACES
+from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged, runs, sum_per_text
+from negsift.operators.topk import BROADCAST_BYTES, best, groups, pair_schema, rounded, size_in_bytes, topk
+from negsift.schema import KEYS
 
 
 def maxsim_topk(queries: DataFrame, corpus: DataFrame, k: int, **physical) -> DataFrame:
@@ -34,72 +34,92 @@ def document_codes(corpus: DataFrame, centroids: Matrices) -> DataFrame:
     @F.arrow_udf(INTS)
     def assign(dataset: pa.Array, lang: pa.Array, texts: pa.Array) -> pa.Array:
         ragged = Ragged(pa.chunked_array([texts]))
-        out = [
-            (ragged.tokens[lo:hi] @ shared.value[d, l].T).argmax(1) if hi > lo else []
-            for d, l, lo, hi in zip(dataset.to_pylist(), lang.to_pylist(), ragged.starts[:-1], ragged.starts[1:])
-        ]
-        return pa.array(out, pa.list_(pa.int32()))
+        out = np.zeros(len(ragged.tokens), np.int32)
+        text = np.repeat(np.arange(len(ragged.counts)), ragged.counts)
+        bundles = pa.table({"a": dataset, "b": lang}).to_pandas().groupby(["a", "b"]).indices
+        for key, at in bundles.items():
+            centroids = shared.value[key]
+            own = np.flatnonzero(np.isin(text, at)) if len(bundles) > 1 else np.arange(len(out))
+            step = max(1, MaxSim.cells // len(centroids))
+            for lo in range(0, len(own), step):
+                some = own[lo : lo + step]
+                out[some] = (ragged.tokens[some] @ centroids.T).argmax(1)
+        return pa.ListArray.from_arrays(pa.array(ragged.starts.astype(np.int32)), pa.array(out))
 
     return corpus.select(*KEYS, "document_id", assign.asNondeterministic()("dataset", "lang", "tokens").alias("codes"))
 
 
-@F.arrow_udf(T.DoubleType())
-def _pair_maxsim(queries: pa.Array, documents: pa.Array) -> pa.Array:
-    q, d = Ragged(pa.chunked_array([queries])), Ragged(pa.chunked_array([documents]))
-    out = np.zeros(len(queries))
-    for i in np.flatnonzero((q.counts > 0) & (d.counts > 0)):
-        sims = q.tokens[q.starts[i] : q.starts[i + 1]] @ d.tokens[d.starts[i] : d.starts[i + 1]].T
-        out[i] = sims.max(axis=1).sum()
-    return pa.array(np.round(out, SCORE_PLACES) + 0.0)
+def _wanted_scores(q: Ragged, at: np.ndarray, d: Ragged, i: int) -> np.ndarray:
+    """Rounded scores of the queries ``at`` against document ``i``, in bounded products."""
+    out = np.zeros(len(at))
+    own = d.tokens[d.starts[i] : d.starts[i + 1]]
+    if len(own):
+        sizes = q.counts[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        for lo, hi in runs(ends, max(1, MaxSim.cells // len(own))):
+            rows = np.concatenate([np.arange(q.starts[j], q.starts[j + 1]) for j in at[lo:hi]] or [np.zeros(0, np.int64)])
+            if len(rows):
+                best = (q.tokens[rows] @ own.T).max(axis=1)
+                out[lo:hi] = sum_per_text(best[:, None], ends[lo : hi + 1] - ends[lo], sizes[lo:hi])[:, 0]
+    return out
+
+
+#: Queries that one row lists for a document; a document that more want has more rows.
+WANTED = 1024
 
 
 def exact_scores(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, broadcast_bytes: int) -> DataFrame:
     """Late-interaction scores of given pairs.
 
-    Token vectors are far larger than ids, so they should not travel once per
-    pair. While the queries fit a broadcast, a document's tokens meet the list of
-    the queries that want it, which is no longer than the bundle's queries.
-    Beyond that both sides are joined to the pairs.
+    Token vectors are far larger than ids, so they should not travel once per pair:
+    a document's tokens meet lists of up to about ``WANTED`` queries that want it. While the
+    queries fit a broadcast their tokens are looked up; beyond that they are joined to
+    the pairs first, and come in the lists. Both ways score by the same steps.
     """
     pairs = candidates.select(*KEYS, "query_id", "document_id")
     queries = queries.select(*KEYS, "query_id", "tokens")
     documents = corpus.select(*KEYS, "document_id", F.col("tokens").alias("_d"))
-    if size_in_bytes(queries) > broadcast_bytes:
-        joined = pairs.join(documents, [*KEYS, "document_id"]).join(
-            queries.withColumnRenamed("tokens", "_q"), [*KEYS, "query_id"]
-        )
-        return joined.select(*KEYS, "query_id", "document_id", _pair_maxsim("_q", "_d").alias("score"))
-
-    # At most broadcast_bytes, measured above.
-    by_bundle = {
-        key: ({q: i for i, q in enumerate(part["query_id"].to_pylist())}, Ragged(part["tokens"]))
-        for key, part in groups(queries.toArrow(), KEYS)
-    }
-    shared = queries.sparkSession.sparkContext.broadcast(by_bundle)
+    size, _ = size_in_bytes(queries)
+    shared = None
+    if size <= broadcast_bytes:
+        by_bundle = {
+            key: ({q: i for i, q in enumerate(part["query_id"].to_pylist())}, Ragged(part["tokens"]))
+            for key, part in groups(queries.toArrow(), KEYS)
+        }
+        shared = queries.sparkSession.sparkContext.broadcast(by_bundle)
+    else:
+        pairs = pairs.join(queries, [*KEYS, "query_id"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d = Ragged(pa.chunked_array([batch["_d"]]))
-            wanted = batch["_queries"].to_pylist()
-            values = []
-            for i, (dataset, lang) in enumerate(zip(batch["dataset"].to_pylist(), batch["lang"].to_pylist())):
-                places, q = shared.value[dataset, lang]
-                at = np.array([places[query] for query in wanted[i]])
-                rows = np.concatenate([np.arange(q.starts[j], q.starts[j + 1]) for j in at])
-                found = np.zeros(len(at))
-                if len(rows) and d.counts[i]:
-                    sims = q.tokens[rows] @ d.tokens[d.starts[i] : d.starts[i + 1]].T
-                    ends = np.concatenate([[0], np.cumsum(q.counts[at])])
-                    found = sum_per_text(sims.max(axis=1)[:, None], ends, q.counts[at])[:, 0]
-                values.append(np.round(found, SCORE_PLACES) + 0.0)
+            powers = d.powers()
             lists = batch["_queries"]
+            own = Ragged(pa.chunked_array([batch["_tokens"].flatten()])) if shared is None else None
+            at_end = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            wanted, values = lists.to_pylist(), []
+            for i, key in enumerate(zip(batch["dataset"].to_pylist(), batch["lang"].to_pylist())):
+                if shared is None:
+                    q, at = own, np.arange(at_end[i], at_end[i + 1])
+                else:
+                    places, q = shared.value[key]
+                    at = np.array([places[query] for query in wanted[i]])
+                found = _wanted_scores(q, at, d, i)
+                values.append(rounded(found[:, None], q.powers_at(at), powers[i : i + 1])[:, 0])
             row = pc.list_parent_indices(lists)
             columns = [batch[c].take(row) for c in KEYS] + [lists.flatten(), batch["document_id"].take(row)]
             scores = pa.array(np.concatenate(values) if values else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*columns, scores], names=[*KEYS, "query_id", "document_id", "score"])
 
-    wanted = pairs.groupBy(*KEYS, "document_id").agg(F.collect_list("query_id").alias("_queries"))
-    return wanted.join(documents, [*KEYS, "document_id"]).mapInArrow(score, pair_schema(queries, KEYS))
+    on = [*KEYS, "document_id"]
+    lists = [F.collect_list("query_id").alias("_queries")]
+    if shared is None:
+        both = F.collect_list(F.struct("query_id", "tokens"))
+        lists = [F.transform(both, lambda e: e["query_id"]).alias("_queries"), F.transform(both, lambda e: e["tokens"]).alias("_tokens")]
+    counts = pairs.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / WANTED).cast("int").alias("_n")).filter("_n > 1")
+    part = F.pmod(F.xxhash64("query_id"), F.coalesce("_n", F.lit(1)))
+    wanted = pairs.join(counts, on, "left").withColumn("_part", part).groupBy(*on, "_part").agg(*lists).drop("_part")
+    return wanted.join(documents, on).mapInArrow(score, pair_schema(queries, KEYS))
 
 
 def plaid_topk(
@@ -137,7 +157,7 @@ def plaid_topk(
         keys = [*KEYS, "cell"]
         celled = codes.join(corpus.select(*KEYS, "document_id", "tokens"), [*KEYS, "document_id"])
         return topk(
-            probe, celled.withColumn("cell", F.explode(F.array_distinct("codes"))), k, MaxSim(), keys=keys, **physical
+            probe, celled.withColumn("cell", F.explode(F.array_distinct("codes"))), k, MaxSim(), keys=keys, once=False, **physical
         )
     keep = max(4 * k, 256) if full_scores == -1 else full_scores
     shared = corpus.sparkSession.sparkContext.broadcast(centroids)
@@ -147,6 +167,7 @@ def plaid_topk(
         keep,
         CentroidMaxSim(shared),
         keys=[*KEYS, "cell"],
+        once=False,
         **physical,
     )
     limit = physical.get("broadcast_bytes", BROADCAST_BYTES)

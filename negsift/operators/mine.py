@@ -83,15 +83,21 @@ def skipped_queries(queries: DataFrame, qrels: DataFrame) -> DataFrame:
     return queries.join(qrels.select(*QUERY).distinct(), QUERY, "left_anti")
 
 
-def mining_report(queries: DataFrame, entries: DataFrame) -> DataFrame:
-    """Per bundle: queries, skipped queries, results, positives not retrieved."""
+def mining_report(queries: DataFrame, entries: DataFrame, available: DataFrame | None = None) -> DataFrame:
+    """Per bundle: queries, skipped queries, results, positives not retrieved.
+
+    ``available`` are the queries before sampling; then ``queries_available`` says how
+    many there were.
+    """
     asked = queries.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("queries"))
     mined = entries.groupBy(*KEYS).agg(
         F.count_if(F.col("place") == 1).alias("results"),
         F.count_if(F.col("is_pos") & ~F.col("retrieved")).alias("positives_not_retrieved"),
     )
+    if available is not None:
+        asked = available.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("queries_available")).join(asked, KEYS, "left")
     return (
         asked.join(mined, KEYS, "left")
-        .fillna(0, ["results", "positives_not_retrieved"])
+        .fillna(0, ["queries", "results", "positives_not_retrieved"])
         .withColumn("skipped", F.col("queries") - F.col("results"))
     )

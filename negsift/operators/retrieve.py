@@ -27,8 +27,9 @@ def knn(
     nlist: int = 100,
     nprobe: int = 10,
     m_pq: int = 8,
-    hash_tables: int = 4,
-    bucket_length: float = 0.5,
+    hash_tables: int = 8,
+    hash_bits: int = 4,
+    hash_flips: int = 2,
     seed: int = 42,
     **physical,
 ) -> DataFrame:
@@ -48,7 +49,7 @@ def knn(
         index = build_codes(corpus, nlist, m_pq, metric, seed)
         return ivfpq_topk(queries, *index, k, nprobe, metric, **physical)
     if method == "hnsw":
-        return lsh_topk(queries, corpus, k, metric, hash_tables, bucket_length, seed, **physical)
+        return lsh_topk(queries, corpus, k, metric, hash_tables, hash_bits, hash_flips, seed, **physical)
     raise ValueError(f"unknown index method: {method}")
 
 

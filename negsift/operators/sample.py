@@ -15,10 +15,10 @@ def sample(rows: DataFrame, n: int | None, seed: int, id_col: str, keys: list[st
 
     No limit when ``n`` is 0 or None. The choice depends on ids and seed only, not
     on partitions. Ranking a whole bundle would sort it in one task, so the rows
-    are first counted per slot, the leading digits of the key: the slots before
-    the n-th row are taken whole, the one that holds it is ranked, and the rest
-    is dropped before any row moves. The slot table has at most 65,536 rows per
-    bundle.
+    are first counted per slot, the leading digits of the key. Slots beyond the one
+    that holds the n-th row are dropped before any row moves; the others are ranked
+    slot by slot, so that a task ranks a slot's rows and the sample alone is shuffled.
+    The slot table has at most 65,536 rows per bundle.
     """
     if not n:
         return rows

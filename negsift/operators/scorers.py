@@ -44,6 +44,14 @@ def inner_or_distance(q: np.ndarray, d: np.ndarray, metric: str) -> np.ndarray:
     return np.maximum((q * q).sum(1)[:, None] + (d * d).sum(1)[None, :] - 2 * dot, 0.0)
 
 
+def powers(lengths: np.ndarray) -> np.ndarray:
+    """The nearest power of ten of each length; 0 for length 0."""
+    out = np.zeros(len(lengths), np.int64)
+    some = lengths > 0
+    out[some] = np.rint(np.log10(lengths[some])).astype(np.int64)
+    return out
+
+
 class Dense:
     """One vector per text: cosine, inner product or squared distance."""
 
@@ -59,6 +67,11 @@ class Dense:
 
     docs = queries
 
+    def query_powers(self, q):
+        return powers(np.linalg.norm(q, axis=1)) if self.metric != "cosine" else np.zeros(len(q), np.int64)
+
+    doc_powers = query_powers
+
     def score(self, q, start, stop, d):
         return inner_or_distance(q[start:stop], d, self.metric)
 
@@ -72,6 +85,16 @@ class Ragged:
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
         self.tokens = matrix(pa.chunked_array([texts.flatten()])) if self.starts[-1] else np.zeros((0, 0))
 
+    def powers_at(self, texts: np.ndarray) -> np.ndarray:
+        if not hasattr(self, "_powers"):
+            self._powers = self.powers()
+        return self._powers[texts]
+
+    def powers(self) -> np.ndarray:
+        """By the longest token of each text."""
+        lengths = np.linalg.norm(self.tokens, axis=1)[None, :] if len(self.tokens) else np.zeros((1, 0))
+        return powers(best_per_text(lengths, self.starts, self.counts)[0])
+
 
 def best_per_text(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Maximum over each text's columns; a text without tokens adds nothing."""
@@ -90,38 +113,66 @@ def sum_per_text(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) ->
     return out
 
 
+def runs(starts: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Texts in runs of about ``most`` tokens; a run may be one long text."""
+    texts = len(starts) - 1
+    cuts = np.searchsorted(starts, np.arange(0, max(starts[-1], 1), max(most, 1)))
+    cuts = np.unique(np.concatenate([[0], cuts[cuts < texts], [texts]]))
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+
+
 class MaxSim:
     """Late interaction: for each query token the best document token, summed."""
 
     query_columns = doc_columns = ["tokens"]
     query_block, doc_block = 1_024, 2_000
-    step = 50_000  # document tokens per product
+    cells = 8_000_000  # of query tokens times document tokens in one product
 
     def queries(self, table, key):
         return Ragged(table["tokens"])
 
     docs = queries
 
+    def query_powers(self, q):
+        return q.powers()
+
+    doc_powers = query_powers
+
+    def similarities(self, q, d, tokens, lo, hi):
+        """Query tokens against the tokens of the documents ``lo`` to ``hi``."""
+        return tokens @ d.tokens[d.starts[lo] : d.starts[hi]].T
+
+    def tokens_of(self, q, start, stop):
+        return q.tokens[q.starts[start] : q.starts[stop]]
+
     def score(self, q, start, stop, d):
-        counts = q.counts[start:stop]
-        starts = q.starts[start : stop + 1] - q.starts[start]
-        tokens = q.tokens[q.starts[start] : q.starts[stop]]
+        """Queries and documents are taken in runs whose product of tokens is bounded."""
         out = np.zeros((stop - start, len(d.counts)))
-        if not len(tokens) or not len(d.tokens):
+        if not q.starts[stop] - q.starts[start] or not d.starts[-1]:
             return out
-        # Documents are taken in runs of about `step` tokens; a run may be one long one.
-        cuts = np.unique(np.searchsorted(d.starts, np.arange(0, d.starts[-1], self.step)))
-        cuts = np.append(cuts[cuts < len(d.counts)], len(d.counts))
-        if cuts[0] != 0:
-            cuts = np.insert(cuts, 0, 0)
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            sims = tokens @ d.tokens[d.starts[lo] : d.starts[hi]].T
-            best = best_per_text(sims, d.starts[lo : hi + 1] - d.starts[lo], d.counts[lo:hi])
-            out[:, lo:hi] = sum_per_text(best, starts, counts)
+        side = max(1, int(self.cells**0.5))
+        for a, b in runs(q.starts[start : stop + 1] - q.starts[start], side):
+            tokens = self.tokens_of(q, start + a, start + b)
+            if not len(tokens):
+                continue
+            starts = q.starts[start + a : start + b + 1] - q.starts[start + a]
+            for lo, hi in runs(d.starts, max(1, self.cells // len(tokens))):
+                best = best_per_text(self.similarities(q, d, tokens, lo, hi), d.starts[lo : hi + 1] - d.starts[lo], d.counts[lo:hi])
+                out[a:b, lo:hi] = sum_per_text(best, starts, q.counts[start + a : start + b])
         return out
 
 
-class CentroidMaxSim:
+class _Codes:
+    """Centroids of the tokens of several texts."""
+
+    def __init__(self, column):
+        lists = column.combine_chunks()
+        self.counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+        self.codes = lists.flatten().to_numpy(zero_copy_only=False)
+        self.starts = np.concatenate([[0], np.cumsum(self.counts)])
+
+
+class CentroidMaxSim(MaxSim):
     """MaxSim with each document token replaced by its centroid."""
 
     query_columns, doc_columns = ["tokens"], ["codes"]
@@ -132,20 +183,23 @@ class CentroidMaxSim:
 
     def queries(self, table, key):
         ragged = Ragged(table["tokens"])
-        centroids = self.centroids.value[key[:2]]
-        ragged.sims = ragged.tokens @ centroids.T if len(ragged.tokens) else np.zeros((0, len(centroids)))
+        ragged.centroids = self.centroids.value[key[:2]]
         return ragged
 
     def docs(self, table, key):
-        lists = table["codes"].combine_chunks()
-        counts = lists.value_lengths().to_numpy(zero_copy_only=False)
-        return lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(counts)]), counts
+        codes = _Codes(table["codes"])
+        codes.longest = np.linalg.norm(self.centroids.value[key[:2]], axis=1).max()
+        return codes
 
-    def score(self, q, start, stop, d):
-        codes, doc_starts, doc_counts = d
-        sims = q.sims[q.starts[start] : q.starts[stop]]
-        best = best_per_text(sims[:, codes], doc_starts, doc_counts)
-        return sum_per_text(best, q.starts[start : stop + 1] - q.starts[start], q.counts[start:stop])
+    def doc_powers(self, d):
+        return np.repeat(powers(np.array([d.longest])), len(d.counts))
+
+    def tokens_of(self, q, start, stop):
+        tokens = q.tokens[q.starts[start] : q.starts[stop]]
+        return tokens @ q.centroids.T if len(tokens) else tokens
+
+    def similarities(self, q, d, tokens, lo, hi):
+        return tokens[:, d.codes[d.starts[lo] : d.starts[hi]]]
 
 
 class ProductCodes:
@@ -171,13 +225,23 @@ class ProductCodes:
         rest = vectors - center if self.metric == "l2" else vectors
         books = self.codebooks.value[key[:2]]
         pieces = np.split(rest, len(books), axis=1)
-        return base, [inner_or_distance(p, b, self.metric) for p, b in zip(pieces, books)]
+        # All documents of the chunk are about as long as their cell's centroid.
+        length = max(float(np.linalg.norm(center)), *(float(np.linalg.norm(b, axis=1).max()) for b in books))
+        lengths = np.linalg.norm(vectors, axis=1)
+        size = np.zeros(len(vectors), np.int64) if self.metric == "cosine" else powers(lengths) + powers(np.array([length]))
+        return base, [inner_or_distance(p, b, self.metric) for p, b in zip(pieces, books)], size
 
     def docs(self, table, key):
         return matrix(table["codes"]).astype(np.int64)
 
+    def query_powers(self, q):
+        return q[2]
+
+    def doc_powers(self, d):
+        return np.zeros(len(d), np.int64)
+
     def score(self, q, start, stop, d):
-        base, tables = q
+        base, tables, _ = q
         out = np.repeat(base[start:stop, None], len(d), axis=1)
         for piece, table in enumerate(tables):
             out += table[start:stop][:, d[:, piece]]

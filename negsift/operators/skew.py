@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A key is hot from this many rows on. A table of N rows has at most
-#: N / HOT_ROWS hot keys, which is what bounds the broadcast below.
+#: A key is hot from this many rows on, and if it is among the HOT_KEYS largest. No other
+#: key holds more than one in HOT_KEYS of all rows, and the broadcast below is bounded
+#: whatever the size of the table.
 HOT_ROWS = 1_000_000
+HOT_KEYS = 1_000
+
+
+def hottest(keys: DataFrame, count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Of one row per key with its ``count``: the largest keys."""
+    return keys.filter(F.col(count) >= hot_rows).orderBy(F.desc(count)).limit(HOT_KEYS)
 
 
 def hot_keys(rows: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows; the count is combined before the shuffle."""
-    return rows.groupBy(*on).count().filter(F.col("count") >= hot_rows).drop("count")
+    """The largest keys of ``rows``; the count is combined before the shuffle."""
+    return hottest(rows.groupBy(*on).count(), "count", hot_rows).drop("count")
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], hot: DataFrame, spread: Column) -> DataFrame:

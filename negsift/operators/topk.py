@@ -8,12 +8,17 @@ chunks. Pairs are never rows; what a chunk emits is at most k per query.
 
 Two physical forms, chosen by the measured size of the query side:
 
-broadcast  The queries fit ``broadcast_bytes``. Each task reads its part of the
-           corpus as Arrow batches; the documents do not move.
+broadcast  The queries fit ``broadcast_bytes``, with what a task keeps for them. Each
+           task reads its part of the corpus as Arrow batches; the documents do not move.
 blocks     Otherwise both sides are split by id hash into blocks of bounded size
            under each key, queries are copied to the document blocks of their
            key, and the two meet in a cogroup. A key with a third of the corpus
            becomes many blocks and so many tasks.
+
+A large corpus is searched twice: first one in ``FLOOR_SHARE`` of its documents, whose
+k-th best score is a floor under each query's result whatever the others hold. The whole
+corpus is then searched with the floors, and a chunk emits nothing below them: about
+``FLOOR_SHARE`` * k rows per query leave all chunks together, however many there are.
 """
 
 from __future__ import annotations
@@ -26,10 +31,14 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from negsift.operators.spread import spread_small
 from negsift.schema import KEYS, SCORE_PLACES
+from negsift.session import stored
 
 BROADCAST_BYTES = 256 << 20
 CHUNK_BYTES = 256 << 20
 _MATRIX_CELLS = 8_000_000  # score matrix of one chunk, 64 MB of doubles
+FLOOR_ROWS = 1_000_000  # documents from which on floors are looked for
+FLOOR_SHARE = 64
+BLOCK_BYTES = 64 << 20  # queries of one block
 
 
 def topk(
@@ -39,31 +48,65 @@ def topk(
     scorer,
     keys: list[str] = KEYS,
     ascending: bool = False,
-    form: str = "auto",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    doc_block: int | None = None,
-    query_block: int | None = None,
-    spread: bool = True,
+    once: bool = True,
+    **physical,
 ) -> DataFrame:
     """Hits ``dataset, lang, query_id, document_id, score, rank`` of two tables.
 
     ``scorer.query_columns`` and ``scorer.doc_columns`` name the payload, and
     ``scorer.doc_block`` and ``scorer.query_block`` say how many rows of it make a
-    chunk unless the caller does. Equal scores rank by ``document_id``.
+    chunk unless the caller does. Equal scores rank by ``document_id``. ``once`` says
+    that no pair meets under two keys, or that the scorer gives it a score under one of them only
+    (and no finite one elsewhere). ``physical`` goes to :func:`emitted`.
     """
-    doc_block, query_block = doc_block or scorer.doc_block, query_block or scorer.query_block
+    return best(emitted(queries, docs, k, scorer, keys, ascending, once, **physical), k, ascending, distinct=not once)
+
+
+def emitted(
+    queries: DataFrame,
+    docs: DataFrame,
+    k: int,
+    scorer,
+    keys: list[str] = KEYS,
+    ascending: bool = False,
+    once: bool = True,
+    form: str = "auto",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    doc_block: int | None = None,
+    query_block: int | None = None,
+    spread: bool = True,
+    floor_rows: int = FLOOR_ROWS,
+    floor_share: int = FLOOR_SHARE,
+) -> DataFrame:
+    """What the scoring steps send to the final ranking: every hit of it, and some rows more."""
+    doc_block = doc_block or scorer.doc_block
     queries = queries.select(*keys, "query_id", *scorer.query_columns)
     docs = docs.select(*keys, "document_id", *scorer.doc_columns)
+    if form not in ("auto", "broadcast", "blocks"):
+        raise ValueError(f"unknown form: {form}")
+    size, rows = size_in_bytes(queries)
+    floors = None
+    if docs.select("document_id").count() >= floor_rows:
+        part = docs.filter(F.pmod(F.xxhash64(F.lit("floor"), "document_id"), F.lit(floor_share)) == 0)
+        options = {"form": form, "broadcast_bytes": broadcast_bytes, "doc_block": doc_block, "query_block": query_block}
+        first = best(
+            emitted(queries, part, k, scorer, keys, ascending, once, **options, spread=spread, floor_rows=1 << 62),
+            k, ascending, distinct=not once,
+        )
+        floor = F.when(F.lit(ascending), -F.col("score")).otherwise(F.col("score"))
+        floors = stored(first.filter(F.col("rank") == k).select(*KEYS, "query_id", floor.alias("_floor")), "floors")
+        queries = queries.join(floors, [*KEYS, "query_id"], "left")
+    else:
+        queries = queries.withColumn("_floor", F.lit(None).cast("double"))
     if form == "auto":
-        form = "broadcast" if size_in_bytes(queries) <= broadcast_bytes else "blocks"
-    search = _Search(scorer, k, keys, ascending, doc_block, pair_schema(queries, keys))
+        # In a task: the queries, once more as doubles, and the best k of each unless there are floors.
+        needed = 3 * size + (8 * k * rows if floors is None else 0)
+        form = "broadcast" if needed <= broadcast_bytes else "blocks"
+    search = _Search(scorer, k, keys, ascending, doc_block, pair_schema(queries, keys), keep=floors is None)
     if form == "broadcast":
-        found = _against_broadcast(queries, spread_small(docs) if spread else docs, search)
-    elif form == "blocks":
-        found = _against_blocks(queries, docs, search, doc_block, query_block)
-    else:
-        raise ValueError(f"unknown form: {form}")
-    return best(found, k, ascending, distinct=len(keys) > len(KEYS))
+        return _against_broadcast(queries, spread_small(docs) if spread else docs, search)
+    query_block = query_block or max(scorer.query_block, BLOCK_BYTES * rows // max(size, 1))
+    return _against_blocks(queries, docs, search, doc_block, query_block)
 
 
 def best(found: DataFrame, k: int, ascending: bool = False, distinct: bool = False) -> DataFrame:
@@ -76,8 +119,8 @@ def best(found: DataFrame, k: int, ascending: bool = False, distinct: bool = Fal
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def size_in_bytes(rows: DataFrame) -> int:
-    """Size of a table in memory, from the lengths of its values."""
+def size_in_bytes(rows: DataFrame) -> tuple[int, int]:
+    """Bytes of a table in memory, from the lengths of its values, and its rows."""
     size = F.lit(0).cast("long")
     for field in rows.schema.fields:
         kind = field.dataType.simpleString()
@@ -90,7 +133,8 @@ def size_in_bytes(rows: DataFrame) -> int:
         else:
             one = F.lit(8)
         size = size + F.coalesce(one.cast("long"), F.lit(0))
-    return rows.agg(F.sum(size)).first()[0] or 0
+    found = rows.agg(F.sum(size), F.count(F.lit(1))).first()
+    return found[0] or 0, found[1]
 
 
 def pair_schema(queries: DataFrame, keys: list[str]) -> str:
@@ -98,34 +142,48 @@ def pair_schema(queries: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"{c} {types[c]}" for c in KEYS) + ", query_id string, document_id string, score double"
 
 
+def rounded(scores: np.ndarray, query_powers: np.ndarray, doc_powers: np.ndarray) -> np.ndarray:
+    """Scores to SCORE_PLACES places below the size of their pair, a power of ten per side."""
+    if not query_powers.any() and not doc_powers.any():
+        return np.round(scores, SCORE_PLACES) + 0.0
+    factor = 10.0 ** (SCORE_PLACES - query_powers[:, None].astype(float) - doc_powers[None, :])
+    return np.rint(scores * factor) / factor + 0.0
+
+
 class _Search:
     """The work of one task: chunks in, the best k of each query out."""
 
-    def __init__(self, scorer, k, keys, ascending, doc_block, schema):
+    def __init__(self, scorer, k, keys, ascending, doc_block, schema, keep):
         self.scorer, self.k, self.keys = scorer, k, keys
-        self.ascending, self.doc_block, self.schema = ascending, doc_block, schema
+        self.ascending, self.doc_block, self.schema, self.keep = ascending, doc_block, schema, keep
 
     def run(self, key: tuple, left: pa.Table, right: pa.Table, kept: dict | None = None) -> Iterator[pa.RecordBatch]:
         """Score all ``left`` queries against all ``right`` documents of one key.
 
-        A task that scores several chunks for the same queries passes ``kept``,
-        the best k scores so far. Rows below the k-th of them cannot be among the
-        best and stay in the task, so what it emits grows with the logarithm of
-        its chunks. Ties with the k-th go out, the final ranking decides on them.
+        Nothing below a query's floor goes out. A task that scores several chunks for the
+        same queries without floors passes ``kept``, the best k scores so far; rows below
+        the k-th of them cannot be among the best and stay in the task. Ties go out, the
+        final ranking decides on them.
         """
         if left.num_rows == 0 or right.num_rows == 0:
             return
         right = right.sort_by("document_id")
         query_ids, doc_ids = left["query_id"].combine_chunks(), right["document_id"].combine_chunks()
         q, d = self.scorer.queries(left, key), self.scorer.docs(right, key)
+        powers = self.scorer.query_powers(q), self.scorer.doc_powers(d)
+        floors = left["_floor"].to_numpy().astype(np.float64)
+        floors[np.isnan(floors)] = -np.inf
         step = max(1, _MATRIX_CELLS // max(right.num_rows, 1))
-        if kept is not None and key not in kept:
+        if not self.keep:
+            kept = None
+        elif kept is not None and key not in kept:
             kept[key] = np.full((left.num_rows, self.k), -np.inf)
         for start in range(0, left.num_rows, step):
             stop = min(start + step, left.num_rows)
-            scores = np.round(self.scorer.score(q, start, stop, d), SCORE_PLACES) + 0.0
+            scores = rounded(self.scorer.score(q, start, stop, d), powers[0][start:stop], powers[1])
             signed = -scores if self.ascending else scores
             chosen, top = self._select(signed)
+            chosen &= (signed >= floors[start:stop, None]) & (signed > -np.inf)
             if kept is not None:
                 before = kept[key][start:stop]
                 chosen &= signed >= before.min(axis=1, keepdims=True)

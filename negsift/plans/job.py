@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from negsift.operators import formats, mine
-from negsift.operators.sample import qrels_of, sample_queries
+from negsift.operators.sample import sample_queries
 from negsift.plans.load import load_datasets
 from negsift.plans.params import BOTH, COIR, CONTRASTIVE, KD, Dataset, Mining, Output
 from negsift.schema import Bundle, KEYS
@@ -25,16 +25,14 @@ class Mined(NamedTuple):
 def mine_bundle(bundle: Bundle, mining: Mining, max_queries: int | None = None, seed: int = 42) -> Mined:
     """Sample the queries, search the whole corpus for them, split the hits.
 
-    Sampling comes before encoding, the costly step. The entries are written
-    once, because both outputs and the report read them.
+    Sampling comes before encoding, the costly step. The sampled queries and the entries
+    are written once, because search, both outputs and the report read them.
     """
-    queries = sample_queries(bundle.queries, max_queries, seed)
+    queries = stored(sample_queries(bundle.queries, max_queries, seed), "queries")
     hits = mining.retriever(
         queries, bundle.corpus, mining.top_k, architecture=mining.architecture, encode=mining.encode, **mining.search
     )
-    entries = mine.mined_entries(
-        queries, hits, qrels_of(bundle.qrels, queries), mining.num_negatives, mining.metric, mining.l2_parity
-    )
+    entries = mine.mined_entries(queries, hits, bundle.qrels, mining.num_negatives, mining.metric, mining.l2_parity)
     return Mined(queries, bundle.corpus, stored(entries, "entries"))
 
 
@@ -56,11 +54,15 @@ def contrastive_dataset(mined: Mined, corpus: DataFrame, mining: Mining, output:
         output.extra_positives,
         mining.metric,
     )
+    if output.threshold is not None:
+        long = formats.threshold(long, output.threshold, mining.metric)
     return formats.contrastive_wide(long, mined.queries, output.max_per_query)
 
 
 def _in_source_order(rows: DataFrame) -> DataFrame:
-    return rows.sortWithinPartitions(*KEYS, "pos") if "pos" in rows.columns else rows
+    """Files in order, and rows in order within them: a reader that counts positions over
+    the files by name counts the source's."""
+    return rows.repartitionByRange(*KEYS, "pos").sortWithinPartitions(*KEYS, "pos") if "pos" in rows.columns else rows
 
 
 def _config(specs: list[Dataset]) -> Column:
@@ -70,23 +72,37 @@ def _config(specs: list[Dataset]) -> Column:
     return F.when(coir, config_name(COIR, dataset, lang)).otherwise(config_name("", dataset, lang))
 
 
-def replace_parts(rows: DataFrame, path: str) -> None:
+def replace_parts(rows: DataFrame, path: str, folders: list[str] = KEYS) -> None:
     """Write ``rows`` by config and bundle; only the parts they hold are replaced."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("config", *KEYS).parquet(path)
+    writer.partitionBy("config", *folders).parquet(path)
+
+
+#: What a published file holds besides its folders' dataset and language.
+PUBLISHED = {
+    "queries": ["query_id", "query", "split"],
+    "documents": ["document_id", "document", "split"],
+    "scores": ["query_id", "document_ids", "scores", "split"],
+}
 
 
 def _write(rows: DataFrame, subset: str, specs: list[Dataset], output: Output) -> None:
     """Parquet by dataset and language, and once more in the published layout:
-    ``<name>_kd/config=<subset>_<config>`` and ``<name>/config=<config>``."""
+    ``<name>_kd/config=<subset>_<config>`` and ``<name>/config=<config>``.
+
+    A second run replaces what the first one wrote. Published files hold the published
+    columns only.
+    """
     kd = subset != CONTRASTIVE
     local = os.path.join(output.path, KD, subset) if kd else os.path.join(output.path, CONTRASTIVE)
-    _in_source_order(rows).write.partitionBy(*KEYS).parquet(local)
+    _in_source_order(rows).write.mode("overwrite").partitionBy(*KEYS).parquet(local)
     if output.name:
         config = F.concat(F.lit(f"{subset}_"), _config(specs)) if kd else _config(specs)
         written = rows.sparkSession.read.schema(rows.schema).parquet(local)
         target = os.path.join(output.path, output.name + ("_kd" if kd else ""))
-        replace_parts(_in_source_order(written.withColumn("config", config)), target)
+        columns = PUBLISHED.get(subset) or [c for c in rows.columns if c not in (*KEYS, "query_id")]
+        published = _in_source_order(written.withColumn("config", config))
+        replace_parts(published.select("config", *KEYS, *columns), target)
 
 
 def run_job(
@@ -99,7 +115,8 @@ def run_job(
     """
     if output.kind not in (KD, CONTRASTIVE, BOTH):
         raise ValueError(f"unknown output: {output.kind}")
-    mined = mine_bundle(load_datasets(spark, root, datasets), mining, output.max_per_language, output.seed)
+    bundle = load_datasets(spark, root, datasets)
+    mined = mine_bundle(bundle, mining, output.max_per_language, output.seed)
     corpus = mined.corpus
     if output.kind in (KD, BOTH):
         tables = kd_dataset(mined)
@@ -111,7 +128,7 @@ def run_job(
     valid = formats.valid_results(mined.entries, mining.metric).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("valid"))
     status = F.when(F.col("results") == 0, "no results").when(F.col("valid") == 0, "no valid queries").otherwise("written")
     return (
-        mine.mining_report(mined.queries, mined.entries)
+        mine.mining_report(mined.queries, mined.entries, bundle.queries)
         .join(valid, KEYS, "left")
         .fillna(0, ["valid"])
         .withColumn("status", status)

@@ -21,7 +21,7 @@ def _rows(spark: SparkSession, root: str, spec: Dataset, config: str | None, spl
     """
 
     def read(subset: str | None) -> DataFrame:
-        return read_table(spark, table_path(root, spec.name, subset, split), spec.format, spec.schema)
+        return read_table(spark, table_path(root, spec.name, subset, split), spec.format, spec.schema, spec.pos_field)
 
     if not spec.lang_as_config:
         rows = fan_out(read(config), spec.languages)

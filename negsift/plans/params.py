@@ -19,7 +19,8 @@ class Dataset:
     """Where the tables of a dataset are and what their columns are called.
 
     ``layout="coir"`` reads corpus, queries and qrels; any other value reads
-    paired rows.
+    paired rows. ``pos_field`` names a column that holds the source position; without
+    it positions are counted, which only Parquet allows.
     """
 
     name: str
@@ -27,6 +28,7 @@ class Dataset:
     layout: str = PAIRED
     format: str = "parquet"
     schema: Any = None
+    pos_field: str = ""
     lang_as_config: bool = False
     split: str = SPLIT
     query_field: str = ""
@@ -69,12 +71,18 @@ class Mining:
 
 @dataclass(frozen=True)
 class Output:
-    """What is written and where. ``name`` adds the published layout under ``path``."""
+    """What is written and where. ``name`` adds the published layout under ``path``.
+
+    Limits are off unless they are set; the report counts what a limit leaves out.
+    ``threshold`` leaves out negatives that come too near their positive, see
+    :func:`negsift.operators.formats.threshold`.
+    """
 
     path: str
     kind: str = BOTH
     name: str = ""
-    max_per_language: int | None = 100_000
+    max_per_language: int | None = None
     max_per_query: int = 100
     seed: int = 42
     extra_positives: str = AS_NEGATIVES
+    threshold: float | None = None

@@ -24,8 +24,9 @@ KEYS = ["dataset", "lang"]
 #: Score of a positive that retrieval did not return.
 NOT_RETRIEVED = -1.0
 
-#: Similarities are rounded to this many places before they are ranked, so that
-#: copies of a vector tie exactly however the matrix product was blocked.
+#: Scores are rounded before they are ranked, so that copies of a vector tie exactly however
+#: the matrix product was blocked: to this many places below the size of the pair, which is the
+#: product of their lengths to the nearest power of ten. For unit vectors, plain places.
 SCORE_PLACES = 9
 
 

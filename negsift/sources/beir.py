@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from negsift.functions.docstrings import strip_docstrings as strip
 from negsift.functions.text import title_and_text
-from negsift.operators.dedup import dedup_bundle
+from negsift.operators.dedup import dedup_bundle, resolve_id_conflicts
 from negsift.schema import Bundle, KEYS
 
 
@@ -72,9 +72,11 @@ def beir_bundle(
     strip_docstrings: bool = False,
     deduplicate_corpus: bool = False,
 ) -> Bundle:
+    """The three tables as a bundle. Of rows that share an id the last one counts,
+    in the corpus and among the queries: everything later takes an id for one text."""
     bundle = Bundle(
-        beir_queries(queries, queries_id_field, queries_text_field),
-        beir_corpus(corpus, corpus_id_field, corpus_text_field, strip_docstrings=strip_docstrings),
+        resolve_id_conflicts(beir_queries(queries, queries_id_field, queries_text_field), id_col="query_id"),
+        resolve_id_conflicts(beir_corpus(corpus, corpus_id_field, corpus_text_field, strip_docstrings=strip_docstrings)),
         beir_qrels(qrels, qrels_query_id_field, qrels_corpus_id_field, qrels_score_field),
     )
     return dedup_bundle(bundle) if deduplicate_corpus else bundle

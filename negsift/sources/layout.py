@@ -28,18 +28,25 @@ def table_path(root: str, dataset: str, subset: str | None, split: str) -> str:
     return os.path.join(root, dataset, *([subset] if subset else []), split)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """A table with ``pos``. Parquet counts positions; JSON and CSV must hold them."""
-    if fmt == "parquet":
-        columns = spark.read.parquet(path).columns
-        return spark.read.parquet(path) if "pos" in columns else read_with_pos(spark, path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, pos_field: str = "") -> DataFrame:
+    """A table with ``pos``, its source position as a long.
+
+    ``pos_field`` names the column that holds it. Without one it is counted, for
+    Parquet; rows of JSON and CSV have no stable position. A column that merely is called ``pos``
+    is no position and comes out as ``source_pos``.
+    """
+    if fmt == "parquet" and not pos_field:
+        return read_with_pos(spark, path)
     reader = spark.read.schema(schema) if schema else spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     rows = reader.format(fmt).load(path)
-    if "pos" not in rows.columns:
-        raise ValueError(f"{fmt} tables need a pos column, their rows have no stable position: {path}")
-    return rows.withColumn("pos", F.col("pos").cast("long"))
+    if pos_field not in rows.columns:
+        raise ValueError(f"{fmt} tables need a column for the position of their rows, named by pos_field: {path}")
+    position = F.col(f"`{pos_field}`").cast("long")
+    if pos_field != "pos" and "pos" in rows.columns:
+        rows = rows.withColumnRenamed("pos", "source_pos")
+    return rows.withColumn("pos", position)
 
 
 def fan_out(rows: DataFrame, languages: list[str]) -> DataFrame:

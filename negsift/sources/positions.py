@@ -12,7 +12,10 @@ def read_with_pos(spark: SparkSession, path: str) -> DataFrame:
     files before it end; that running total has one row per file, so it is the
     files that are brought together for it and never the rows.
     """
-    rows = spark.read.parquet(path).select(
+    rows = spark.read.parquet(path)
+    if "pos" in rows.columns:
+        rows = rows.withColumnRenamed("pos", "source_pos")
+    rows = rows.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),

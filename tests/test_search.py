@@ -276,7 +276,7 @@ def test_job_searches(spark, tmp_path):
         [
             Mining(10, 5, encode=plain, search={"method": "ivf", "nlist": 2, "nprobe": 2}),
             Mining(10, 5, encode=plain, search={"method": "ivfpq", "nlist": 2, "nprobe": 2, "m_pq": 4}),
-            Mining(10, 5, encode=plain, search={"method": "hnsw", "bucket_length": 2.0}),
+            Mining(10, 5, encode=plain, search={"method": "hnsw", "hash_bits": 2}),
             Mining(10, 5, encode=plain, search={"metric": "l2"}),
             Mining(10, 5, "late_interaction", tokens, {"nlist": 8}),
             Mining(10, 5, "late_interaction", tokens, {"pruned": False}),
