@@ -10,8 +10,9 @@ bounded and is never in one place.
 
 Counting, training and scoring read all texts. Every task adds up the expected counts of its own
 training texts; these are summed by symbol over a shuffle, and the driver sees one row
-per symbol. The frequent words (``FREQUENT``, a parameter) are looked up in a broadcast
-table; all other words of a text meet their counts in a join.
+per symbol. Frequent words, those that are more than one in ``FREQUENT`` of all tokens and so
+fewer than that, are looked up in a broadcast table; all other words of a text meet
+their counts in a join.
 
 A null text counts as empty and has the end alone. Rows are scored each on their own,
 repeated ids too; a null id is in training. An empty table gives an empty result; without
@@ -26,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,14 @@ from negsift.session import stored
 STATES = 8
 SYMBOLS = 1 << 14
 BUCKETS = 1 << 12
-FREQUENT = 1 << 17
+FREQUENT = 1 << 20
 ROUNDS = 5
 SMOOTHING = 0.1
 PRIOR = 100.0  # tokens' worth of the overall shares in each state's emissions
-SEGMENT = 1 << 14
+SEGMENT = 1 << 12
 END = b"\n"  # no word holds a line end
 _FLUSH = 250_000  # distinct words held before a task passes their counts on
-_TOKENS = 400_000  # tokens in one recursion
+_TOKENS = 1_000_000  # tokens in one recursion
 _SEED = 7
 
 
@@ -88,7 +90,8 @@ class Vocabulary:
 
     total: int
     distinct: int
-    frequent: dict[bytes, tuple[int, int]]  # word -> count, symbol or -1
+    frequent: dict[bytes, int]  # word -> place by falling count; the first ones are symbols
+    counts: np.ndarray  # by place
     symbols: int
     buckets: np.ndarray  # per bucket: log10 of (tokens in it + smoothing for its words and one more)
 
@@ -100,18 +103,20 @@ class Vocabulary:
 def vocabulary(words: DataFrame) -> Vocabulary:
     """Counts by word, stored, to the bounded part that every task gets."""
     total, distinct = words.agg(F.coalesce(F.sum("many"), F.lit(0)), F.count(F.lit(1))).first()
-    top = words.orderBy(F.desc("many"), "word").limit(FREQUENT).collect()
-    frequent = {bytes(r["word"]): (r["many"], i if i < SYMBOLS else -1) for i, r in enumerate(top)}
-    symbols = min(len(top), SYMBOLS)
+    found = words.filter(F.col("many").cast("double") * FREQUENT > float(total)).collect()
+    found.sort(key=lambda r: (-r["many"], bytes(r["word"])))
+    frequent = {bytes(r["word"]): i for i, r in enumerate(found)}
+    counted = np.array([r["many"] for r in found], np.int64)
+    symbols = min(len(found), SYMBOLS)
     rest = words.groupBy(F.pmod(F.crc32("word"), F.lit(BUCKETS)).alias("bucket")).agg(F.sum("many").alias("many"), F.count(F.lit(1)).alias("words"))
     many, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in rest.collect():
         many[r["bucket"]], kinds[r["bucket"]] = r["many"], r["words"]
-    for word, (n, symbol) in frequent.items():
-        if symbol >= 0:
-            many[bucket_of(word)] -= n
+    for word, place in frequent.items():
+        if place < symbols:
+            many[bucket_of(word)] -= counted[place]
             kinds[bucket_of(word)] -= 1
-    return Vocabulary(total, distinct, frequent, symbols, np.log10(many + SMOOTHING * (kinds + 1)))
+    return Vocabulary(total, distinct, frequent, counted, symbols, np.log10(many + SMOOTHING * (kinds + 1)))
 
 
 # --- texts as symbols ----------------------------------------------------------------
@@ -132,39 +137,36 @@ def encode(docs: DataFrame, held_out: Column, id_col: str, text_col: str, shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Vocabulary = shared.value
-        frequent, first, base = known.frequent, known.symbols, known.base
-        unseen, log_smoothing = (0, -2), float(np.log10(SMOOTHING))
-        log_count = {n: float(np.log10(n + SMOOTHING)) for n, _ in frequent.values()}
+        place, unseen = known.frequent.get, len(known.counts)
+        # By place; the last entry is that of a word that is not frequent.
+        logs = np.log10(np.append(known.counts, 0) + SMOOTHING)
+        symbol = np.array([i if i < known.symbols else known.symbols + bucket_of(w) for w, i in known.frequent.items()] + [0], np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 held = batch.slice(at, 500)
-                out = [[] for _ in range(7)]
-                for text in held.column("text").to_pylist():
-                    own = tokens(text)
-                    rest: Counter = Counter()
-                    symbols, n_frequent, value, inside = [], 0, 0.0, 0.0
-                    for word in own:
-                        many, symbol = frequent.get(word, unseen)
-                        if symbol >= 0:
-                            value += log_count[many]
-                            n_frequent += 1
-                        else:
-                            bucket = bucket_of(word)
-                            symbol = first + bucket
-                            if many:
-                                n_frequent += 1
-                                log = log_count[many]
-                            else:
-                                rest[word] += 1
-                                log = log_smoothing
-                            value += log
-                            inside += log - known.buckets[bucket]
-                        symbols.append(symbol)
-                    for column, x in zip(out, (len(own), n_frequent, value - len(own) * base, inside, symbols, list(rest), list(rest.values()))):
-                        column.append(x)
-                types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32())]
-                arrays = [held.column("row"), held.column("doc_id"), held.column("held_out")]
-                yield pa.RecordBatch.from_arrays(arrays + [pa.array(x, t) for x, t in zip(out, types)], names=names)
+                texts = [tokens(text) for text in held.column("text").to_pylist()]
+                flat = [word for own in texts for word in own]
+                sizes = np.array([len(own) for own in texts], np.int64)
+                starts = np.cumsum(sizes) - sizes
+                places = np.fromiter(map(place, flat, repeat(unseen)), np.int32, len(flat))
+                symbols, log = symbol[places], logs[places]
+                rare = np.flatnonzero(places == unseen)
+                symbols[rare] = known.symbols + np.fromiter((bucket_of(flat[i]) for i in rare.tolist()), np.int32, len(rare))
+                bucket = symbols - known.symbols
+                inside = np.where(bucket >= 0, log - known.buckets[np.maximum(bucket, 0)], 0.0)
+                ends = np.searchsorted(rare, starts + sizes)
+                rest = [Counter(flat[i] for i in rare[a:b].tolist()) for a, b in zip([0, *ends[:-1]], ends)]
+                n_rare = np.diff(ends, prepend=0)
+                kinds = np.cumsum([0, *map(len, rest)]).astype(np.int32)
+                words = pa.array([w for own in rest for w in own], pa.binary())
+                times = pa.array([n for own in rest for n in own.values()], pa.int32())
+                arrays = [
+                    *(held.column(c) for c in ("row", "doc_id", "held_out")), pa.array(sizes), pa.array(sizes - n_rare),
+                    pa.array(np.add.reduceat(log, starts) - sizes * known.base), pa.array(np.add.reduceat(inside, starts)),
+                    pa.ListArray.from_arrays(pa.array(np.append(starts, len(flat)).astype(np.int32)), pa.array(symbols)),
+                    pa.ListArray.from_arrays(pa.array(kinds), words), pa.ListArray.from_arrays(pa.array(kinds), times),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
@@ -266,13 +268,13 @@ def expect(model: Model, seqs: Sequences, symbols: int) -> tuple[np.ndarray, np.
     return starts, steps * model.step, emits, float(logs.sum())
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], segment: int | None) -> Iterator[tuple[pa.RecordBatch, Sequences]]:
-    """Runs of rows of about ``_TOKENS`` tokens."""
+def _chunks(batches: Iterator[pa.RecordBatch], segment: int | None, most: int = _TOKENS) -> Iterator[tuple[pa.RecordBatch, Sequences]]:
+    """Runs of rows of about ``most`` tokens."""
     for batch in batches:
         lists = batch.column("symbols")
         offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        long = np.nonzero(np.diff(offsets) > _TOKENS)[0]  # each of these alone
-        cuts = np.searchsorted(offsets, np.arange(offsets[0], offsets[-1], _TOKENS))
+        long = np.nonzero(np.diff(offsets) > most)[0]  # each of these alone
+        cuts = np.searchsorted(offsets, np.arange(offsets[0], offsets[-1], most))
         cuts = np.unique(np.concatenate([[0], cuts, long, long + 1, [batch.num_rows]]))
         cuts = cuts[cuts <= batch.num_rows]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -344,7 +346,7 @@ def likelihood(model: Model, symbols: np.ndarray, step: int = _TOKENS) -> float:
 def _likelihoods(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for rows, seqs in _chunks(batches, None):
+        for rows, seqs in _chunks(batches, None, _TOKENS // 2):
             if rows.num_rows == 1:
                 logs = np.array([likelihood(model, seqs.symbols)])
             else:
@@ -368,9 +370,7 @@ def score(
     texts = stored(encode(docs, held_out, id_col, text_col, spark.sparkContext.broadcast(known)), "symbols")
     symbols = known.symbols + BUCKETS
     weights = np.zeros(symbols)
-    for many, symbol in known.frequent.values():
-        if symbol >= 0:
-            weights[symbol] = many
+    weights[: known.symbols] = known.counts[: known.symbols]
     weights[known.symbols :] = 10**known.buckets
     model, _ = train(texts.filter(~F.col("held_out")), symbols, weights, states, rounds)
     shared = spark.sparkContext.broadcast(model)
