@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from negsift.schema import Bundle, KEYS
+from negsift.session import scratch_path
 from negsift.sources.beir import beir_bundle
 from negsift.sources.positions import read_with_pos
 
@@ -90,7 +91,20 @@ def beir_query_rows(spark: SparkSession, sf: str) -> DataFrame:
     return bundle_columns(rows, "beir/Bench", "mixed")
 
 
+_KEPT: dict[tuple[str, str], str] = {}
+
+
 def containing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of a benchmark item and a document that contains it, found once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _KEPT:
+        path = scratch_path(spark, "containing")
+        _containing(spark, sf).write.parquet(path)
+        _KEPT[key] = path
+    return spark.read.parquet(_KEPT[key])
+
+
+def _containing(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of a benchmark item and a document that contains it.
 
     Whatever contains a text contains its inner words as whole words, so the two
