@@ -75,7 +75,7 @@ def classifier(
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     chosen = chosen.select(F.col("doc_id").alias("_of"), *names)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_of"))
-    pairs = texts.select(*names, features(F.col("_text")).alias("found")).select(*names, F.explode("found").alias("feature"))
+    pairs = texts.select(*names, features(F.col("_text")).alias("found")).select(*names, F.explode_outer("found").alias("feature"))
     with_label = [F.sum(n).cast("double").alias(n) for n in names]
     counts = stored(pairs.groupBy("feature").agg(F.count(F.lit(1)).cast("double").alias("docs"), *with_label), "feature-counts")
     whole = counts.filter(F.col("feature") == _BIAS).first()
@@ -113,8 +113,9 @@ def posteriors(docs: DataFrame, weights: list[dict], labels: int = len(LABELS),
         row_key(F.col(id_col), text).alias("key"), F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
         F.size(words_of(text)).cast("long").alias("tokens"), features(text).alias("found"),
     )
-    # A text meets few of the words that count, and always the bias.
-    met = rows.select("key", "doc_id", "_row", "tokens", F.explode("found").alias("feature")).join(F.broadcast(model), "feature")
+    # A text meets few of the words that count, and always the bias. From a plain explode Spark
+    # would derive a filter on the list, and make the list twice for it.
+    met = rows.select("key", "doc_id", "_row", "tokens", F.explode_outer("found").alias("feature")).join(F.broadcast(model), "feature")
     sums = met.groupBy("key", "doc_id", "tokens", "_row").agg(*[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(labels)])
     sums = sums.groupBy("key", "doc_id", "tokens").agg(F.count(F.lit(1)).alias("rows"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(labels)])
     ones = [F.round(1 / (1 + F.exp(-F.col(f"s{i}"))), 6) for i in range(labels)]
