@@ -73,7 +73,7 @@ def on_grid(rows: DataFrame, ends: dict) -> DataFrame:
 
 def assign(rows: DataFrame, levels: list[list[dict]]) -> DataFrame:
     """``rows`` with ``_node``, by the splits of each level; one row per node is broadcast."""
-    out = rows.withColumn("_node", F.lit(0))
+    out = rows.withColumn("_node", (F.col("_tie") * 0).cast("int"))  # the root; a literal would leave no key to join by
     for level in levels:
         splits = small_table(rows.sparkSession, level, _SPLITS)
         out = out.join(F.broadcast(splits), F.col("_node") == F.col("node"), "left")
