@@ -109,7 +109,7 @@ def pieces(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END
     tokens if ``keep_ids``.
     """
     kind = dict(docs.dtypes)[id_col]
-    schema = f"doc_id {kind}, piece int, start long, length int, ids_crc32 long, part int, number long"
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, number long"
     schema += ", ids array<int>" if keep_ids else ""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +133,7 @@ def pieces(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END
                             ids.append(own)
                 columns = [
                     held.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array(length, pa.int32()), pa.array(crc, pa.int64()),
+                    pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                     pa.array(np.full(len(row), part), pa.int32()), pa.array(number, pa.int64()),
                 ]
                 if keep_ids:
