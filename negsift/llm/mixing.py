@@ -4,11 +4,12 @@ A labelled table gives some documents a 0 or 1 for each of a few labels; a domai
 value for each. For every label a Bernoulli naive Bayes classifier over the words that
 tell its two values apart gives each document a posterior, and their products are
 the posteriors of the domains. The rates r >= 0 then minimise the squared distance of
-the expected domain totals, sum of r * tokens * posterior, to the targets: projected
-gradient descent from r = 1, scaled by the tokens of a document and by the inverse of the
-posteriors' second moments, each step one sum over the whole table. A document's rate
-follows from its posteriors and the few steps taken, so no rate is stored between
-steps and only sums per domain come to the driver.
+the expected domain totals, sum of r * tokens * posterior, to the targets, and stay near 1
+as far as that allows: projected gradient descent from r = 1 that projects the sum of all
+steps, scaled by the tokens of a document and by the inverse of the posteriors' second
+moments, each step one sum over the whole table. A document's rate follows from its
+posteriors and that sum, so no rate is stored between steps and only sums per domain
+come to the driver.
 
 A rate of 2.3 stands for two copies and a third with chance 0.3, decided by a hash.
 
@@ -22,8 +23,6 @@ have equal rates and their own copies. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,7 +34,8 @@ MAX_FEATURES = 32
 RATIO = 2.0
 PRIOR = 5.0
 MAX_STEPS = 100
-TOLERANCE = 1e-4  # of all tokens
+TOLERANCE = 1e-5  # of all tokens
+RIDGE = 1e-6
 _BIAS = " "  # no word: stands in every document
 _ENDING = " ends "
 
@@ -44,6 +44,8 @@ LABELS = ["quality", "toxic"]
 DOMAINS = ["low_clean", "low_toxic", "high_clean", "high_toxic"]
 #: Shares of the tokens that a mix should have.
 TARGETS = {"low_clean": 0.12, "low_toxic": 0.01, "high_clean": 0.85, "high_toxic": 0.02}
+#: The same where low quality has been filtered out before: clean, toxic.
+TOXIC_TARGETS = [0.98, 0.02]
 
 
 def labelled(labels: DataFrame, names: list[str] = LABELS, id_col: str = "doc_id") -> DataFrame:
@@ -128,50 +130,54 @@ def posteriors(docs: DataFrame, weights: list[dict], labels: int = len(LABELS),
     return sums.select("key", "doc_id", "tokens", "rows", F.array(*domains).alias("p"))
 
 
-def rate(p: Column, steps: list[list[float]]) -> Column:
-    """A document's rate after the steps, from its posteriors."""
-    if not steps:
-        return F.lit(1.0)
-    taken = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
-    along = lambda v: sum((F.get(p, F.lit(c)) * F.get(v, F.lit(c)) for c in range(len(steps[0]))), F.lit(0.0))
-    return F.aggregate(taken, F.lit(1.0), lambda r, v: F.greatest(F.lit(0.0), r - along(v)))
+def rate(p: Column, way: list[float]) -> Column:
+    """A document's rate, from its posteriors and the sum of all steps: 1 less its share of them, or 0."""
+    along = sum((F.get(p, F.lit(c)) * F.lit(x) for c, x in enumerate(way)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), 1 - along)
 
 
-def fit(rows: DataFrame, shares: list[float]) -> list[list[float]]:
-    """The steps of the projected gradient, for rows with ``tokens, rows, p``.
+def fit(rows: DataFrame, shares: list[float]) -> list[float]:
+    """The sum of the projected gradient's steps, for rows with ``tokens, rows, p``.
 
-    A step is scaled by the second moments of the posteriors whose rates are above 0: the
-    others do not move with it. It is halved, and tried again, where it does not bring
-    the totals nearer.
+    What falls is the squared distance of the totals to their targets, over RIDGE, and
+    that of the rates to 1; the second, far lighter, decides between rates that give equal totals. The steps are
+    added up and their sum is projected. They are scaled by the second moments of the
+    posteriors whose rates are above 0, and halved where that goes too far. Targets out of
+    reach are met as nearly as they can be.
     """
     classes = len(shares)
     p = [F.get("p", F.lit(c)) for c in range(classes)]
     weight = (F.col("tokens") * F.col("rows")).cast("double")
-    goal, steps, last, moments = np.array(shares) / sum(shares), [], np.inf, None
     pairs = [(a, b) for a in range(classes) for b in range(classes)]
+    goal = np.array(shares) / sum(shares)
+    way, step, last = np.zeros(classes), np.zeros(classes), np.inf
     for _ in range(MAX_STEPS):
-        now = rows.select(weight.alias("_n"), "p", rate(F.col("p"), steps).alias("_r"))
+        now = _digits(way + step)
+        at = rows.select(weight.alias("_n"), "p", rate(F.col("p"), now.tolist()).alias("_r"))
         moving = F.when(F.col("_r") > 0, F.col("_n")).otherwise(0.0)
-        sums = now.agg(
-            F.sum("_n"), *[F.sum(F.col("_n") * F.col("_r") * x) for x in p], *[F.sum(moving * p[a] * p[b]) for a, b in pairs]
-        ).first()
-        total = sums[0] or 0.0
-        if total == 0:
-            return []
-        gap = np.array(sums[1 : classes + 1], float) / total - goal
-        off = float(np.abs(gap).max())
-        if off >= last:
-            if np.abs(steps[-1]).max() < 1e-6:
-                return steps[:-1]
-            steps[-1] = [x / 2 for x in steps[-1]]
+        totals = [F.sum(F.col("_n") * F.col("_r") * x) for x in p]
+        found = at.agg(F.sum("_n"), F.sum(F.col("_n") * F.col("_r") * F.col("_r")), *totals, *[F.sum(moving * p[a] * p[b]) for a, b in pairs]).first()
+        if not found[0]:
+            return [0.0] * classes
+        sums = np.array(found[1:], float) / found[0]
+        # The dual of the problem, whose slope is what the totals lack.
+        value = sums[0] / 2 + now @ goal + RIDGE / 2 * now @ now
+        if value > last * (1 + 1e-12):
+            step = step / 2
+            if np.abs(step).max() < 1e-9:
+                break
             continue
-        last = off
-        if off <= TOLERANCE:
+        way, last = now, value
+        slope = sums[1 : classes + 1] - goal - RIDGE * now
+        if np.abs(slope).max() <= TOLERANCE:
             break
-        moments = np.array(sums[classes + 1 :], float).reshape(classes, classes) / total
-        step = np.linalg.solve(moments + 1e-6 * np.eye(classes), gap)
-        steps.append([float(f"{x:.9g}") for x in step])
-    return steps
+        step = np.linalg.solve(sums[classes + 1 :].reshape(classes, classes) + RIDGE * np.eye(classes), slope)
+    return way.tolist()
+
+
+def _digits(values: np.ndarray) -> np.ndarray:
+    """Nine digits: what is beyond them depends on the order of the sums."""
+    return np.array([float(f"{x:.9g}") for x in values])
 
 
 def mixed(docs: DataFrame, labels: DataFrame, shares: list[float], names: list[str] = LABELS, id_col="doc_id", text_col="text") -> DataFrame:
