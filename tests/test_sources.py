@@ -152,7 +152,7 @@ def test_paired_language_parts(spark, tmp_path):
 def test_json_and_csv(spark, tmp_path):
     path = tmp_path / "t.json"
     path.write_text("\n".join(json.dumps({"q": f"q{i}", "d": 'a "b"\nc', "pos": i}) for i in range(3)))
-    rows = read_table(spark, str(path), "json")
+    rows = read_table(spark, str(path), "json", pos_field="pos")
     assert rows.count() == 3 and dict(rows.dtypes)["pos"] == "bigint"
     out = str(tmp_path / "csv")
     rows.write.option("header", True).option("escape", '"').csv(out)
