@@ -70,9 +70,15 @@ def covered_words(places: Column) -> Column:
     return F.aggregate(places, start, add)["n"]
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` asks for it per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def repeat_words(words: Column) -> Column:
     """:func:`covered_words` of a word list in one expression."""
-    return covered_words(repeated_places(F.sort_array(window_places(words))))
+    in_order = lambda own: F.sort_array(window_places(own))
+    return once(words, lambda own: once(in_order(own), lambda s: covered_words(repeated_places(s))))
 
 
 def measures(text: Column) -> dict[str, Column]:
