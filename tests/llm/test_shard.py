@@ -65,7 +65,7 @@ def test_tree_is_that_of_all_rows(spark):
 
 
 def test_one_value_in_a_third_of_the_rows(spark):
-    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t" * 50).alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id")).alias("source"))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t" * 50).alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("source"))
     sizes = [r[0] for r in S.shard(docs, ["source"], shards=8).groupBy("shard").count().select("count").collect()]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 4
 
