@@ -98,13 +98,14 @@ def config_names(spark, sf):
 # --- docstrings ------------------------------------------------------------------
 
 CODE_LANG = "CASE WHEN lang = 'en' THEN 'python' ELSE lang END"
-BODY = "regexp_replace(text, '[^A-Za-z0-9 .,\\n]', '', 'g')"
+#: A whole text inside a string literal: backslashes and quotes are escaped, nothing is cut.
+BODY = "replace(replace(text, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34))"
 
 
 def code_rows(spark, sf):
     """Documents as code: the text is the docstring and, once more, a value. Texts
     of the source src0 are left unclosed, so that those rows do not parse."""
-    body = F.regexp_replace("text", r"[^A-Za-z0-9 .,\n]", "")
+    body = F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     quotes = F.lit('"""')
     unclosed = F.when(F.col("source") == "src0", F.lit("(\n")).otherwise(F.lit(""))
     code = F.concat(
