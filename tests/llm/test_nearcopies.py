@@ -1,0 +1,92 @@
+"""Near copies against all pairs compared by definition."""
+
+import random
+
+import corpus_pipeline as C
+from negsift.llm import nearcopies as N, rules
+from negsift.llm.catalog import table
+from negsift.session import stored
+from test_simhash import groups
+
+
+def by_definition(text):
+    words = (text or "").encode().lower().split()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset()
+
+
+def near(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def left_of(rows):
+    """Ids left of ``(id, text)``: the smallest of each group."""
+    sets = [(i, by_definition(text)) for i, text in sorted(rows)]
+    holders = {}
+    for i, s in sets:
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    of = dict(sets)
+    empty = [i for i, s in sets if not s]
+    close = {(i, i) for i, _ in sets} | {(i, empty[0]) for i in empty}
+    met = {(a, b) for ids in holders.values() if len(ids) < 200 for a in ids for b in ids if a < b}
+    roots = groups(list(close | {(a, b) for a, b in met if near(of[a], of[b])}))
+    return {i for i, _ in sets if roots[i] == i}
+
+
+def test_copies_of_known_similarity(spark):
+    """Pairs at 0.8 to 0.99, just below 0.8, and of all lengths."""
+    rng, rows, want = random.Random(3), [], set()
+    seen = []
+    for n in range(1500):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([5, 9, 12, 40, 60, 150, 400]))]
+        other = list(words)
+        for _ in range(rng.randrange(1 + len(words) // 60)):
+            other[rng.randrange(len(other))] = "changed"
+        if rng.random() < 0.7:
+            other = other[: len(other) - rng.randrange(1 + len(other) // 3)]
+        pair = " ".join(words), " ".join(other)
+        a, b = map(by_definition, pair)
+        seen.append(len(a & b) / len(a | b))
+        rows += [(2 * n, pair[0]), (2 * n + 1, pair[1])]
+        want |= {2 * n} if near(a, b) else {2 * n, 2 * n + 1}
+    assert all(sum(lo <= j < lo + 0.05 for j in seen) > 20 for lo in (0.7, 0.75, 0.8, 0.85, 0.9, 0.95))
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert {r["doc_id"] for r in kept.collect()} == want
+
+
+def test_dense_and_chained_groups(spark):
+    """Copies around a centre, a chain whose ends differ, and a passage in many other texts."""
+    rng = random.Random(5)
+    new = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    rows, centre, passage = [], new(100), new(30)
+    for _ in range(120):
+        copy = list(centre)
+        for _ in range(rng.randrange(3)):
+            copy[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        rows.append(copy)
+    chain = new(100)
+    for i in range(0, 60, 6):
+        chain = [*chain[:i], *(f"y{i}" for _ in range(2)), *chain[i + 2 :]]
+        rows.append(chain)
+    rows += [new(60) + passage for _ in range(150)]
+    rng.shuffle(rows)
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    assert {r["doc_id"] for r in kept.collect()} == left_of(rows)
+
+
+def test_stage(spark, sf):
+    good = stored(rules.keep_good(table(spark, sf, "documents")), "t")
+    rows = {r["doc_id"]: r for r in good.collect()}
+    kept = C.near_dedup(spark, good, sf)
+    assert kept.columns == good.columns
+    assert {r["doc_id"]: r for r in kept.collect()} == {i: rows[i] for i in left_of([(i, r["text"]) for i, r in rows.items()])}
+
+
+def test_odd_rows(spark, odd, nothing):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    kept = [(r["doc_id"], r["text"]) for r in N.keep_one(odd).collect()]
+    assert set(kept) <= set(rows)
+    assert len({by_definition(t) for _, t in kept}) == len(kept) == len({by_definition(t) for _, t in rows})
+    assert N.keep_one(nothing).collect() == []
