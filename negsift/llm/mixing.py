@@ -13,9 +13,11 @@ come to the driver.
 
 A rate of 2.3 stands for two copies and a third with chance 0.3, decided by a hash.
 
-The classifier learns from at most ``max_labelled`` labelled rows (by hash order) and keeps at most
-``max_features`` words per label; those are the bounds of what is broadcast. Everything else covers
-all rows. A document labelled twice counts with its smallest labels; null labels are
+The classifier learns from at most ``max_labelled`` labelled rows (by hash order). For toxicity it
+keeps every word, without the symbols around it, that the labels speak clearly for: toxic words are
+many, rare, and of all languages, and a fixed number of them leaves those of small languages out. For
+other labels it keeps at most ``max_features`` words and word endings, symbols included; more of them say the
+same again and make the posteriors worse. Everything else covers all rows. A document labelled twice counts with its smallest labels; null labels are
 left out; without any labelled row every domain is equally likely, and no rate can change the mix. A null text
 counts as empty: it has the domains' prior probabilities and 0 tokens. Repeated rows
 have equal rates and their own copies. An empty table gives an empty result.
@@ -23,6 +25,8 @@ have equal rates and their own copies. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,15 +36,22 @@ from negsift.session import stored
 MAX_LABELLED = 20_000
 MAX_FEATURES = 32
 RATIO = 2.0
+MIN_DOCS = 3
+MIN_SCORE = 5.0  # standard deviations between the documents with the label that hold a word, and those to be expected
 PRIOR = 5.0
 MAX_STEPS = 100
 TOLERANCE = 1e-5  # of all tokens
 RIDGE = 1e-6
 _BIAS = " "  # no word: stands in every document
 _ENDING = " ends "
+_BARE = " bare "  # a word that a text holds between symbols only
+_SYMBOLS = string.punctuation + "“”„‘’‚«»‹›…–—¿¡。、"
+_LITERAL = 5_000  # weights that stand in the plan itself
 
 #: The labels of the ``labels`` table. A domain is one value for each, in binary order.
 LABELS = ["quality", "toxic"]
+#: Labels told by as many words as are clear, not by the clearest few.
+BY_WORDS = {"toxic"}
 DOMAINS = ["low_clean", "low_toxic", "high_clean", "high_toxic"]
 #: Shares of the tokens that a mix should have.
 TARGETS = {"low_clean": 0.12, "low_toxic": 0.01, "high_clean": 0.85, "high_toxic": 0.02}
@@ -58,10 +69,18 @@ def labelled(labels: DataFrame, names: list[str] = LABELS, id_col: str = "doc_id
 
 
 def features(text: Column) -> Column:
-    """Distinct words, and the distinct last characters of words, of a text; the bias."""
-    plain = words_of(F.lower(text))
+    """Distinct words, the distinct last characters of words, and the words met between symbols only, of a text; the bias."""
+    plain = F.array_distinct(words_of(F.lower(text)))
     endings = F.transform(plain, lambda w: F.concat(F.lit(_ENDING), F.right(w, F.lit(1))))
-    return F.array_union(F.array_union(plain, endings), F.array(F.lit(_BIAS)))
+    inner = F.array_except(F.transform(plain, lambda w: F.btrim(w, F.lit(_SYMBOLS))), plain)
+    bare = F.transform(inner, lambda w: F.concat(F.lit(_BARE), w))
+    return F.concat(plain, F.array_distinct(endings), bare, F.array(F.lit(_BIAS)))
+
+
+def _stem(feature: Column) -> Column:
+    """The word of a feature without symbols around it; null for endings, the bias and words with symbols."""
+    word = F.when(feature.startswith(_BARE), F.substring(feature, len(_BARE) + 1, 1 << 30)).when(~feature.startswith(" "), feature)
+    return F.when((word != "") & (word == F.btrim(word, F.lit(_SYMBOLS))), word)
 
 
 def classifier(
@@ -72,7 +91,9 @@ def classifier(
 
     A feature is used for a label if its share among the documents with the label is at
     least ``RATIO`` times that among those without, or the other way; of those, the ones
-    that the counts speak most clearly for.
+    that the counts speak most clearly for. For labels ``BY_WORDS`` these are all words in at least ``MIN_DOCS``
+    documents and ``MIN_SCORE`` standard deviations off; a document holds a word plainly or between symbols,
+    never both, so either feature has the word's weight.
     """
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     chosen = chosen.select(F.col("doc_id").alias("_of"), *names)
@@ -95,10 +116,21 @@ def classifier(
         other = (F.col("docs") - F.col(name) + PRIOR * overall) / (zeros + PRIOR)
         clear = F.abs(share - other) / F.sqrt(overall * (1 - overall) + 1e-9)
         apart = F.greatest(share / other, other / share) >= RATIO
-        best = counts.filter((F.col("feature") != _BIAS) & apart).select("feature", share.alias("a"), other.alias("b"), clear.alias("c"))
-        for r in best.orderBy(F.desc(F.round("c", 9)), "feature").limit(max_features).collect():
+        columns = ["feature", share.alias("a"), other.alias("b"), clear.alias("c")]
+        if name in BY_WORDS:
+            words = counts.select(_stem(F.col("feature")).alias("feature"), "docs", name).filter("feature is not null")
+            words = words.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum(name).alias(name))
+            expected = F.col("docs") * float(ones / whole["docs"])
+            spread = expected * float(zeros / whole["docs"]) * (1 - (F.col("docs") - 1) / max(whole["docs"] - 1, 1.0))
+            score = F.abs(F.col(name) - expected) / F.sqrt(spread + 1e-9)
+            best = words.filter(apart & (F.col("docs") >= MIN_DOCS) & (F.round(score, 9) >= MIN_SCORE)).select(*columns)
+        else:
+            best = counts.filter((F.col("feature") != _BIAS) & ~F.col("feature").startswith(_BARE) & apart).select(*columns)
+            best = best.orderBy(F.desc(F.round("c", 9)), "feature").limit(max_features)
+        for r in sorted(best.collect(), key=lambda r: r["feature"]):
             a, b = min(r["a"], 1 - 1e-6), min(r["b"], 1 - 1e-6)
-            weights.setdefault(r["feature"], [0.0] * len(names))[i] += float(np.log(a / b) - np.log((1 - a) / (1 - b)))
+            for feature in [r["feature"], _BARE + r["feature"]] if name in BY_WORDS else [r["feature"]]:
+                weights.setdefault(feature, [0.0] * len(names))[i] += float(np.log(a / b) - np.log((1 - a) / (1 - b)))
             weights[_BIAS][i] += float(np.log((1 - a) / (1 - b)))
     return [{"feature": k, "w": w} for k, w in weights.items()]
 
@@ -109,7 +141,8 @@ def posteriors(docs: DataFrame, weights: list[dict], labels: int = len(LABELS),
     ``p`` has a probability per domain: the product of those of its labels. Rows of one
     key are one row here, with their number in ``rows``.
     """
-    model = small_table(docs.sparkSession, weights, "feature string, w array<double>")
+    schema, spark = "feature string, w array<double>", docs.sparkSession
+    model = small_table(spark, weights, schema) if len(weights) <= _LITERAL else spark.createDataFrame(weights, schema)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         row_key(F.col(id_col), text).alias("key"), F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
@@ -117,7 +150,7 @@ def posteriors(docs: DataFrame, weights: list[dict], labels: int = len(LABELS),
     )
     # A text meets few of the words that count, and always the bias. From a plain explode Spark
     # would derive a filter on the list, and make the list twice for it.
-    met = rows.select("key", "doc_id", "_row", "tokens", F.explode_outer("found").alias("feature")).join(F.broadcast(model), "feature")
+    met = rows.select("key", "doc_id", "_row", "tokens", F.explode_outer("found").alias("feature")).join(F.broadcast(model) if len(weights) <= _LITERAL else model, "feature")
     sums = met.groupBy("key", "doc_id", "tokens", "_row").agg(*[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(labels)])
     sums = sums.groupBy("key", "doc_id", "tokens").agg(F.count(F.lit(1)).alias("rows"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(labels)])
     ones = [F.round(1 / (1 + F.exp(-F.col(f"s{i}"))), 6) for i in range(labels)]
