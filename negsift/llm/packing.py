@@ -106,7 +106,7 @@ def pieces(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END
     """Pieces of the encoded documents: ``doc_id, piece, start, length, ids_crc32, part, number``.
 
     ``part`` and ``number`` count pieces of one length within one task. ``ids`` hold the
-    tokens if ``keep_ids``.
+    tokens if ``keep_ids``; :func:`pack` then takes ``ids_crc32`` from the placed ids.
     """
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, number long"
@@ -126,7 +126,7 @@ def pieces(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END
                         piece.append(n)
                         start.append(a)
                         length.append(many)
-                        crc.append(zlib.crc32(own.tobytes()))
+                        crc.append(0 if keep_ids else zlib.crc32(own.tobytes()))
                         number.append(seen[many])
                         seen[many] += 1
                         if keep_ids:
@@ -175,7 +175,10 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END,
                 nth = number[at] - own[of, 1]
                 sequence[at] = own[of, 2] + nth // own[of, 4]
                 offset[at] = own[of, 3] + nth % own[of, 4] * k
-            arrays = [batch[c] for c in columns] + [pa.array(sequence), pa.array(offset)]
+            own = {c: batch[c] for c in columns}
+            if keep_ids:
+                own["ids_crc32"] = pa.array([zlib.crc32(ids.values.to_numpy().astype("<u4").tobytes()) for ids in batch["ids"]], pa.int64())
+            arrays = [*own.values(), pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "sequence_id", "offset"])
 
     fields = ", ".join(f"{c} {t}" for c, t in cuts.select(*columns).dtypes)

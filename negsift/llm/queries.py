@@ -83,7 +83,7 @@ def op9_simhash_groups(spark, sf):
 
 @query()
 def op10_best_fit(spark, sf):
-    return packing.pack(table(spark, sf, "documents"), keep_ids=False)
+    return packing.pack(table(spark, sf, "documents")).drop("ids")
 
 
 QUERIES["pipeline"] = corpus_pipeline.run
