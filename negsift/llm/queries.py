@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from negsift.llm import attribution, chat, hmm, maxscore, mixing, packing, rules, shard, simhash, sql, warc
+from negsift.llm import (
+    attribution, bagrank, chat, hmm, importance, maxscore, mixing, packing, rules, shard, simhash, sql, sumsquares, warc,
+)
 from negsift.llm.catalog import ORACLES, QUERIES, query, table
 
 SHARDS = 40
@@ -86,6 +88,22 @@ def op10_best_fit(spark, sf):
     return packing.pack(table(spark, sf, "documents")).drop("ids")
 
 
+@query(sql.RANKED)
+def op11_bag_search(spark, sf):
+    return bagrank.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 20)
+
+
+@query(sql.RESAMPLED)
+def op12_bit_sliced(spark, sf):
+    found = importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_sum_of_squares(spark, sf):
+    return sumsquares.pack(table(spark, sf, "documents")).drop("ids")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

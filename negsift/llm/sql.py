@@ -60,3 +60,56 @@ SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, {_BASE32} AS payload_di
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p JOIN f ON f.html = p.html"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+q AS (SELECT item_id, term, count(*) AS many FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+corpus AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+t AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, corpus GROUP BY term),
+s AS (
+  SELECT item_id, r, doc_id, sum(many * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN w USING (term), corpus GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS "rank" FROM s WHERE score > 0)
+SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 20"""
+
+# CRC-32 of the distinct features, a byte of each per turn.
+RESAMPLED = f"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i::BIGINT, 0, i::BIGINT FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+byte AS (SELECT i, v FROM bits WHERE k = 8),
+texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS r, {_TERMS} AS words FROM (SELECT text FROM documents)
+  UNION ALL SELECT 't', row_number() OVER (), {_TERMS} FROM benchmark),
+docs AS (SELECT row_number() OVER () AS r, doc_id, len({_TERMS}) AS n FROM documents),
+places AS (SELECT kind, r, words, unnest(range(1, len(words) + 1)) AS i FROM texts),
+runs AS (
+  SELECT kind, r, words[i] AS f FROM places
+  UNION ALL SELECT kind, r, words[i] || ' ' || words[i + 1] FROM places WHERE i + 1 <= len(words)
+  UNION ALL SELECT kind, r, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FROM places WHERE i + 2 <= len(words)),
+counted AS MATERIALIZED (SELECT kind, r, f, count(*) AS many FROM runs GROUP BY ALL),
+crc(f, h, k, c) AS (
+  SELECT f, hex(encode(f)), 0, 4294967295 FROM (SELECT DISTINCT f FROM counted)
+  UNION ALL
+  SELECT f, h, k + 1, xor(c >> 8, v) FROM crc JOIN byte ON i = xor(c & 255, ('0x' || substr(h, 2 * k + 1, 2))::BIGINT)
+  WHERE 2 * k < length(h)),
+bucket AS (SELECT f, xor(c, 4294967295) % 10000 AS b FROM crc WHERE 2 * k = length(h)),
+b AS (SELECT kind, r, b, sum(many)::BIGINT AS many FROM counted JOIN bucket USING (f) GROUP BY ALL),
+share AS (
+  SELECT b, coalesce(sum(many) FILTER (kind = 'd'), 0)::BIGINT AS s, coalesce(sum(many) FILTER (kind = 't'), 0)::BIGINT AS t FROM b GROUP BY b),
+whole AS (SELECT sum(s)::BIGINT AS s_all, sum(t)::BIGINT AS t_all FROM share),
+gain AS (SELECT b, floor(1000 * ln(((t + 1) * (s_all + 10000)) / ((s + 1) * (t_all + 10000))))::BIGINT AS g FROM share, whole),
+weighed AS (SELECT r, sum(many)::BIGINT AS n_features, sum(many * g)::BIGINT AS weight FROM b JOIN gain USING (b) WHERE kind = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, n, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT
+      + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n >= 20) AS many FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n >= 20 AND place <= 5 * many // 100 THEN place END AS "rank" FROM ranked"""
