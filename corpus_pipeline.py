@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Every stage takes all documents its predecessor kept, as Parquet. All but the last
-return the columns of ``documents``. SQL cannot state the groups of near copies, the fitted mix or the
+return the columns of ``documents``. SQL cannot state the groups of near-duplicates, the fitted mix or the
 packing, so there is no SQL for the result; the tests hold the stages against
 brute-force versions.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from negsift.llm import mixing, nearcopies, packing, rules
+from negsift.llm import mixing, packing, rules, simhash
 from negsift.session import stored
 
 
@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard 0.8 or more): the one with the smallest id."""
-    return nearcopies.keep_one(docs)
+    """One document of each group of near-duplicates (3-word shingles, 2 differing bits): the one with the smallest id."""
+    return simhash.keep_one(docs, width=3)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
