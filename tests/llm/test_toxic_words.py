@@ -32,3 +32,17 @@ def test_a_word_between_symbols_counts_once(spark):
     assert sorted(found[0][0]) == sorted(["fool", '"fool,"', "a!", " ends l", ' ends "', " ends !", " bare a", M._BIAS])
     assert sorted(f for f in found[1][0] if f.startswith(M._BARE)) == [M._BARE, M._BARE + "a", M._BARE + "fool"]
     assert found[2][0] == [M._BIAS]
+
+
+def test_features_met_in_place_are_those_met_by_name(spark, sf, odd):
+    docs = table(spark, sf, "documents")
+    known = [w["feature"] for w in M.classifier(docs, M.labelled(table(spark, sf, "labels")))]
+    known += [M._BARE + "a", "a!", M._ENDING + "!", M._ENDING + "1", M._ENDING + ")", M._ENDING + ".", "漢字"]
+    known = list(dict.fromkeys(known))
+    more = [(t,) for t in ["", None, "x ends with a.\n", "a (a) \"a\" a!", "!!! ... «a» ¿a?", "1", "end)\x0b", "漢字 “漢字”"]]
+    texts = docs.select("text").union(odd.select("text")).union(spark.createDataFrame(more, "text string"))
+    rows = texts.withColumn("plain", F.array_distinct(M.words_of(F.lower("text"))))
+    text = F.coalesce("text", F.lit(""))
+    rows = rows.select(M.features(text).alias("all"), M._met(F.col("plain"), text, known).alias("met")).collect()
+    for r in rows:
+        assert len(set(r["met"])) == len(r["met"]) and set(r["met"]) == set(r["all"]) & set(known)
