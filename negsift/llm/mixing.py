@@ -25,12 +25,13 @@ have equal rates and their own copies. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import string
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from negsift.llm.frames import fresh, row_key, small_table, words as words_of
+from negsift.llm.frames import SPACE, fresh, row_key, small_table, words as words_of
 from negsift.session import stored
 
 MAX_LABELLED = 20_000
@@ -45,6 +46,7 @@ RIDGE = 1e-6
 _BIAS = " "  # no word: stands in every document
 _ENDING = " ends "
 _BARE = " bare "  # a word that a text holds between symbols only
+SPACE_OR_END = f"(?:{SPACE}|\\z)"
 _SYMBOLS = string.punctuation + "“”„‘’‚«»‹›…–—¿¡。、"
 _LITERAL = 5_000  # weights that stand in the plan itself
 
@@ -77,6 +79,29 @@ def features(text: Column) -> Column:
     return F.concat(plain, F.array_distinct(endings), bare, F.array(F.lit(_BIAS)))
 
 
+def _met(plain: Column, text: Column, known: list[str]) -> Column:
+    """Those of the features of a text that are ``known``, from its distinct lower-case words ``plain``.
+
+    The same as meeting :func:`features` with them, but words are looked up before anything
+    is built from them, and symbols cut off only where a word has any.
+    """
+    words = [f for f in known if not f.startswith(" ")]
+    bare = [f.removeprefix(_BARE) for f in known if f.startswith(_BARE)]
+    endings = [f for f in known if f.startswith(_ENDING)]
+    found = [F.array(F.lit(_BIAS))]
+    if words:
+        found.append(F.filter(plain, lambda w: w.isin(words)))
+    if bare:
+        symbols = list(_SYMBOLS)
+        outer = F.filter(plain, lambda w: F.left(w, F.lit(1)).isin(symbols) | F.right(w, F.lit(1)).isin(symbols))
+        inner = F.filter(F.array_distinct(F.transform(outer, lambda w: F.btrim(w, F.lit(_SYMBOLS)))), lambda w: w.isin(bare))
+        found.append(F.transform(F.array_except(inner, plain), lambda w: F.concat(F.lit(_BARE), w)))
+    for ending in endings:
+        last = re.escape(ending.removeprefix(_ENDING)) + SPACE_OR_END
+        found.append(F.when(F.lower(text).rlike(last), F.array(F.lit(ending))).otherwise(F.array().cast("array<string>")))
+    return F.concat(*found)
+
+
 def _stem(feature: Column) -> Column:
     """The word of a feature without symbols around it; null for endings, the bias and words with symbols."""
     word = F.when(feature.startswith(_BARE), F.substring(feature, len(_BARE) + 1, 1 << 30)).when(~feature.startswith(" "), feature)
@@ -146,8 +171,12 @@ def posteriors(docs: DataFrame, weights: list[dict], labels: int = len(LABELS),
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         row_key(F.col(id_col), text).alias("key"), F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
-        F.size(words_of(text)).cast("long").alias("tokens"), features(text).alias("found"),
+        text.alias("text"), words_of(F.lower(text)).alias("words"),
     )
+    rows = rows.withColumns({"tokens": F.size("words").cast("long"), "words": F.array_distinct("words")})
+    known = [w["feature"] for w in weights]
+    found = _met(F.col("words"), F.col("text"), known) if len(known) <= _LITERAL else features(F.col("text"))
+    rows = rows.select("key", "doc_id", "_row", "tokens", found.alias("found"))
     # A text meets few of the words that count, and always the bias. From a plain explode Spark
     # would derive a filter on the list, and make the list twice for it.
     met = rows.select("key", "doc_id", "_row", "tokens", F.explode_outer("found").alias("feature")).join(F.broadcast(model) if len(weights) <= _LITERAL else model, "feature")
