@@ -129,7 +129,7 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END,
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packer = encoder(paths), Packer(size, max_open)
+        coder, packer, last = encoder(paths), Packer(size, max_open), np.array([end], "<u4")
         sequence, id_type = TaskContext.get().partitionId() << 33, None
 
         def out() -> pa.RecordBatch:
@@ -155,7 +155,7 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", size=SIZE, end=END,
             for at in range(0, batch.num_rows, 500):
                 held = batch.slice(at, 500)
                 for doc_id, text in zip(held.column(0).to_pylist(), held.column(1).to_pylist()):
-                    ids = np.append(coder.ids(text or ""), end).astype("<u4")
+                    ids = np.concatenate([coder.ids(text or ""), last])
                     packer.add((doc_id, len(ids)), ids)
                     waiting += len(ids)
                     if waiting >= _OUT:

@@ -54,7 +54,7 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         if _COMMON.fullmatch(text) and not any(s in text for s in self.special_strings):
-            return self.fast.encode_to_numpy(text, disallowed_special=())
+            return np.array(self.fast.encode_ordinary(text), np.uint32)
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
