@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import os
-from functools import partial
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from negsift.functions.vectors import cut_vector, l2_normalize
+from negsift.functions.vectors import l2_normalize
+from negsift.operators import lloyd
 from negsift.operators.scorers import Dense, ProductCodes, check_metric, inner_or_distance, matrix, unit
 from negsift.operators.topk import topk
 from negsift.schema import KEYS
@@ -23,8 +22,6 @@ Matrices = dict[tuple[str, str], np.ndarray]
 # Fixed value: a product-quantiser code has eight bits.
 CODES = 256
 
-PARALLEL_FITS = 8
-
 INTS = T.ArrayType(T.IntegerType())
 
 
@@ -37,35 +34,15 @@ def cell_count(nlist: int, documents: int) -> int:
     return min(nlist, max(documents // 10, 1))
 
 
-def kmeans(vectors: DataFrame, k: int, seed: int, max_iter: int = 10) -> np.ndarray:
-    """Centroids of an ``embedding`` column, fitted on all of its rows."""
-    features = vectors.select(array_to_vector("embedding").alias("features"))
-    return np.array(KMeans(k=k, seed=seed, maxIter=max_iter).fit(features).clusterCenters())
-
-
-def fit_all(jobs: list) -> list:
-    """Run independent fits side by side; each is a Spark job of its own."""
-    with ThreadPool(min(len(jobs), PARALLEL_FITS) or 1) as pool:
-        return pool.map(lambda job: job(), jobs)
-
-
-def train_cells(corpus: DataFrame, nlist: int, metric: str = "cosine", seed: int = 42) -> Matrices:
-    """Centroids per bundle. One fit per bundle, each a distributed job over its
-    whole corpus; only the centroids come back. A corpus stored by bundle is read
-    once in all, since each fit reads its own folder."""
-    ready = prepared(corpus, metric)
-    bundles = bundles_of(ready)
-
-    def fit(dataset: str, lang: str, n: int) -> np.ndarray:
-        own = ready.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
-        k = cell_count(nlist, n)
-        if k > 1:
-            return kmeans(own, k, seed)
-        mean = own.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("x"))
-        return np.array([[r["x"] for r in mean.orderBy("i").collect()]])
-
-    fitted = fit_all([partial(fit, *bundle) for bundle in bundles])
-    return {bundle[:2]: centroids for bundle, centroids in zip(bundles, fitted)}
+def train_cells(corpus: DataFrame, nlist: int, metric: str = "cosine", seed: int = 42, turns: int = lloyd.TURNS) -> Matrices:
+    """Centroids per bundle, of all bundles together: each turn reads the whole corpus once."""
+    ready = prepared(corpus, metric).select(*KEYS, "embedding")
+    wanted = {(dataset, lang): cell_count(nlist, n) for dataset, lang, n in bundles_of(ready)}
+    if not wanted:
+        return {}
+    sample = lloyd.some_rows(ready, lloyd.SAMPLE * max(wanted.values()), seed)
+    seeds = {key: lloyd.far_seeds(sample[key], k, seed) for key, k in wanted.items()}
+    return lloyd.lloyd(ready, seeds, turns)
 
 
 def as_indexed(block: np.ndarray, metric: str) -> np.ndarray:
@@ -220,26 +197,43 @@ def residuals(celled: DataFrame, centroids: Matrices, metric: str = "cosine") ->
     return celled.withColumn("embedding", rest("dataset", "lang", "cell", "embedding"))
 
 
-def train_codebooks(rest: DataFrame, m: int, seed: int = 42) -> dict[tuple[str, str], list[np.ndarray]]:
-    """``m`` codebooks per bundle, each fitted on one slice of all residuals.
+def train_rotation(rest: DataFrame, m: int, seed: int = 42, turns: int = lloyd.TURNS, rotate: bool = True) -> tuple[Matrices, dict]:
+    """Per bundle, ``m`` codebooks of the residuals' sub-vectors and the rotation they hold for.
 
-    The slices are written as columns by bundle, so that a fit reads its own.
+    A turn codes all residuals, moves each code to the mean of what it stands for and, with ``rotate``,
+    takes the rotation that brings the residuals closest to what their codes say.
     """
-    bundles = bundles_of(rest)
-    dim = rest.agg(F.max(F.size("embedding"))).first()[0] or 0
-    if dim % m:
-        raise ValueError(f"{dim} dimensions do not split into {m} sub-vectors")
-    pieces = cut_vector(F.col("embedding"), m, dim // m)
-    sliced = rest.withColumn("pieces", pieces).select(*KEYS, *[F.col("pieces")[i].alias(f"piece_{i}") for i in range(m)])
-    sliced = stored(sliced, "residuals", by=KEYS)
+    sample = lloyd.some_rows(rest, CODES * 8, seed)
+    books, rotation = {}, {}
+    for key, block in sample.items():
+        if block.shape[1] % m:
+            raise ValueError(f"{block.shape[1]} dimensions do not split into {m} sub-vectors")
+        books[key] = [lloyd.far_seeds(piece, CODES, seed) for piece in np.split(block, m, axis=1)]
+        rotation[key] = np.eye(block.shape[1])
+    for _ in range(turns):
+        shared = rest.sparkSession.sparkContext.broadcast((rotation, books))
+
+        def add(key, block, held, shared=shared):
+            spun, codes = block @ shared.value[0][key], shared.value[1][key]
+            pieces = np.split(spun, len(codes), axis=1)
+            nearest = [lloyd.add_to(held, p, piece, book) for p, (piece, book) in enumerate(zip(pieces, codes))]
+            if rotate:
+                said = np.hstack([book[at] for book, at in zip(codes, nearest)])
+                held[len(codes)] = held.get(len(codes), 0.0) + block.T @ said
+
+        found = lloyd.summed(rest, add)
+        before, books = books, {key: [lloyd.moved(book, found[key][p]) for p, book in enumerate(codes)] for key, codes in books.items()}
+        for key in rotation if rotate else ():
+            u, _, v = np.linalg.svd(found[key][m])
+            rotation[key] = u @ v
+        if not rotate and all(np.allclose(a, b, rtol=0, atol=1e-9) for key in books for a, b in zip(books[key], before[key])):
+            break
+    return rotation, books
 
-    def fit(dataset: str, lang: str, n: int, piece: int) -> np.ndarray:
-        own = sliced.filter((F.col("dataset") == dataset) & (F.col("lang") == lang))
-        own = own.select(F.col(f"piece_{piece}").alias("embedding"))
-        return kmeans(own, min(CODES, n), seed) if n > 1 else np.array(own.first()[0])[None, :]
 
-    fitted = iter(fit_all([partial(fit, *bundle, piece) for bundle in bundles for piece in range(m)]))
-    return {bundle[:2]: [next(fitted) for _ in range(m)] for bundle in bundles}
+def train_codebooks(rest: DataFrame, m: int, seed: int = 42) -> dict[tuple[str, str], list[np.ndarray]]:
+    """``m`` codebooks per bundle, fitted on all residuals, of all bundles and sub-vectors together."""
+    return train_rotation(rest, m, seed, rotate=False)[1]
 
 
 def with_codes(rest: DataFrame, codebooks: dict) -> DataFrame:
@@ -263,7 +257,7 @@ def build_codes(
 ) -> tuple[DataFrame, Matrices, dict]:
     """Coded corpus, centroids and codebooks."""
     centroids = train_cells(corpus, nlist, metric, seed)
-    rest = residuals(with_cell(corpus, centroids, metric), centroids, metric)
+    rest = stored(residuals(with_cell(corpus, centroids, metric), centroids, metric), "residuals")
     codebooks = train_codebooks(rest, m, seed)
     return with_codes(rest, codebooks), centroids, codebooks
 
@@ -295,17 +289,19 @@ def ivfpq_topk(
 
 
 def random_planes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
-    """Normals of ``bits`` planes for each table."""
-    return np.random.default_rng(seed).normal(size=(tables, bits, dim))
+    """Normals of ``bits`` planes for each table, at right angles to each other (in runs of ``dim``).
+
+    Planes that cut across each other fill buckets more evenly than independent ones.
+    """
+    drawn = np.random.default_rng(seed).normal(size=(tables, bits, dim))
+    runs = [np.linalg.qr(drawn[:, lo : lo + dim].transpose(0, 2, 1))[0].transpose(0, 2, 1) for lo in range(0, bits, max(dim, 1))]
+    return np.concatenate(runs, axis=1)
 
 
 def centers(corpus: DataFrame, metric: str) -> Matrices:
     """Mean vector of each bundle: where its planes go through, so that each halves it."""
-    values = prepared(corpus, metric).select(*KEYS, F.posexplode("embedding").alias("i", "x"))
-    means: dict[tuple, list] = {}
-    for row in values.groupBy(*KEYS, "i").agg(F.avg("x").alias("x")).orderBy(*KEYS, "i").collect():
-        means.setdefault((row["dataset"], row["lang"]), []).append(row["x"])
-    return {key: np.array(mean) for key, mean in means.items()}
+    mean = Summarizer.mean(array_to_vector("embedding")).alias("mean")
+    return {(r["dataset"], r["lang"]): r["mean"].toArray() for r in prepared(corpus, metric).groupBy(*KEYS).agg(mean).collect()}
 
 
 def with_buckets(rows: DataFrame, planes: np.ndarray, center: Matrices, metric: str, flips: int, name: str) -> DataFrame:

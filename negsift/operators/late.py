@@ -10,10 +10,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from negsift.operators.cells import INTS, Matrices, nearest_cells, train_cells
-from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged, runs, sum_per_text
+from negsift.operators.scorers import CentroidMaxSim, MaxSim, Ragged, SmallestCell, matrix, runs, sum_per_text
 from negsift.operators.topk import BROADCAST_BYTES, best, groups, pair_schema, rounded, size_in_bytes, topk
 from negsift.schema import KEYS
 
@@ -27,8 +27,8 @@ def _each_token(rows: DataFrame, id_col: str) -> DataFrame:
     return rows.select(*KEYS, id_col, F.explode("tokens").alias("embedding"))
 
 
-def document_codes(corpus: DataFrame, centroids: Matrices) -> DataFrame:
-    """``codes``, the centroid of each token of each document."""
+def token_codes(corpus: DataFrame, centroids: Matrices) -> Column:
+    """The centroid of each of the ``tokens`` of each document."""
     shared = corpus.sparkSession.sparkContext.broadcast(centroids)
 
     @F.arrow_udf(INTS)
@@ -46,7 +46,7 @@ def document_codes(corpus: DataFrame, centroids: Matrices) -> DataFrame:
                 out[some] = (ragged.tokens[some] @ centroids.T).argmax(1)
         return pa.ListArray.from_arrays(pa.array(ragged.starts.astype(np.int32)), pa.array(out))
 
-    return corpus.select(*KEYS, "document_id", assign.asNondeterministic()("dataset", "lang", "tokens").alias("codes"))
+    return assign.asNondeterministic()("dataset", "lang", "tokens")
 
 
 def _wanted_scores(q: Ragged, at: np.ndarray, d: Ragged, i: int) -> np.ndarray:
@@ -68,9 +68,12 @@ def _wanted_scores(q: Ragged, at: np.ndarray, d: Ragged, i: int) -> np.ndarray:
 WANTED = 1024
 
 
-def exact_scores(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, broadcast_bytes: int) -> DataFrame:
+def exact_scores(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, broadcast_bytes: int, tokens: Column | None = None) -> DataFrame:
     """Late-interaction scores of given pairs.
 
+    ``tokens`` are those of a document, by default its column of this name; they are made for
+    documents that are wanted and for no other.
+
     Token vectors are far larger than ids, so they should not travel once per pair:
     a document's tokens meet lists of up to about ``WANTED`` queries that want it. While the
     queries fit a broadcast their tokens are looked up; beyond that they are joined to
@@ -78,7 +81,8 @@ def exact_scores(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, b
     """
     pairs = candidates.select(*KEYS, "query_id", "document_id")
     queries = queries.select(*KEYS, "query_id", "tokens")
-    documents = corpus.select(*KEYS, "document_id", F.col("tokens").alias("_d"))
+    payload = ["tokens"] if tokens is None else [c for c in ("codes", "packed") if c in corpus.columns]
+    documents = corpus.select(*KEYS, "document_id", *[F.col(c).alias("_d") if c == "tokens" else c for c in payload])
     size, _ = size_in_bytes(queries)
     shared = None
     if size <= broadcast_bytes:
@@ -119,7 +123,38 @@ def exact_scores(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, b
     counts = pairs.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / WANTED).cast("int").alias("_n")).filter("_n > 1")
     part = F.pmod(F.xxhash64("query_id"), F.coalesce("_n", F.lit(1)))
     wanted = pairs.join(counts, on, "left").withColumn("_part", part).groupBy(*on, "_part").agg(*lists).drop("_part")
-    return wanted.join(documents, on).mapInArrow(score, pair_schema(queries, KEYS))
+    met = wanted.join(documents, on)
+    return (met if tokens is None else met.withColumn("_d", tokens)).mapInArrow(score, pair_schema(queries, KEYS))
+
+
+def closest(tokens: DataFrame, centroids: Matrices) -> Column:
+    """The largest product of a token with a centroid of its bundle."""
+    shared = tokens.sparkSession.sparkContext.broadcast(centroids)
+
+    @F.arrow_udf(T.DoubleType())
+    def product(dataset: pa.Array, lang: pa.Array, vectors: pa.Array) -> pa.Array:
+        block = matrix(pa.chunked_array([vectors]))
+        out = np.full(len(block), -np.inf)
+        for key, at in pa.table({"a": dataset, "b": lang}).to_pandas().groupby(["a", "b"]).indices.items():
+            if key in shared.value:
+                out[at] = (block[at] @ shared.value[key].T).max(axis=1)
+        return pa.array(out)
+
+    return product("dataset", "lang", "embedding")
+
+
+def token_probes(queries: DataFrame, centroids: Matrices, nprobe: int, least: float | None = None) -> DataFrame:
+    """``queries`` with a row per ``cell`` that is among the ``nprobe`` closest of one of its tokens, and all of them in ``cells``.
+
+    A token whose product with its closest centroid is below ``least`` asks for none.
+    """
+    tokens = _each_token(queries, "query_id")
+    if least is not None:
+        tokens = tokens.filter(closest(tokens, centroids) >= least)
+    near = tokens.withColumn("cells", nearest_cells(tokens, centroids, nprobe, "ip"))
+    each = near.select(*KEYS, "query_id", F.explode("cells").alias("cell"))
+    cells = each.groupBy(*KEYS, "query_id").agg(F.sort_array(F.collect_set("cell")).alias("cells"))  # as many as there are centroids
+    return cells.join(queries.select(*KEYS, "query_id", "tokens"), [*KEYS, "query_id"]).withColumn("cell", F.explode("cells"))
 
 
 def plaid_topk(
@@ -141,34 +176,20 @@ def plaid_topk(
     ``max(4 * k, 256)``; None scores every candidate exactly.
 
     The first step is the top-k operator with the centroid as a key, so a
-    centroid that holds a third of the corpus is many blocks.
+    centroid that holds a third of the corpus is many blocks. A pair is scored under the smallest
+    centroid that it meets in.
     """
     if centroids is None:
         centroids = train_cells(_each_token(corpus, "document_id"), nlist, "ip", seed)
-    tokens = _each_token(queries, "query_id")
-    near = tokens.withColumn("cells", nearest_cells(tokens, centroids, nprobe, "ip"))
-    probe = (
-        near.select(*KEYS, "query_id", F.explode("cells").alias("cell"))
-        .distinct()
-        .join(queries.select(*KEYS, "query_id", "tokens"), [*KEYS, "query_id"])
-    )
-    codes = document_codes(corpus, centroids)
+    probe = token_probes(queries, centroids, nprobe)
+    codes = corpus.select(*KEYS, "document_id", "tokens", token_codes(corpus, centroids).alias("codes"))
+    codes = codes.withColumn("cells", F.array_distinct("codes"))
+    keys = [*KEYS, "cell"]
     if full_scores is None:
-        keys = [*KEYS, "cell"]
-        celled = codes.join(corpus.select(*KEYS, "document_id", "tokens"), [*KEYS, "document_id"])
-        return topk(
-            probe, celled.withColumn("cell", F.explode(F.array_distinct("codes"))), k, MaxSim(), keys=keys, once=False, **physical
-        )
+        return topk(probe, codes.withColumn("cell", F.explode("cells")), k, SmallestCell(MaxSim()), keys=keys, **physical)
+    codes = codes.drop("tokens")
     keep = max(4 * k, 256) if full_scores == -1 else full_scores
     shared = corpus.sparkSession.sparkContext.broadcast(centroids)
-    candidates = topk(
-        probe,
-        codes.withColumn("cell", F.explode(F.array_distinct("codes"))),
-        keep,
-        CentroidMaxSim(shared),
-        keys=[*KEYS, "cell"],
-        once=False,
-        **physical,
-    )
+    candidates = topk(probe, codes.withColumn("cell", F.explode("cells")), keep, SmallestCell(CentroidMaxSim(shared)), keys=keys, **physical)
     limit = physical.get("broadcast_bytes", BROADCAST_BYTES)
     return best(exact_scores(candidates, queries, corpus, limit), k)

@@ -246,3 +246,47 @@ class ProductCodes:
         for piece, table in enumerate(tables):
             out += table[start:stop][:, d[:, piece]]
         return out
+
+
+def lists_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every entry of a list column."""
+    lists = column.combine_chunks()
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy(zero_copy_only=False)
+
+
+class SmallestCell:
+    """Scores of another scorer, for a pair that meets in several cells under the smallest of them only.
+
+    Both sides name all their cells in ``cells``; the cell they meet in is the last key column.
+    """
+
+    def __init__(self, scorer):
+        self.scorer = scorer
+        self.query_columns, self.doc_columns = [*scorer.query_columns, "cells"], [*scorer.doc_columns, "cells"]
+        self.query_block, self.doc_block = scorer.query_block, scorer.doc_block
+
+    def _smaller(self, table, key) -> np.ndarray:
+        """For each row, which cells below the current one it is in."""
+        row, cell = lists_of(table["cells"])
+        out = np.zeros((table.num_rows, key[-1]), np.float32)
+        below = cell < key[-1]
+        out[row[below], cell[below]] = 1
+        return out
+
+    def queries(self, table, key):
+        return self.scorer.queries(table, key), self._smaller(table, key)
+
+    def docs(self, table, key):
+        return self.scorer.docs(table, key), self._smaller(table, key)
+
+    def query_powers(self, q):
+        return self.scorer.query_powers(q[0])
+
+    def doc_powers(self, d):
+        return self.scorer.doc_powers(d[0])
+
+    def score(self, q, start, stop, d):
+        out = self.scorer.score(q[0], start, stop, d[0])
+        out[q[1][start:stop] @ d[1].T > 0] = -np.inf
+        return out
