@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -35,6 +36,45 @@ def model_encoder(make_predict: Callable, batch_size: int = 32) -> Callable[[Dat
     return encode
 
 
+def budget_batches(sizes: np.ndarray, budget: int) -> Iterator[slice]:
+    """Runs of ascending ``sizes`` whose longest times their number is at most ``budget``; one text at least."""
+    at = 0
+    while at < len(sizes):
+        to = at + 1
+        while to < len(sizes) and sizes[to] * (to + 1 - at) <= budget:
+            to += 1
+        yield slice(at, to)
+        at = to
+
+
+def budget_encoder(
+    make_predict: Callable, budget: int = 16_384, length: Callable[[str], int] = len
+) -> Callable[[DataFrame, str], DataFrame]:
+    """Any batch model, in batches of texts of similar length.
+
+    A model pads a batch to its longest text. So the texts of an Arrow batch are sorted by ``length``, cut into
+    batches of at most ``budget`` (the longest times their number), and their vectors put back in
+    the order of the rows. ``make_predict`` is as for :func:`model_encoder`; a null text counts as empty.
+    """
+
+    def encode(rows: DataFrame, text: str) -> DataFrame:
+        @F.pandas_udf(VECTOR)
+        def predict(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            model = make_predict()
+            for texts in series:
+                values = texts.fillna("").to_numpy(object)
+                sizes = np.array([length(value) for value in values], np.int64)
+                order, out = np.argsort(sizes, kind="stable"), [None] * len(values)
+                for run in budget_batches(sizes[order], budget):
+                    for row, vector in zip(order[run], model(values[order[run]])):
+                        out[row] = vector
+                yield pd.Series(out)
+
+        return spread_small(rows).withColumn("embedding", predict(F.col(text)))
+
+    return encode
+
+
 def vector_column(name: str) -> Callable[[DataFrame, str], DataFrame]:
     """Vectors that the table already holds."""
     return lambda rows, text: rows.withColumn("embedding", F.col(name).cast(VECTOR))

@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from negsift.operators.balls import balls_topk, build_balls
 from negsift.operators.cells import build_codes, ivf_topk, ivfpq_topk, lsh_topk, train_cells, with_cell
+from negsift.operators.graph import graph_topk
+from negsift.operators.index import search_index
 from negsift.operators.late import maxsim_topk, plaid_topk
+from negsift.operators.rotation import build_rotated, rotated_topk
 from negsift.operators.scorers import Dense
 from negsift.operators.topk import topk
 from negsift.schema import KEYS
 from negsift.session import stored
 
 # Names of the index kinds and of the retrieval architectures.
-METHODS = ("flat", "ivf", "ivfpq", "hnsw")
+METHODS = ("flat", "ivf", "ivfpq", "hnsw")  # and some of our own: "lsh", "ivf_exact", "ivfopq"
 ARCHITECTURES = ("single_vector", "late_interaction")
 
 
@@ -30,14 +34,17 @@ def knn(
     hash_tables: int = 8,
     hash_bits: int = 4,
     hash_flips: int = 2,
+    graph_degree: int = 16,
+    ef_search: int | None = None,
     seed: int = 42,
     **physical,
 ) -> DataFrame:
     """Top ``k`` documents per query by single-vector similarity.
 
     Both tables hold ``embedding``. For ``l2`` the score is the squared distance
-    and small is near. ``hnsw`` asks for graph-grade approximate search; it is
-    answered by hashing, see :func:`lsh_topk`.
+    and small is near. ``hnsw`` searches a neighbour graph, ``lsh`` hash buckets
+    (``hash_*``), ``ivf_exact`` all cells that can hold a hit, ``ivfopq`` codes of rotated
+    vectors with exact scores of the best of them.
     """
     scorer = Dense(metric)
     if method == "flat":
@@ -45,10 +52,18 @@ def knn(
     if method == "ivf":
         centroids = train_cells(corpus, nlist, metric, seed)
         return ivf_topk(queries, with_cell(corpus, centroids, metric), centroids, k, nprobe, metric, **physical)
+    if method == "ivfopq":
+        index = build_rotated(corpus, nlist, m_pq, metric, seed)
+        return rotated_topk(queries, corpus, index, k, nprobe, metric, **physical)
     if method == "ivfpq":
         index = build_codes(corpus, nlist, m_pq, metric, seed)
         return ivfpq_topk(queries, *index, k, nprobe, metric, **physical)
+    if method == "ivf_exact":
+        return balls_topk(queries, build_balls(corpus, nlist, metric, seed=seed), k, metric, nprobe, **physical)
     if method == "hnsw":
+        physical = {c: v for c, v in physical.items() if c == "broadcast_bytes"}
+        return graph_topk(queries, corpus, k, metric, graph_degree, ef_search, **physical)
+    if method == "lsh":
         return lsh_topk(queries, corpus, k, metric, hash_tables, hash_bits, hash_flips, seed, **physical)
     raise ValueError(f"unknown index method: {method}")
 
@@ -59,14 +74,19 @@ def retrieve(
     k: int = 200,
     architecture: str = "single_vector",
     encode: Callable[[DataFrame, str], DataFrame] | None = None,
+    index: str = "",
     **search,
 ) -> DataFrame:
     """Hits of text tables: encode ``query`` and ``document``, then search.
 
     ``encode(rows, text_column)`` adds ``embedding`` (single vectors) or
     ``tokens`` (late interaction). Without it the tables must hold that column.
-    Any function with this signature can stand in for this one in a job.
+    ``index`` is the folder of a saved index (:mod:`negsift.operators.index`) to search in place of the corpus,
+    whose texts are then not encoded. Any function with this signature can stand in for this one in a job.
     """
+    if index:
+        queries = stored(_vectors(encode(queries, "query") if encode else queries, "query_id"), "query-vectors")
+        return search_index(queries, index, k, **{c: v for c, v in search.items() if c != "metric"})
     if encode is not None:
         queries, corpus = encode(queries, "query"), encode(corpus, "document")
         # Encoding is the costly step and several passes follow: the vectors of the
