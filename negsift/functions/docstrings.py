@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import ast
+import re
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 _DOCUMENTED = (ast.Module, ast.ClassDef, ast.FunctionDef, ast.AsyncFunctionDef)
 
+#: Lines as the parser counts them; ``str.splitlines`` also ends them at form feeds, U+2028 and others.
+_LINE = re.compile(r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+")
+
 RESULT = T.StructType([T.StructField("code", T.StringType()), T.StructField("status", T.StringType())])
 
 
@@ -25,7 +29,7 @@ def without_docstrings(code: str) -> tuple[str, str]:
         return code, "failed"
     if not spans:
         return code, "parsed"
-    kept = code.splitlines(keepends=True)
+    kept = _LINE.findall(code)
     for first, last in spans:
         kept[first - 1 : last] = [""] * len(kept[first - 1 : last])
     return "".join(kept), "changed"

@@ -74,7 +74,8 @@ class Output:
     """What is written and where. ``name`` adds the published layout under ``path``.
 
     Limits are off unless they are set; the report counts what a limit leaves out.
-    ``threshold`` leaves out negatives that come too near their positive, see
+    ``datasets_per_step`` datasets are mined and put in place at a time, by default all; with
+    ``resume`` finished ones are not mined again. ``threshold`` leaves out negatives that come too near their positive, see
     :func:`negsift.operators.formats.threshold`.
     """
 
@@ -86,3 +87,5 @@ class Output:
     seed: int = 42
     extra_positives: str = AS_NEGATIVES
     threshold: float | None = None
+    datasets_per_step: int | None = None
+    resume: bool = False

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from negsift.functions.text import short_name
-from negsift.sources.positions import read_with_pos
+from negsift.sources.positions import counted, read_with_pos
 
 # Default part names, splits and columns of the three-table layout.
 CORPUS, QUERIES, QRELS = "corpus", "queries", "default"
@@ -31,8 +31,8 @@ def table_path(root: str, dataset: str, subset: str | None, split: str) -> str:
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, pos_field: str = "") -> DataFrame:
     """A table with ``pos``, its source position as a long.
 
-    ``pos_field`` names the column that holds it. Without one it is counted, for
-    Parquet; rows of JSON and CSV have no stable position. A column that merely is called ``pos``
+    ``pos_field`` names the column that holds it. Without one it is counted over the
+    files by name. A column that merely is called ``pos``
     is no position and comes out as ``source_pos``.
     """
     if fmt == "parquet" and not pos_field:
@@ -41,8 +41,10 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     rows = reader.format(fmt).load(path)
+    if not pos_field:
+        return counted(rows)
     if pos_field not in rows.columns:
-        raise ValueError(f"{fmt} tables need a column for the position of their rows, named by pos_field: {path}")
+        raise ValueError(f"no column {pos_field}, named by pos_field: {path}")
     position = F.col(f"`{pos_field}`").cast("long")
     if pos_field != "pos" and "pos" in rows.columns:
         rows = rows.withColumnRenamed("pos", "source_pos")
