@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from negsift.functions.text import text_key
+from negsift.operators.positions import by_position
 from negsift.operators.skew import HOT_ROWS, hot_keys, hottest, lookup
 from negsift.schema import Bundle, KEYS
 from negsift.session import stored
@@ -70,13 +71,12 @@ def dedup_corpus(
 ) -> DataFrame:
     """The first row of each text, as it is.
 
-    Written as "all rows but the later copies", whose side holds positions only. While
-    those fit a broadcast the bodies do not move; beyond that the join shuffles
-    the corpus once, by position.
+    Written as "all rows but the later copies", whose positions are told by bitmaps where the
+    bodies are read; only beyond their limit is the corpus shuffled, once, by position.
     """
     known = _with_canonical(corpus if digests is None else digests, keys, hot_rows)
     later = known.filter(F.col("pos") > F.col("first_pos")).select(*keys, "pos")
-    return corpus.join(later, [*keys, "pos"], "left_anti")
+    return by_position(corpus, later, keep=False, keys=keys)
 
 
 def remap_qrels(qrels: DataFrame, mapping: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:

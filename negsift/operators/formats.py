@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from negsift.operators.mine import PAIR, QUERY
+from negsift.operators.positions import by_position
 from negsift.operators.sample import sample
 from negsift.operators.skew import HOT_ROWS, hot_keys, lookup
 from negsift.schema import KEYS
@@ -44,10 +45,14 @@ def kd_queries(queries: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def kd_documents(corpus: DataFrame, entries: DataFrame) -> DataFrame:
-    """Documents that occur in a KD row."""
+    """Documents that occur in a KD row.
+
+    Ids meet ids first; the texts are then read, and chosen by position where they lie.
+    """
     on = [*KEYS, "document_id"]
     used = entries.select(*on).distinct()
-    return corpus.join(used, on, "left_semi").select(*on, "document", F.col("lang").alias("split"), "pos")
+    wanted = corpus.select(*on, "pos").join(used, on, "left_semi").select(*KEYS, "pos")
+    return by_position(corpus, wanted, keep=True).select(*on, "document", F.col("lang").alias("split"), "pos")
 
 
 # --- contrastive -----------------------------------------------------------------

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from negsift.operators.order import numbered
+from negsift.operators.skew import HOT_ROWS, hot_keys
 from negsift.schema import KEYS, NOT_RETRIEVED
+from negsift.session import stored
 
 PAIR = [*KEYS, "query_id", "document_id"]
 QUERY = [*KEYS, "query_id"]
@@ -31,6 +34,7 @@ def mined_entries(
     num_negatives: int = 100,
     metric: str = "cosine",
     l2_parity: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The long form of the mining result, one row per list entry.
 
@@ -39,15 +43,32 @@ def mined_entries(
     without any positive has no rows; one with positives but no hits has them.
 
     Hits and judgements meet in one exchange on the query: they are stacked, the
-    rows of a pair are merged, and the same partitioning then serves the ranking.
+    rows of a pair are merged, and the same partitioning then serves the ranking. Queries
+    with ``hot_rows`` judgements or more are ranked apart, by ranges and not by query, so that
+    they are as many tasks as they need.
     """
+    hot = hot_keys(qrels, QUERY, hot_rows).collect()
+    if hot:
+        hits = stored(hits, "hits")
+        names = F.broadcast(qrels.sparkSession.createDataFrame([tuple(r) for r in hot], "dataset string, lang string, query_id string"))
+        cold = [rows.join(names, QUERY, "left_anti") for rows in (hits, qrels)]
+        some = [rows.join(names, QUERY, "left_semi") for rows in (hits, qrels)]
+        options = (num_negatives, metric, l2_parity)
+        return _entries(queries, *cold, *options, apart=False).unionByName(_entries(queries, *some, *options, apart=True))
+    return _entries(queries, hits, qrels, num_negatives, metric, l2_parity, apart=False)
+
+
+def _entries(
+    queries: DataFrame, hits: DataFrame, qrels: DataFrame, num_negatives: int, metric: str, l2_parity: bool, apart: bool
+) -> DataFrame:
+    """``apart``: by sorting all rows together, for few queries of many rows each."""
     wanted = qrels.join(queries.select(*QUERY), QUERY, "left_semi")
     none = F.lit(None)
     stacked = hits.select(*PAIR, "score", "rank", F.lit(False).alias("judged")).unionByName(
         wanted.select(*PAIR, none.cast("double").alias("score"), none.cast("int").alias("rank"), F.lit(True).alias("judged"))
     )
     merged = (
-        stacked.repartition(*QUERY)
+        (stacked if apart else stacked.repartition(*QUERY))
         .groupBy(*PAIR)
         .agg(F.max("score").alias("score"), F.min("rank").alias("rank"), F.max("judged").alias("is_pos"))
     )
@@ -55,11 +76,16 @@ def mined_entries(
     part = F.when(F.col("is_pos") & F.col("rank").isNotNull(), 0).when(F.col("is_pos"), 1).otherwise(2)
     negative_order = F.when(~F.col("is_pos"), -F.col("score") if farthest_first else F.lit(0.0))
     of_query = W.partitionBy(*QUERY)
-    in_order = of_query.orderBy(part, negative_order, "rank", "document_id")
+    order = [part, negative_order, F.col("rank"), F.col("document_id")]
+    if apart:
+        ranked = numbered(merged, [*map(F.col, QUERY), *order], "_number")
+        # A row per query, and these are few.
+        of = ranked.groupBy(*QUERY).agg(F.min("_number").alias("_first"), F.count_if("is_pos").alias("positives"))
+        ranked = ranked.join(F.broadcast(of), QUERY).withColumn("place", (F.col("_number") - F.col("_first") + 1).cast("int"))
+    else:
+        ranked = merged.withColumn("place", F.row_number().over(of_query.orderBy(*order))).withColumn("positives", F.count_if("is_pos").over(of_query))
     return (
-        merged.withColumn("place", F.row_number().over(in_order))
-        .withColumn("positives", F.count_if("is_pos").over(of_query))
-        .filter((F.col("positives") > 0) & (F.col("place") - F.col("positives") <= num_negatives))
+        ranked.filter((F.col("positives") > 0) & (F.col("place") - F.col("positives") <= num_negatives))
         .select(
             *PAIR,
             "place",
