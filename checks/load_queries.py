@@ -8,9 +8,12 @@ from negsift.functions.docstrings import strip_docstrings
 from negsift.functions.text import title_and_text
 from negsift.operators import dedup, sample
 from negsift.operators.reports import docstring_report as docstring_counts, load_report as load_counts
+from negsift.plans.load import load_dataset
+from negsift.plans.params import Dataset
 from negsift.schema import KEYS
+from negsift.session import scratch_path
 from negsift.sources.beir import beir_corpus as read_corpus, beir_qrels as read_qrels, beir_queries as read_queries
-from negsift.sources.layout import config_name, fan_out
+from negsift.sources.layout import config_name, fan_out, read_table
 from negsift.sources.paired import paired_bundle, valid_pairs
 
 
@@ -47,6 +50,17 @@ def paired_ids(spark, sf):
     return valid_pairs(t.chat_rows(spark, sf), "instruction", "response").select("query_id", "document_id", "pos")
 
 
+@query(f"WITH {sql.CHAT_ROWS} SELECT dataset, lang, document_id, response AS document, pos FROM chat")
+def paired_csv(spark, sf):
+    """From CSV files without a position column, line ends inside quotes and all; ids count their rows."""
+    path = scratch_path(spark, "csv")
+    rows = t.chat_rows(spark, sf).orderBy("pos").select("instruction", "response")
+    writer = rows.write.options(header=True, escape=chr(34), ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer.csv(f"{path}/chat/Turns/train")
+    spec = Dataset("chat/Turns", ["mixed"], format="csv", query_field="instruction", documents_field="response")
+    return load_dataset(spark, path, spec).corpus
+
+
 # --- three tables ----------------------------------------------------------------
 
 
@@ -55,6 +69,14 @@ def beir_corpus(spark, sf):
     return read_corpus(t.beir_corpus_rows(spark, sf))
 
 
+@query(f"WITH {sql.BEIR} SELECT * FROM corpus")
+def beir_jsonl(spark, sf):
+    """From JSON lines without a position column, in files that are read in small splits."""
+    path, rows = scratch_path(spark, "json"), t.beir_corpus_rows(spark, sf)
+    rows.orderBy("pos").drop("pos", *KEYS).write.json(path)
+    return read_corpus(t.bundle_columns(read_table(spark, path, "json"), "beir/Bench", "mixed"))
+
+
 @query(f"WITH {sql.BEIR} SELECT * FROM queries")
 def beir_queries(spark, sf):
     return read_queries(t.beir_query_rows(spark, sf))

@@ -74,6 +74,19 @@ def kd_long_l2(spark, sf):
     return typed(entries, "query_id", "document_id", "place", "score", "is_pos", "retrieved")
 
 
+HOT_QRELS = sql.VEC_QRELS.replace("),\nqueries AS", "\n  UNION SELECT 'q0', 'd' || vec_id FROM embeddings),\nqueries AS")
+
+
+@query(f"""WITH {sql.vec_hits(K)}, {HOT_QRELS}, {sql.mined(NEGATIVES)}
+SELECT query_id, document_id, place, score, is_pos, retrieved FROM entries""")
+def kd_long_hot(spark, sf):
+    """One query holds a third of all judgements; it is ranked by ranges."""
+    queries, corpus, qrels = t.vec(spark, sf)
+    more = corpus.select(*KEYS, F.lit("q0").alias("query_id"), "document_id", (F.col("pos") + 1_000_000_000).alias("pos"))
+    entries = mine.mined_entries(queries, exact(spark, sf), qrels.unionByName(more), NEGATIVES, hot_rows=50)
+    return typed(entries, "query_id", "document_id", "place", "score", "is_pos", "retrieved")
+
+
 # --- texts -----------------------------------------------------------------------
 
 TEXT_K, TEXT_NEGATIVES = 20, 10
@@ -244,8 +257,8 @@ def job(spark, sf, kind="both", **output):
         Dataset(CHAT_DATASET, ["mixed"], query_field="instruction", documents_field="response", pos_field="pos"),
         Dataset(BEIR_DATASET, ["mixed"], layout="coir", pos_field="pos"),
     ]
-    out = scratch_path(spark, "mined")
-    mining = Mining(top_k=TEXT_K, num_negatives=TEXT_NEGATIVES, encode=encode.hashed_encoder(256))
+    out = output.pop("out", None) or scratch_path(spark, "mined")
+    mining = Mining(top_k=TEXT_K, num_negatives=TEXT_NEGATIVES, encode=encode.hashed_encoder(256), retriever=output.pop("retriever", retrieve))
     target = Output(out, kind, name="demo", max_per_query=JOB_NEGATIVES, **output)
     return out, run_job(spark, store_datasets(spark, sf), datasets, mining, target)
 
@@ -282,6 +295,36 @@ def job_kd_scores(spark, sf):
     return typed(formats.entries_of(spark.read.parquet(f"{out}/kd/scores")), "dataset", "query_id", "document_id", "place", "score")
 
 
+class _FailsFor:
+    """Retrieval that fails for one dataset as long as ``dataset`` names it, and counts its calls."""
+
+    def __init__(self, dataset: str):
+        self.dataset, self.asked = dataset, []
+
+    def __call__(self, queries, corpus, *args, **options):
+        names = [r["dataset"] for r in queries.select("dataset").distinct().collect()]
+        self.asked += names
+        if self.dataset in names:
+            raise RuntimeError(f"{self.dataset} is out of order")
+        return retrieve(queries, corpus, *args, **options)
+
+
+@query(of_both("SELECT '{name}' AS dataset, query_id, document_id, place, score FROM entries"))
+def job_resumed(spark, sf):
+    """A run that fails at its second dataset, and is started again: the first one is not mined twice."""
+    search = _FailsFor(BEIR_DATASET)
+    out = scratch_path(spark, "mined")
+    step = {"retriever": search, "out": out, "datasets_per_step": 1, "resume": True}
+    try:
+        job(spark, sf, "kd", **step)
+    except RuntimeError:
+        search.dataset = ""
+    report = job(spark, sf, "kd", **step)[1]
+    if search.asked != [CHAT_DATASET, BEIR_DATASET, BEIR_DATASET] or report.count() != 2:
+        raise ValueError(f"mined {search.asked}")
+    return typed(formats.entries_of(spark.read.parquet(f"{out}/kd/scores")), "dataset", "query_id", "document_id", "place", "score")
+
+
 def wide_columns(n: int) -> str:
     return ", ".join(
         f"coalesce(max(c.document) FILTER (l.ordinal = {i}), '') AS negative_{i}, "

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from checks import sql, tables as t
 from checks.catalog import query
 from negsift.functions.vectors import l2_normalize as unit_vector
-from negsift.operators import cells, encode, late
+from negsift.operators import cells, encode, graph, index, late, lloyd, residual, rotation
 from negsift.operators.retrieve import knn, recall, retrieve
 from negsift.operators.scorers import Dense
 from negsift.operators.topk import emitted
@@ -69,6 +69,13 @@ def encode_model(spark, sf):
     return _long(encode.model_encoder(_word_shape(), batch_size=64)(t.table(spark, sf, "documents"), "text"))
 
 
+@query("""SELECT doc_id, len(w) % 8 AS bucket, count(*) AS n
+FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY ALL""")
+def encode_budget(spark, sf):
+    """The same model in batches of texts of similar length."""
+    return _long(encode.budget_encoder(_word_shape(), 20_000)(t.table(spark, sf, "documents"), "text"))
+
+
 @query("""SELECT vec_id, i - 1 AS i, round(embedding[i]::DOUBLE / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS x
 FROM embeddings, generate_series(1, 64) g(i)""")
 def l2_normalize(spark, sf):
@@ -166,6 +173,22 @@ def knn_text_topk(spark, sf):
     return rounded(retrieve(queries, corpus, 20, encode=encode.hashed_encoder(256)))
 
 
+def in_languages(rows: DataFrame, id_col: str) -> DataFrame:
+    """Three languages, by number."""
+    return rows.withColumn("lang", F.concat(F.lit("l"), F.substring(id_col, 2, 20).cast("long") % 3))
+
+
+@query(f"""WITH scored AS (
+  SELECT 'l' || q.vec_id % 3 AS lang, 'q' || q.vec_id AS query_id, 'd' || d.vec_id AS document_id, round({sql.METRIC['cosine']}, {sql.PLACES}) AS score
+  FROM embeddings q JOIN embeddings d ON q.vec_id % 3 = d.vec_id % 3), {sql.ranked('scored', K)}
+SELECT lang, query_id, document_id, score, rank FROM hits""")
+def knn_languages_topk(spark, sf):
+    """Three languages in one search, each in its own corpus."""
+    queries, corpus, _ = t.vec(spark, sf)
+    hits = knn(in_languages(queries, "query_id"), in_languages(corpus, "document_id"), K)
+    return hits.select("lang", "query_id", "document_id", "score", F.col("rank").cast("long").alias("rank"))
+
+
 # --- cells -----------------------------------------------------------------------
 
 NLIST, NPROBE = 16, 4
@@ -218,9 +241,42 @@ def ivf_cells(spark, sf):
     return sizes.groupBy(*KEYS).agg(F.sum("count").alias("documents"), within.alias("within"))
 
 
+STEPS = 2
+
+
+def _steps() -> str:
+    """Lloyd steps from the first four vectors of each language."""
+    out = [f"""v AS (SELECT vec_id, 'l' || vec_id % 3 AS lang, embedding::DOUBLE[] AS e FROM embeddings),
+c0 AS (SELECT lang, cell, e AS c FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY vec_id) - 1 AS cell FROM v) WHERE cell < 4)"""]
+    for i in range(STEPS):
+        out.append(f"""
+a{i} AS (
+  SELECT vec_id, v.lang, e, cell FROM (
+    SELECT v.*, c.cell, row_number() OVER (PARTITION BY v.vec_id ORDER BY list_distance(v.e, c.c), c.cell) AS p FROM v JOIN c{i} c ON c.lang = v.lang) v
+  WHERE p = 1),
+c{i + 1} AS (
+  SELECT lang, cell, list(x ORDER BY i) AS c
+  FROM (SELECT lang, cell, i, avg(e[i]) AS x FROM a{i}, generate_series(1, 64) g(i) GROUP BY ALL) GROUP BY lang, cell)""")
+    return ",".join(out)
+
+
+@query(f"WITH {_steps()} SELECT lang, cell, i - 1 AS i, round(c[i], 6) AS x FROM c{STEPS}, generate_series(1, 64) g(i)")
+def cells_joint(spark, sf):
+    """Two turns for three languages together, from given seeds."""
+    rows = in_languages(t.vec(spark, sf).corpus, "document_id").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    number = F.substring("document_id", 2, 20).cast("long")
+    first = rows.withColumn("n", number).filter("n < 12").orderBy("n").collect()
+    seeds: dict = {}
+    for r in first:
+        seeds.setdefault((r["dataset"], r["lang"]), []).append(r["embedding"])
+    found = lloyd.lloyd(rows, {key: np.array(block) for key, block in seeds.items()}, STEPS)
+    lines = [(key[1], c, i, float(x)) for key, block in found.items() for c, v in enumerate(block) for i, x in enumerate(v)]
+    return spark.createDataFrame(lines, "lang string, cell long, i long, x double").withColumn("x", F.round("x", 6))
+
+
 #: What a trained or random search must reach on these vectors, which are random: the cells
 #: and buckets that it leaves out are as good as those it searches.
-FLOORS = {"ivf": 0.35, "ivfpq": 0.5, "lsh": 0.7, "plaid": 0.5}
+FLOORS = {"ivf": 0.35, "ivfpq": 0.5, "lsh": 0.7, "plaid": 0.5, "graph": 0.8}
 
 
 def enough(kind: str) -> str:
@@ -277,6 +333,42 @@ def ivfpq_fixed_topk(spark, sf):
     return rounded(cells.ivfpq_topk(queries, coded, fixed, books, K, nprobe=3))
 
 
+#: A fixed rotation: signs by the ones that two numbers have in common (a Hadamard matrix over 8).
+SPIN = "list_transform(range(64), lambda j: list_sum(list_transform(range(64), lambda i: {v}[i + 1] * (1 - 2 * (bit_count((i & j)::BIGINT) % 2)))) / 8)"
+
+FIXED_SPUN = (
+    FIXED_CODES.replace("unit AS (", "plain AS (", 1)
+    .replace("celled AS (", f"unit AS (SELECT vec_id, {SPIN.format(v='u')} AS u FROM plain), spun AS (SELECT cell, {SPIN.format(v='c')} AS c FROM centroids),\ncelled AS (", 1)
+    .replace("JOIN centroids k ON k.cell = n.cell)", "JOIN spun k ON k.cell = n.cell)")
+    .replace(f"g(j) CROSS JOIN centroids k)", "g(j) CROSS JOIN spun k)")
+)
+
+
+def fixed_spin() -> np.ndarray:
+    return np.array([[1.0 - 2 * ((i & j).bit_count() % 2) for j in range(64)] for i in range(64)]) / 8
+
+
+@query(f"""WITH {FIXED_SPUN},
+coarse AS (
+  SELECT q.vec_id AS qv, d.vec_id AS dv, row_number() OVER (PARTITION BY q.vec_id ORDER BY
+    round(list_inner_product(q.u, k.c) + list_inner_product(q.u, d.r), {sql.PLACES}) DESC, 'd' || d.vec_id) AS place
+  FROM near p JOIN unit q ON q.vec_id = p.vec_id JOIN approx d ON d.cell = p.cell JOIN spun k ON k.cell = p.cell WHERE p.place <= 3),
+scored AS (
+  SELECT 'q' || q.vec_id AS query_id, 'd' || d.vec_id AS document_id, round({sql.METRIC['cosine']}, {sql.PLACES}) AS score
+  FROM coarse JOIN embeddings q ON q.vec_id = qv JOIN embeddings d ON d.vec_id = dv WHERE place <= {4 * K}),
+{sql.ranked('scored', K)}
+SELECT query_id, document_id, score, rank FROM hits""")
+def opq_fixed_topk(spark, sf):
+    """Codes of vectors in fixed other directions; the best 4k by code ranked by their exact scores."""
+    queries, corpus, _ = t.vec(spark, sf)
+    fixed, spin = label_centroids(spark, sf), {("vec", "mixed"): fixed_spin()}
+    centroids = rotation.turned(fixed, spin)
+    books = {key: np.split(block, PIECES, axis=1) for key, block in centroids.items()}
+    rest = cells.residuals(cells.with_cell(corpus, fixed), fixed)
+    coded = cells.with_codes(rotation.rotated(rest, spin), books)
+    return rounded(rotation.rotated_topk(queries, corpus, (coded, centroids, books, spin), K, nprobe=3))
+
+
 TABLES, BITS, FLIPS = 4, 3, 1
 
 
@@ -337,11 +429,20 @@ def _right(found: DataFrame, scores: DataFrame) -> DataFrame:
     return both.groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"), F.bool_and(F.col("score").eqNullSafe(F.col("whole"))).alias("exact"))
 
 
+def _right_pairs(spark, sf, found: DataFrame) -> DataFrame:
+    """The same for cosine, from the vectors of the pairs that were found."""
+    queries, corpus, _ = t.vec(spark, sf)
+    q, d = queries.select("query_id", F.col("embedding").alias("q")), corpus.select("document_id", F.col("embedding").alias("d"))
+    pairs = found.select("query_id", "document_id").join(q, "query_id").join(d, "document_id")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    cosine = dot("q", "d") / F.sqrt(dot("q", "q") * dot("d", "d"))
+    return _right(found, pairs.select("query_id", "document_id", F.round(cosine, 9).alias("score")))
+
+
 @query(right())
 def lsh_topk(spark, sf):
     """Random planes: k hits per query, each with its exact score."""
-    corpus = t.vec(spark, sf).corpus.count()
-    return _right(exact(spark, sf, method="hnsw"), exact(spark, sf, k=corpus))
+    return _right_pairs(spark, sf, exact(spark, sf, method="lsh"))
 
 
 @query(f"SELECT 'beir/Bench' AS dataset, 'mixed' AS lang, count(*) * {K} AS wanted, true AS enough, true AS pruned FROM benchmark WHERE text <> ''")
@@ -360,7 +461,7 @@ def lsh_text_recall(spark, sf):
 
 @query(enough("lsh"))
 def lsh_recall(spark, sf):
-    return _enough(spark, sf, "lsh", exact(spark, sf, method="hnsw"))
+    return _enough(spark, sf, "lsh", exact(spark, sf, method="lsh"))
 
 
 @query(hits_sql(sql.vec_hits(K)))
@@ -374,6 +475,113 @@ def ivf_saved_roundtrip(spark, sf):
     return rounded(cells.ivf_topk(queries, celled, read, K, nprobe=NLIST))
 
 
+# --- exact cells, neighbour graph ------------------------------------------------
+
+
+@query(hits_sql(sql.vec_hits(K)))
+def ivf_exact_topk(spark, sf):
+    """Cells left out by the bounds of their rings only: equal to exact search."""
+    return rounded(exact(spark, sf, method="ivf_exact", nlist=NLIST, nprobe=NPROBE))
+
+
+@query(hits_sql(sql.vec_hits(K, "ip")))
+def ivf_exact_ip_topk(spark, sf):
+    return rounded(exact(spark, sf, metric="ip", method="ivf_exact", nlist=NLIST, nprobe=NPROBE))
+
+
+@query(hits_sql(sql.vec_hits(K, "l2")))
+def ivf_exact_l2_topk(spark, sf):
+    return rounded(exact(spark, sf, metric="l2", method="ivf_exact", nlist=NLIST, nprobe=NPROBE))
+
+
+HOPS, BEAM, WIDTH, LINKS = 3, 24, 4, 4
+
+#: Fixed links by number: the next, the previous and two far ones.
+FIXED_LINKS = """
+unit AS (
+  SELECT vec_id AS node, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS u
+  FROM embeddings),
+whole AS (SELECT count(*) AS n FROM unit),
+links AS (
+  SELECT DISTINCT node, unnest([(node + 1) % n, (node + n - 1) % n, (7 * node + 3) % n, (31 * node + 11) % n]) AS other FROM unit, whole)"""
+
+
+def _hops() -> str:
+    """The search, hop by hop: rank what was seen, follow the best not yet followed, score what is new."""
+    steps = ["""seen0 AS (
+  SELECT q.node AS qn, d.node AS dn, round(list_inner_product(q.u, d.u), 9) AS s, false AS f FROM unit q JOIN unit d ON d.node % 50 = 0)"""]
+    for h in range(HOPS + 1):
+        steps.append(f"""
+ranked{h} AS (SELECT *, row_number() OVER (PARTITION BY qn ORDER BY s DESC, 'd' || dn) AS place FROM seen{h}),
+beam{h} AS MATERIALIZED (
+  SELECT *, place <= {BEAM} AND NOT f AND count(*) FILTER (place <= {BEAM} AND NOT f) OVER (PARTITION BY qn ORDER BY place) <= {WIDTH} AS now
+  FROM ranked{h})""")
+        if h < HOPS:
+            steps.append(f"""
+new{h} AS (
+  SELECT DISTINCT qn, other AS dn FROM beam{h} JOIN links ON links.node = dn WHERE now
+  EXCEPT SELECT qn, dn FROM beam{h}),
+seen{h + 1} AS (
+  SELECT qn, dn, s, f OR now AS f FROM beam{h}
+  UNION ALL SELECT qn, dn, round(list_inner_product(q.u, d.u), 9), false FROM new{h} JOIN unit q ON q.node = qn JOIN unit d ON d.node = dn)""")
+    return ",".join(steps)
+
+
+def fixed_graph(spark, sf) -> graph.Graph:
+    nodes = t.vec(spark, sf).corpus.withColumn("node", F.substring("document_id", 2, 20).cast("long"))
+    n, node = nodes.count(), F.col("node")
+    others = F.array((node + 1) % n, (node + n - 1) % n, (7 * node + 3) % n, (31 * node + 11) % n)
+    links = nodes.select("node", F.array_distinct(others).alias("neighbours"))
+    return graph.Graph(nodes.select(*KEYS, "node", "document_id", "embedding"), links, {}, None)
+
+
+@query(f"""WITH {FIXED_LINKS}, {_hops()}
+SELECT 'q' || qn AS query_id, 'd' || dn AS document_id, s AS score, place AS rank FROM beam{HOPS} WHERE place <= {K}""")
+def graph_fixed_topk(spark, sf):
+    """Three hops over fixed links from fixed documents, four of the best 24 followed at a time."""
+    queries, corpus, _ = t.vec(spark, sf)
+    fixed = fixed_graph(spark, sf)
+    start = queries.select(*KEYS, "query_id").join(fixed.nodes.filter("node % 50 = 0").select(*KEYS, "node"), KEYS)
+    found = graph.search_graph(queries, fixed, start, "cosine", BEAM, WIDTH, HOPS)
+    return found.filter(F.col("place") <= K).select("query_id", "document_id", "score", F.col("place").cast("long").alias("rank"))
+
+
+@query(f"""WITH {FIXED_LINKS},
+far AS (
+  SELECT l.node, other, round(greatest(2 - 2 * list_inner_product(a.u, b.u), 0), 6) AS far
+  FROM links l JOIN unit a ON a.node = l.node JOIN unit b ON b.node = other WHERE l.node <> other),
+back AS (
+  SELECT other AS node, node AS other FROM (SELECT *, row_number() OVER (PARTITION BY other ORDER BY far, node) AS place FROM far) WHERE place <= {LINKS}),
+around AS (SELECT node, other FROM far UNION SELECT node, other FROM back),
+met AS (SELECT DISTINCT a.other AS node, b.other FROM around a JOIN around b ON a.node = b.node AND a.other <> b.other),
+pool AS (SELECT node, other FROM met UNION SELECT node, other FROM far),
+placed AS (
+  SELECT pool.node, other, round(greatest(2 - 2 * list_inner_product(a.u, b.u), 0), 6) AS far,
+    row_number() OVER (PARTITION BY pool.node ORDER BY list_inner_product(a.u, b.u) DESC, other) AS place
+  FROM pool JOIN unit a ON a.node = pool.node JOIN unit b ON b.node = other)
+SELECT node, other, far, (node, other) NOT IN (SELECT (node, other) FROM far) AS fresh FROM placed WHERE place <= {LINKS}""")
+def graph_round(spark, sf):
+    """One round from fixed links: neighbours of a node meet, and each keeps its four nearest."""
+    fixed = fixed_graph(spark, sf)
+    points = graph.placed(fixed.nodes, "cosine")
+    links = fixed.links.select("node", F.explode("neighbours").alias("other")).filter("node <> other")
+    of = lambda name: points.select(F.col("node").alias(name), F.col("embedding").alias(f"_{name}"))
+    links = links.join(of("node"), "node").join(of("other"), "other")
+    links = links.select("node", "other", graph.pair_score("l2")("_node", "_other").alias("far"), F.lit(True).alias("fresh"))
+    return graph.improved(stored(links, "links"), points, LINKS).select("node", "other", F.round("far", 6).alias("far"), "fresh")
+
+
+@query(right())
+def graph_topk(spark, sf):
+    """A graph built from the vectors: k hits per query, each with its exact score."""
+    return _right_pairs(spark, sf, exact(spark, sf, method="hnsw"))
+
+
+@query(enough("graph"))
+def graph_recall(spark, sf):
+    return _enough(spark, sf, "graph", exact(spark, sf, method="hnsw"))
+
+
 # --- late interaction ------------------------------------------------------------
 
 MAXSIM = f"""{TOKENS},
@@ -398,6 +606,28 @@ def plaid_full(spark, sf):
     return rounded(late.plaid_topk(queries, corpus, K, nlist=NLIST, nprobe=NLIST, full_scores=None))
 
 
+@query(hits_sql(sql.vec_hits(K)))
+def index_appended(spark, sf):
+    """An index of two thirds of the vectors, the rest appended, searched in all of its cells."""
+    queries, corpus, _ = t.vec(spark, sf)
+    path = scratch_path(spark, "index")
+    first = F.crc32("document_id") % 3 > 0
+    index.build_index(corpus.filter(first), path, nlist=NLIST)
+    index.append_index(corpus, path)
+    return rounded(index.search_index(queries, path, K, nprobe=NLIST))
+
+
+@query("SELECT 'vec' AS dataset, 'mixed' AS lang, count(*) AS documents, 2::BIGINT AS segments, true AS near FROM embeddings")
+def index_drift(spark, sf):
+    """What the manifest tells of two segments of one distribution: new documents lie about as far from the cells."""
+    corpus, path = t.vec(spark, sf).corpus, scratch_path(spark, "index")
+    first = F.crc32("document_id") % 3 > 0
+    index.build_index(corpus.filter(first), path, nlist=NLIST)
+    index.append_index(corpus.filter(~first), path)
+    near = F.bool_and(F.col("drift").between(0.9, 1.3)).alias("near")
+    return index.index_report(spark, path).groupBy(*KEYS).agg(F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("segments"), near)
+
+
 CENTROIDS = 16
 #: Fixed token centroids: words by number, hashed like words.
 FIXED_TOKENS = f"""
@@ -439,6 +669,25 @@ def plaid_fixed_topk(spark, sf):
     return rounded(late.plaid_topk(queries, corpus, K, nprobe=2, full_scores=4 * K, centroids=fixed_token_centroids()))
 
 
+#: A fixed codec: two bits, the same cutoffs and middles in every dimension.
+CUTOFFS, MIDDLES = [-0.1, 0.0, 0.1], [-0.2, -0.05, 0.05, 0.2]
+READ_BACK = """
+opened AS (
+  SELECT vec_id, list_transform(range(1, 17), lambda i: cv[i] + CASE WHEN v[i] - cv[i] > 0.1 THEN 0.2 WHEN v[i] - cv[i] > 0 THEN 0.05
+    WHEN v[i] - cv[i] > -0.1 THEN -0.05 ELSE -0.2 END) AS v FROM close WHERE place = 1),
+best AS ("""
+
+
+@query(hits_sql(FIXED_TOKENS.replace("best AS (", READ_BACK.strip(), 1).replace("JOIN toks d ON d.vec_id = dv GROUP", "JOIN opened d ON d.vec_id = dv GROUP")))
+def plaid_residual_topk(spark, sf):
+    """Two probed centroids per token, the best 4k by centroid scored by residuals of two bits."""
+    queries, corpus, _ = t.vec_tokens(spark, sf)
+    centroids = fixed_token_centroids()
+    same = lambda values: {key: np.tile(values, (v.shape[1], 1)) for key, v in centroids.items()}
+    late_index = residual.compress(corpus, residual.Codec(2, centroids, same(CUTOFFS), same(MIDDLES)))
+    return rounded(residual.residual_topk(queries, late_index, K, nprobe=2, keep=4 * K))
+
+
 @query(f"""WITH {word_sets('dw', 'documents', 'doc_id', 'text')}, {word_sets('qw', 'benchmark', 'item_id', 'text')},
 raw AS (SELECT w, {HASHED_WORD} AS v FROM (SELECT w FROM dw UNION SELECT w FROM qw)),
 unit AS (SELECT w, list_transform(v, lambda x: (x / sqrt(list_inner_product(v, v)))::FLOAT::DOUBLE) AS v FROM raw),
@@ -458,11 +707,25 @@ def maxsim_text_topk(spark, sf):
     return rounded(hits).select("query_id", F.round("score", 6).alias("score"), "rank")
 
 
+@query(right())
+def plaid_saved_roundtrip(spark, sf):
+    """A saved index of residuals: written, appended to, read back; k hits per query, each with the score of its read-back tokens."""
+    queries, corpus, _ = t.vec_tokens(spark, sf)
+    path = scratch_path(spark, "index")
+    index.build_index(corpus.filter(F.crc32("document_id") % 3 > 0), path, "plaid", nlist=64)
+    index.append_index(corpus, path)
+    found = stored(index.search_index(queries, path, K, nprobe=2), "found")
+    saved = index.Saved(spark, path)
+    once = saved.documents().dropDuplicates([*KEYS, "document_id"])
+    return _right(found, late.exact_scores(found, queries, once, 0, residual.opened(once, saved.codec)))
+
+
 @query(right())
 def plaid_topk(spark, sf):
     """Trained centroids: k hits per query, each with its exact score."""
     queries, corpus, _ = t.vec_tokens(spark, sf)
-    return _right(late.plaid_topk(queries, corpus, K, nlist=64), late.maxsim_topk(queries, corpus, corpus.count()))
+    found = stored(late.plaid_topk(queries, corpus, K, nlist=64), "found")
+    return _right(found, late.exact_scores(found, queries, corpus, 0))
 
 
 @query(enough("plaid"))

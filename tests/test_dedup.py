@@ -112,3 +112,28 @@ def test_bad_target_does_not_stop_the_rest(spark, tmp_path):
     spark.range(1).selectExpr("'s' dataset", "'x' lang", "id").write.partitionBy(*KEYS).parquet(f"{root}/config=scores_bad")
     done = dedup_published(spark, root, out, ("bad", "copies"))
     assert as_set(done, "target", "status") == {("copies", "changed"), ("bad", "failed")}
+
+
+def test_texts_stay_where_they_are_read(spark):
+    """Positions as bitmaps: the same rows as a join, and no exchange that carries the texts."""
+    from negsift.operators import formats
+    from negsift.operators.positions import by_position
+
+    rng = range(0, 200_000, 7)
+    frame = spark.createDataFrame([("s", "xy"[i % 2], f"d{i}", f"text {i % 900}", i - 3000) for i in rng], K + "document_id string, document string, pos long").repartition(6)
+    some = frame.filter("pmod(hash(document_id), 3) = 0").select(*KEYS, "pos")
+    for keep in (True, False):
+        got = by_position(frame, some, keep)
+        assert got.columns == frame.columns
+        for limit in (1 << 28, 0):
+            assert as_set(by_position(frame, some, keep, map_bytes=limit), *KEYS, "pos") == as_set(frame.join(some, [*KEYS, "pos"], "left_semi" if keep else "left_anti"), *KEYS, "pos")
+    used = frame.filter("pmod(hash(document_id), 5) = 0").select(*KEYS, "document_id", (F.col("pos") * 0).alias("place"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows in (dedup_corpus(frame), formats.kd_documents(frame, used)):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+            assert not any("document#" in line for line in exchanges) and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert formats.kd_documents(frame, used).count() == used.count()

@@ -163,3 +163,23 @@ def test_result_rules(spark, sf):
     assert all(len(s) <= TEXT_NEGATIVES and s == sorted(s, reverse=True) for s in per_query.values())
     again = mine.mined_entries(bundle.queries.repartition(7), found.repartition(5), bundle.qrels.repartition(3), TEXT_NEGATIVES)
     assert as_set(again, "query_id", "place", "document_id", "score") == as_set(entries, "query_id", "place", "document_id", "score")
+
+
+def test_a_hot_query_is_many_ranges(spark):
+    """Ranked by ranges as in one window, and no range holds more than twice the mean."""
+    from negsift.operators import mine
+    from negsift.operators.order import numbered
+    from pyspark.sql import functions as F
+
+    judged = [("hot", f"d{i:05}") for i in range(6000)] + [(f"q{i}", f"d{i:05}") for i in range(50)]
+    found = [("hot", f"d{i * 7:05}", 1.0 - i / 100) for i in range(40)] + [(f"q{i}", f"d{j:05}", 0.5 - j / 1000) for i in range(50) for j in range(20)]
+    asked, h, r = queries(spark, ["hot", *[f"q{i}" for i in range(50)]]), hits(spark, found), qrels(spark, judged)
+    columns = ["query_id", "document_id", "place", "score", "is_pos", "retrieved", "positives"]
+    whole = as_set(mine.mined_entries(asked, h, r, 5), *columns)
+    assert as_set(mine.mined_entries(asked, h, r, 5, hot_rows=100), *columns) == whole
+    assert as_set(mine.mined_entries(asked, h, r, 5, hot_rows=1), *columns) == whole
+    part = F.spark_partition_id().alias("part")
+    sizes = [x["count"] for x in r.orderBy("query_id", "document_id").select(part).groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    places = numbered(r.repartition(9), [F.col("query_id"), F.col("document_id")], "n").orderBy("n").collect()
+    assert [x["n"] for x in places] == list(range(6050)) and [x["document_id"] for x in places[:6000]] == [f"d{i:05}" for i in range(6000)]

@@ -55,7 +55,7 @@ def test_floors_change_nothing_but_the_volume(spark, metric, form):
 def test_a_bundle_with_queries_only(spark):
     q = vectors(spark, [("q", [1, 0])], "query_id", "x").unionByName(vectors(spark, [("p", [1, 0])], "query_id", "y"))
     d = vectors(spark, [(f"d{i}", v) for i, v in enumerate(RNG.normal(size=(60, 2)))], "document_id", "x")
-    for options in ({}, {"method": "ivf", "nlist": 2}, {"method": "ivfpq", "nlist": 2, "m_pq": 2}, {"method": "hnsw", "hash_bits": 1}):
+    for options in ({}, {"method": "ivf", "nlist": 2}, {"method": "ivfpq", "nlist": 2, "m_pq": 2}, {"method": "hnsw"}, {"method": "lsh", "hash_bits": 1}, {"method": "ivf_exact", "nlist": 2}):
         assert as_set(knn(q, d, 3, **options), "lang", "query_id") == {("x", "q")}
     tokens = lambda rows: encode.token_matrix(rows, 2, 1)
     assert as_set(late.plaid_topk(tokens(q), tokens(d), 3, nlist=4), "lang") == {("x",)}
@@ -119,7 +119,7 @@ def test_a_column_called_pos_is_no_position(spark, tmp_path):
     spark.createDataFrame([(7, "a")], "at int, d string").write.json(f"{tmp_path}/j")
     assert as_set(read_table(spark, f"{tmp_path}/j", "json", pos_field="at"), "pos", "d") == {(7, "a")}
     with pytest.raises(ValueError):
-        read_table(spark, f"{tmp_path}/j", "json")
+        read_table(spark, f"{tmp_path}/j", "json", pos_field="pos")
 
 
 def test_published_shape_without_folders(spark, tmp_path):

@@ -147,6 +147,7 @@ def test_recall_of_codes_and_hashes(spark, sf):
     assert _recall(whole, whole, 10) == 1.0
     assert _recall(exact(spark, sf, method="ivf", nlist=16, nprobe=8), whole, 10) >= 0.75
     assert _recall(exact(spark, sf, method="ivfpq", nlist=16, nprobe=16, m_pq=8), whole, 10) >= 0.6
+    assert _recall(exact(spark, sf, method="lsh"), whole, 10) >= 0.95
     assert _recall(exact(spark, sf, method="hnsw"), whole, 10) >= 0.95
     whole.unpersist()
 
@@ -275,7 +276,9 @@ def test_job_searches(spark, tmp_path):
         [
             Mining(10, 5, encode=plain, search={"method": "ivf", "nlist": 2, "nprobe": 2}),
             Mining(10, 5, encode=plain, search={"method": "ivfpq", "nlist": 2, "nprobe": 2, "m_pq": 4}),
-            Mining(10, 5, encode=plain, search={"method": "hnsw", "hash_bits": 2}),
+            Mining(10, 5, encode=plain, search={"method": "hnsw", "graph_degree": 4}),
+            Mining(10, 5, encode=plain, search={"method": "lsh", "hash_bits": 2}),
+            Mining(10, 5, encode=plain, search={"method": "ivf_exact", "nlist": 2}),
             Mining(10, 5, encode=plain, search={"metric": "l2"}),
             Mining(10, 5, "late_interaction", tokens, {"nlist": 8}),
             Mining(10, 5, "late_interaction", tokens, {"pruned": False}),

@@ -159,4 +159,5 @@ def test_json_and_csv(spark, tmp_path):
     assert as_set(read_table(spark, out, "csv", pos_field="pos"), "pos", "d") == as_set(rows, "pos", "d")
     (tmp_path / "u.json").write_text('{"q": 1}')
     with pytest.raises(ValueError):
-        read_table(spark, str(tmp_path / "u.json"), "json")
+        read_table(spark, str(tmp_path / "u.json"), "json", pos_field="pos")
+    assert as_set(read_table(spark, str(tmp_path / "u.json"), "json"), "pos", "q") == {(0, 1)}
