@@ -289,11 +289,15 @@ def ivfpq_topk(
 
 
 def random_planes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
-    """Normals of ``bits`` planes for each table, at right angles to each other (in runs of ``dim``).
+    """Normals of ``bits`` planes for each table.
 
-    Planes that cut across each other fill buckets more evenly than independent ones.
+    In few dimensions planes drawn independently of each other cut alike and leave buckets uneven; there (more
+    than the root of ``dim`` planes) those of a table are put at right angles, in runs of ``dim``. In
+    many dimensions they nearly are.
     """
     drawn = np.random.default_rng(seed).normal(size=(tables, bits, dim))
+    if bits * bits <= dim:
+        return drawn
     runs = [np.linalg.qr(drawn[:, lo : lo + dim].transpose(0, 2, 1))[0].transpose(0, 2, 1) for lo in range(0, bits, max(dim, 1))]
     return np.concatenate(runs, axis=1)
 

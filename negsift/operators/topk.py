@@ -38,7 +38,8 @@ CHUNK_BYTES = 256 << 20
 _MATRIX_CELLS = 8_000_000  # score matrix of one chunk, 64 MB of doubles
 FLOOR_ROWS = 1_000_000  # documents from which on floors are looked for
 FLOOR_SHARE = 64
-BLOCK_BYTES = 64 << 20  # queries of one block
+BLOCK_BYTES = 64 << 20  # queries, or documents, of one block
+MEASURED = 1_000  # documents whose mean size counts for all
 
 
 def topk(
@@ -79,7 +80,7 @@ def emitted(
     floor_share: int = FLOOR_SHARE,
 ) -> DataFrame:
     """What the scoring steps send to the final ranking: every hit of it, and some rows more."""
-    doc_block = doc_block or scorer.doc_block
+    given, doc_block = doc_block, doc_block or scorer.doc_block
     queries = queries.select(*keys, "query_id", *scorer.query_columns)
     docs = docs.select(*keys, "document_id", *scorer.doc_columns)
     if form not in ("auto", "broadcast", "blocks"):
@@ -88,7 +89,7 @@ def emitted(
     floors = None
     if docs.select("document_id").count() >= floor_rows:
         part = docs.filter(F.pmod(F.xxhash64(F.lit("floor"), "document_id"), F.lit(floor_share)) == 0)
-        options = {"form": form, "broadcast_bytes": broadcast_bytes, "doc_block": doc_block, "query_block": query_block}
+        options = {"form": form, "broadcast_bytes": broadcast_bytes, "doc_block": given, "query_block": query_block}
         first = best(
             emitted(queries, part, k, scorer, keys, ascending, once, **options, spread=spread, floor_rows=1 << 62),
             k, ascending, distinct=not once,
@@ -106,6 +107,10 @@ def emitted(
     if form == "broadcast":
         return _against_broadcast(queries, spread_small(docs) if spread else docs, search)
     query_block = query_block or max(scorer.query_block, BLOCK_BYTES * rows // max(size, 1))
+    if given is None:
+        # As many documents as fill a block, so that a query is copied to as few blocks as can be.
+        some, many = size_in_bytes(docs.limit(MEASURED))
+        doc_block = max(doc_block, BLOCK_BYTES * many // max(some, 1))
     return _against_blocks(queries, docs, search, doc_block, query_block)
 
 

@@ -95,7 +95,7 @@ def test_residuals(spark, tmp_path):
     assert residual.residual_topk(queries, compact, 10, nprobe=2, keep=80, broadcast_bytes=0).count() == 200
     exact = whole.select("query_id", "document_id", F.col("score").alias("exact"))
     worst = found.join(exact, ["query_id", "document_id"]).agg(F.max(F.abs(F.col("score") - F.col("exact")))).first()[0]
-    assert worst < 0.1
+    assert worst < 0.2  # of four tokens together
     # Each token is read back near itself, nearer with more bits.
     off = []
     for bits in (1, 2, 4, 8):
