@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, functions as F
 
 #: Only inputs below this size are moved. Larger ones have enough splits, and
@@ -20,6 +22,7 @@ def spread_small(rows: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
     files = rows.inputFiles()
     if not files or len(files) >= cores:
         return rows
-    lengths = spark.read.format("binaryFile").load(files).select("length")
+    paths = [unquote(file) for file in files]  # they are told as URIs, and read as paths
+    lengths = spark.read.format("binaryFile").load(paths).select("length")
     size = lengths.agg(F.sum("length")).first()[0]
     return rows.repartition(cores) if size < small_bytes else rows
