@@ -6,55 +6,95 @@ For a number of shards that is no power of two the cut is at the share of the by
 that the left child's shards are due.
 
 A dimension's values are laid on a grid of 2^19 cells between its smallest and largest
-value; null is the cell before the first. Strings count by their first six bytes. Rows of
-one cell are told apart by a hash of id and text, so a value that holds a third of all
-rows is cut as finely as any other. The cut is found by histograms: every pass counts
+value; null is the cell before the first. Strings count by their rank among the column's distinct
+values, so a prefix that all of them share costs nothing. Rows of one cell are told apart by
+a hash of id and text, and equal ones by a hash of the row's number, so a value, or
+a row repeated, that holds a third of all rows is cut as finely as any other. The cut is found by histograms: every pass counts
 bytes in up to 4,096 intervals per node, for all nodes of a level at once, and goes on
 inside the one interval that holds the median, until that holds one row. The driver sees
 one row per node.
 
-Null texts have no bytes besides the overhead. Rows equal in id, text and metadata
-cannot be told apart and share a shard; rows equal in less can be parted. An empty table
+Null texts have no bytes besides the overhead. Which of several equal rows goes to
+which shard depends on how the table is read; they are equal, so it shows in nothing else. An empty table
 gives an empty result. Columns other than id, text and dimensions take no part.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from negsift.llm.frames import numbered, small_table
+from negsift.operators.skew import hottest, lookup
 from negsift.session import stored
 
 CELLS = 1 << 19
 TIES = 1 << 43
+COPIES = 1 << 20  # the part of the ties that tells equal rows apart
 BINS = 4096
 OVERHEAD = 16
 _SPLITS = "node int, dim int, cut long, step int"
 
 
+@dataclass(frozen=True)
+class Grid:
+    """How values become cells: the ends of each dimension, and the ranks of those that hold strings."""
+
+    ends: dict
+    ranks: dict[str, DataFrame]
+
+
 def position(name: str, kind: str) -> Column:
-    """A dimension's value as a number; strings by their first six bytes."""
+    """A dimension's value as a number; strings stay what they are until :func:`ranked`."""
     if kind in ("string", "binary"):
-        first = f"rpad(substring(cast(`{name}` as binary), 1, 6), 6, x'00')"
-        return F.expr(f"cast(conv(hex({first}), 16, 10) as double)")
+        return F.col(name)
     value = F.col(name).cast("double")
     return F.when(~F.isnan(value), value)
 
 
 def numbers(docs: DataFrame, dims: list[str], id_col: str, text_col: str) -> dict[str, Column]:
-    """What sharding works on, a few numbers per row."""
+    """What sharding works on, a few values per row."""
     kinds = dict(docs.dtypes)
     text = F.coalesce(F.col(text_col), F.lit(""))
+    own = F.pmod(F.xxhash64(F.col(id_col), text), F.lit(TIES // COPIES))
+    copy = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(COPIES))
     return {
         "_size": (F.octet_length(text) + OVERHEAD).cast("long"),
         "_crc": F.crc32(F.encode(text, "UTF-8")),
-        "_tie": F.xxhash64(F.col(id_col), text),
+        "_tie": own * COPIES + copy,
         **{f"_v{i}": position(c, kinds[c]) for i, c in enumerate(dims)},
     }
 
 
+def value_ranks(rows: DataFrame, column: str) -> DataFrame:
+    """The distinct values of ``column`` with ``many`` (rows) and ``_rank``, from 0 without gaps.
+
+    The values are sorted in ranges, one per task, and numbered within theirs; the driver sees the size of each range.
+    """
+    counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("many"))
+    in_order = stored(counts.orderBy(column).withColumn("_at", F.monotonically_increasing_id()), "values")
+    sizes = in_order.groupBy(F.shiftright("_at", 33).alias("range")).count().collect()
+    starts, before = [], 0
+    for r in sorted(sizes):
+        starts.append({"range": r["range"], "start": before})
+        before += r["count"]
+    table = F.broadcast(small_table(rows.sparkSession, starts, "range long, start long"))
+    met = in_order.join(table, F.shiftright("_at", 33) == F.col("range"))
+    place = F.col("start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return met.select(column, "many", place.cast("double").alias("_rank"))
+
+
+def ranked(rows: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
+    """``rows`` with ranks in place of strings. Frequent values meet theirs in a broadcast of at most 1,000."""
+    for column, table in ranks.items():
+        hot = hottest(table, "many").drop("many")
+        met = lookup(rows, table.drop("many"), [column], hot, F.col("_tie").cast(dict(rows.dtypes)[column]))
+        rows = met.drop("found", column).withColumnRenamed("_rank", column)
+    return rows
+
+
 def on_grid(rows: DataFrame, ends: dict) -> DataFrame:
     """``rows`` with ``_keys``: per dimension the cell and, within it, the tie-breaking hash."""
 
@@ -153,15 +193,18 @@ def tree(rows: DataFrame, dims: int, shards: int) -> list[list[dict]]:
 
 def plan(
     docs: DataFrame, dims: list[str], shards: int | None, target_bytes: int | None, id_col: str, text_col: str
-) -> tuple[DataFrame, dict, list[list[dict]]]:
-    """The numbers per row, stored; the ends of each dimension; the tree."""
+) -> tuple[DataFrame, Grid, list[list[dict]]]:
+    """The numbers per row, stored; the grid; the tree."""
     own = numbers(docs, dims, id_col, text_col)
     rows = stored(docs.select(F.col(id_col).alias("doc_id"), *[v.alias(k) for k, v in own.items()]), "sizes")
+    ranks = {c: value_ranks(rows, c) for c, kind in rows.dtypes if c.startswith("_v") and kind in ("string", "binary")}
+    if ranks:
+        rows = stored(ranked(rows, ranks), "ranked")
     of = [f(f"_v{i}").alias(f"{n}{i}") for i in range(len(dims)) for n, f in (("lo", F.min), ("hi", F.max))]
     ends = rows.agg(*of, F.sum("_size").alias("total")).first().asDict()
     total = ends.pop("total") or 0
     rows = on_grid(rows, ends)
-    return rows, ends, tree(rows, len(dims), shards or max(1, math.ceil(total / target_bytes)))
+    return rows, Grid(ends, ranks), tree(rows, len(dims), shards or max(1, math.ceil(total / target_bytes)))
 
 
 def shard(
@@ -185,12 +228,14 @@ def write_shards(
 ) -> None:
     """Write ``docs`` as Parquet, one folder ``shard=N`` of up to ``files`` files per shard.
 
-    A row's shard follows from its own values, so the texts are sent once, to the tasks
-    that write them. Input columns called ``shard`` or like the operator's own are left out.
+    A row's shard follows from its own values (of equal rows, from its number), so the texts are sent once, to the tasks
+    that write them; once more for a string dimension whose values are too many to broadcast. An input
+    column called ``shard`` is left out.
     """
     own = numbers(docs, dims, id_col, text_col)
-    _, ends, levels = plan(docs, dims, shards, target_bytes, id_col, text_col)
-    kept = docs.drop("shard", "_node", "_keys", "node", "dim", "cut", "step", *own)
-    placed = assign(on_grid(kept.withColumns(own), ends), levels)
-    out = placed.select(*kept.columns, F.col("_node").alias("shard"), F.pmod("_tie", F.lit(files)).alias("_file"))
+    _, grid, levels = plan(docs, dims, shards, target_bytes, id_col, text_col)
+    whole = F.struct(*[F.col(c) for c in docs.columns if c.lower() != "shard"]).alias("_doc")
+    rows = ranked(docs.select(whole, *[v.alias(k) for k, v in own.items()]), grid.ranks)
+    placed = assign(on_grid(rows, grid.ends), levels)
+    out = placed.select("_doc.*", F.col("_node").alias("shard"), F.pmod("_tie", F.lit(files)).alias("_file"))
     out.repartition("shard", "_file").drop("_file").write.partitionBy("shard").parquet(path)

@@ -92,3 +92,31 @@ def test_written(spark, odd, tmp_path):
     want = sorted(map(str, odd.select("doc_id", "text", "size").collect()))
     assert sorted(map(str, back.select("doc_id", "text").collect())) == sorted(map(str, odd.select("doc_id", "text").collect()))
     assert len(want) == back.count() and "shard" in back.columns
+
+
+def test_strings_that_share_a_prefix(spark):
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.lit("t" * 30).alias("text"), F.concat(F.lit("https://site"), F.col("id") % 4).alias("source")
+    )
+    rows = S.shard(docs, ["source"], shards=4).join(docs.select("doc_id", "source"), "doc_id")
+    assert rows.select("shard", "source").distinct().count() == 4
+
+
+def test_ranks(spark):
+    values = ["b", "a", None, "é", "", "b", "B", "漢"]
+    rows = spark.createDataFrame([(v,) for v in values], "_v0 string").repartition(5)
+    found = {r["_v0"]: (r["many"], r["_rank"]) for r in S.value_ranks(rows, "_v0").collect()}
+    order = sorted({v for v in values if v is not None}, key=lambda v: v.encode())
+    assert found == {v: (values.count(v), float(i)) for i, v in enumerate(order)}
+    many = spark.range(30_000).select(F.md5(F.col("id").cast("string")).alias("_v0"))
+    got = S.value_ranks(many, "_v0").orderBy("_v0").collect()
+    assert [r["_rank"] for r in got] == [float(i) for i in range(30_000)]
+
+
+def test_one_row_repeated(spark):
+    """A third of the rows are equal in everything; the law of equal bytes holds all the same."""
+    docs = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("doc_id"), F.lit("t" * 50).alias("text"), F.lit("s").alias("source"))
+    rows = S.shard(docs, ["source", "doc_id"], shards=40).collect()
+    sizes = np.bincount([r["shard"] for r in rows], minlength=40)
+    check_slots(rows)
+    assert len(rows) == 3000 and sizes.max() - sizes.min() <= 4
