@@ -2,9 +2,9 @@
 
 Every page becomes a record. Only headers are shuffled: by payload digest, each group of
 equal payloads finds its smallest id. That page's record is the response, the others
-are revisits of it; payloads below ``least_bytes`` are all responses. The join that
-tells a page what it is carries ids, never payloads, and pages that stay responses are not
-in it at all.
+are revisits of it; payloads below ``least_bytes`` are all responses. Payloads are in no
+join that shuffles: revisits are written from headers alone, and the responses from a scan of the pages that
+leaves out revisits by bitmaps of row numbers, up to 256 MB of them at a time.
 
 The archives are written by Spark's text writer: a record's header block, an empty line and
 the payload are one value, and the blank lines that end a record are the line
@@ -13,7 +13,7 @@ looking for separators, so a payload may hold anything. Files are bounded by ``f
 
 A null payload counts as empty. Equal means equal in SHA-1, SHA-256 and length. Rows of equal
 id and payload are records each: the one stored first is the response. Rows without
-id come after all ids. Ids and addresses may not break a header: control characters in
+id come after all ids. Headers are dated by the time of writing, unless a date is given. Ids and addresses may not break a header: control characters in
 them are percent-encoded. An empty table writes an empty archive. Other columns
 take no part.
 """
@@ -27,10 +27,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from negsift.operators.positions import MAP_BYTES, by_position
 from negsift.session import scratch_path, stored
 
 FILE_BYTES = 16 << 20
-DATE = "2024-01-01T00:00:00Z"
+BITMAP_ROWS = 32_768  # of one of Spark's bitmaps
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ENDS = "\r\n\r\n"
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)", re.IGNORECASE)
@@ -65,19 +66,43 @@ def headers(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> Da
 
 
 def revisits(rows: DataFrame, least_bytes: int) -> DataFrame:
-    """``row, of_row, of_id, of_url`` of the pages that revisit another.
+    """Headers of the pages that revisit another: their own, and ``of_row, of_id, of_url`` of the response.
 
     Groups are reduced to one row by minimum before the shuffle; what joins with a large group is that row.
     """
     digest = ["sha1", "sha256", "bytes"]
     large = rows.filter(F.col("bytes") >= least_bytes).select("row", "page_id", "url", *digest)
-    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row", "url")
     first = large.groupBy(*digest).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     met = large.join(first, digest).filter(F.col("row") != F.col("first.row"))
-    found = met.select("row", F.col("first.row").alias("of_row"), F.col("first.page_id").alias("of_id"))
-    targets = found.select("of_row").distinct()
-    urls = rows.select(F.col("row").alias("of_row"), F.col("url").alias("of_url")).join(targets, "of_row", "left_semi")
-    return found.join(urls, "of_row")
+    of = [F.col(f"first.{c}").alias(name) for c, name in (("row", "of_row"), ("page_id", "of_id"), ("url", "of_url"))]
+    return met.select("row", "page_id", "url", "bytes", "sha1", *of)
+
+
+def responses(rows: DataFrame, revisit: DataFrame, map_bytes: int = MAP_BYTES) -> DataFrame:
+    """The ``rows`` that revisit nothing, payloads where they are read.
+
+    Row numbers rise from file to file. Where the bitmaps are too many for one broadcast, ranges of rows are
+    read one after the other, each with its own; a range skips the files of the others.
+    """
+    spots = revisit.select(F.col("row").alias("pos"))
+    buckets = spots.select(F.bitmap_bucket_number("pos").alias("bucket")).distinct()
+    size = buckets.count() * BITMAP_ROWS // 8
+    cuts: list[int] = []
+    if size > map_bytes:
+        parts = -(-2 * size // map_bytes)  # half full, since the cuts are approximate
+        shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        cuts = sorted(set(buckets.select(F.percentile_approx("bucket", shares, 100 * parts)).first()[0]))
+    pages, out = rows.withColumnRenamed("row", "pos"), None
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        within = F.lit(True)
+        if lo is not None:
+            within &= F.col("pos") > lo * BITMAP_ROWS
+        if hi is not None:
+            within &= F.col("pos") <= hi * BITMAP_ROWS
+        part = by_position(pages.filter(within), spots.filter(within), False, [], map_bytes)
+        out = part if out is None else out.union(part)
+    return out.withColumnRenamed("pos", "row")
 
 
 def record_id(row: Column, page_id: Column) -> Column:
@@ -85,39 +110,48 @@ def record_id(row: Column, page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), row.cast("string"), F.lit(">"))
 
 
-def records(rows: DataFrame, revisit: DataFrame) -> DataFrame:
+def writing_time() -> Column:
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def records(rows: DataFrame, revisit: DataFrame, date: str | None = None) -> DataFrame:
     """One value per record, fresh headers and, for responses, the payload."""
-    joined = rows.join(revisit, "row", "left")
-    again = F.col("of_row").isNotNull()
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    common = [
-        F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.when(again, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", record_id(F.col("row"), F.col("page_id"))),
-        line("WARC-Date", F.lit(DATE)),
-        line("WARC-Target-URI", header_value(F.col("url"))),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-        line("WARC-Payload-Length", F.col("bytes").cast("string")),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-    ]
+    written = F.lit(date) if date else writing_time()
+
+    def head(kind: str) -> list[Column]:
+        return [
+            F.lit("WARC/1.1\r\n"),
+            line("WARC-Type", F.lit(kind)),
+            line("WARC-Record-ID", record_id(F.col("row"), F.col("page_id"))),
+            line("WARC-Date", written),
+            line("WARC-Target-URI", header_value(F.col("url"))),
+            line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+            line("WARC-Payload-Length", F.col("bytes").cast("string")),
+            line("Content-Type", F.lit("text/html; charset=utf-8")),
+        ]
+
     of = [
         line("WARC-Profile", F.lit(PROFILE)),
         line("WARC-Refers-To", record_id(F.col("of_row"), F.col("of_id"))),
         line("WARC-Refers-To-Target-URI", header_value(F.col("of_url"))),
-        line("WARC-Refers-To-Date", F.lit(DATE)),
+        line("WARC-Refers-To-Date", written),
         line("Content-Length", F.lit("0")),
     ]
     own = [line("Content-Length", F.col("bytes").cast("string"))]
-    value = F.when(again, F.concat(*common, *of, F.lit("\r\n"))).otherwise(F.concat(*common, *own, F.lit("\r\n"), F.col("payload")))
-    return joined.select(value.alias("value"))
+    first = F.concat(*head("response"), *own, F.lit("\r\n"), F.col("payload"))
+    again = F.concat(*head("revisit"), *of, F.lit("\r\n"))
+    return responses(rows, revisit).select(first.alias("value")).union(revisit.select(again.alias("value")))
 
 
 def write_archives(
-    pages: DataFrame, path: str, id_col="page_id", url_col="url", payload_col="html", least_bytes: int = 0, file_bytes: int = FILE_BYTES
+    pages: DataFrame, path: str, id_col="page_id", url_col="url", payload_col="html", least_bytes: int = 0,
+    file_bytes: int = FILE_BYTES, date: str | None = None,
 ) -> None:
     """Write a deduplicated archive of ``pages`` to the new folder ``path``."""
     rows = headers(pages, id_col, url_col, payload_col)
-    out = records(rows, stored(revisits(rows, least_bytes), "revisits"))
+    out = records(rows, stored(revisits(rows, least_bytes), "revisits"), date)
     total, most = rows.agg(F.coalesce(F.sum(F.col("bytes") + 512), F.lit(0)), F.count(F.lit(1))).first()
     # About file_bytes of uncompressed records in a file, at the mean size of a record.
     limit = max(1, most * file_bytes // max(total, 1))

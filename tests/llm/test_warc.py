@@ -62,5 +62,32 @@ def test_a_missing_response_is_seen(spark, pages):
     assert [r["refers_to"] for r in lost.filter("page_id = 5").collect()] == [None]
 
 
+def test_bitmaps_in_parts(spark, pages):
+    """With room for one bitmap at a time, the responses are those that need no bitmap at all."""
+    rows = A.headers(spark.range(100_000, numPartitions=4).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), (F.col("id") % 70_000).cast("string").alias("html")), "page_id", "url", "html")
+    again = A.stored(A.revisits(rows, 0), "revisits")
+    want = rows.join(again, "row", "left_anti").select("page_id").orderBy("page_id").collect()
+    assert len(want) == 70_000
+    for room in (4096, 3 * 4096, 1 << 20):
+        assert A.responses(rows, again, room).select("page_id").orderBy("page_id").collect() == want
+
+
+def test_payloads_are_not_shuffled(spark, pages):
+    rows = A.headers(pages, "page_id", "url", "html")
+    plan = A.records(rows, A.stored(A.revisits(rows, 0), "revisits"))._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line and "payload" in line]
+    assert "SortMergeJoin" not in plan
+
+
+def test_dates(spark, pages, tmp_path):
+    import gzip
+
+    for name, date in (("given", "2020-02-03T04:05:06Z"), ("now", None)):
+        A.write_archives(pages, f"file://{tmp_path}/{name}", date=date)
+        heads = [h for f in (tmp_path / name).glob("part-*") for h, _ in A.parse(gzip.decompress(f.read_bytes()))]
+        found = {h["warc-date"] for h in heads}
+        assert found == {date} if date else len(found) == 1 and min(found) > "2024"
+
+
 def test_empty(spark):
     assert A.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
