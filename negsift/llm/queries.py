@@ -9,6 +9,7 @@ from negsift.llm import (
     attribution, bagrank, chat, hmm, importance, maxscore, mixing, packing, rules, shard, simhash, sql, sumsquares, warc,
 )
 from negsift.llm.catalog import ORACLES, QUERIES, query, table
+from negsift.session import stored
 
 SHARDS = 40
 DIMENSIONS = ["lang", "source", "n_chars", "doc_id"]
@@ -46,14 +47,14 @@ def op4_maxscore(spark, sf):
 
 @query(sql.RULES)
 def op5_quality_cascade(spark, sf):
-    docs = rules.with_measures(table(spark, sf, "documents").select("doc_id", "text"))
-    found = {c: F.col(c) for c in docs.columns if c != "doc_id"}
+    """The measures asked for are columns; lines and capitals are computed by the rules, for texts that come that far."""
+    texts = table(spark, sf, "documents").select("doc_id", "text")
+    found = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
+    docs = rules.with_measures(texts, names=list(found))
+    sample = stored(rules.with_measures(rules.sample_of(texts, 1000), names=list(found)), "measured")
     few, repeated = rules.RULES[0].rejects(found), rules.RULES[1].rejects(found)
-    judged = rules.cascade(docs, found=found)
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (few | repeated).alias("base_failed"),
-        F.col("rejected_by").isNull().alias("kept"),
-    )
+    judged = rules.cascade(docs, found=found, sample=sample)
+    return judged.select("doc_id", *found, (few | repeated).alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
 @query()

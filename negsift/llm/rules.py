@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule is a Column expression that is true where it rejects a text. On a sample the
+Each rule is a Column expression that is true where it rejects a text. On a random sample the
 cascade measures what a rule costs and how much it rejects, and then asks the rules in
 order of rejections per cost: a text is spared all rules after the first that rejects
 it. The order changes the work and the reported rule, never the verdict.
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from negsift.llm.frames import SPACE, words as words_of
+from negsift.llm.frames import SPACE, fresh, words as words_of
 from negsift.session import stored
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -95,22 +95,25 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
-def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All measures as columns, each step computed once per text; drops the text."""
-    keep = [c for c in docs.columns if c != text_col]
-    text = F.col(text_col)
-    rows = docs.withColumns({"_words": words_of(text), "_lines": lines_with_words(text)})
-    rows = rows.withColumn("_sorted", F.sort_array(window_places(F.col("_words"))))
-    return rows.select(
-        *keep,
-        F.size("_words").cast("long").alias("n_words"),
-        word_chars(F.col("_words")).alias("word_chars"),
-        count_of(text, SYMBOLS).alias("n_symbols"),
-        count_of(text, CAPITALS).alias("n_capitals"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        later_copies(F.col("_lines")).alias("n_dup_lines"),
-        covered_words(repeated_places(F.col("_sorted"))).alias("n_repeat_words"),
-    )
+def with_measures(docs: DataFrame, text_col: str = "text", names: list[str] | None = None) -> DataFrame:
+    """``docs`` with all measures, or those of ``names``, as columns; each step is computed once per text.
+
+    Input columns of the same names are replaced.
+    """
+    text, w, s, x = F.col(text_col), fresh(docs, "_words"), fresh(docs, "_sorted"), fresh(docs, "_lines")
+    rows = docs.withColumns({w: words_of(text), x: lines_with_words(text)}).withColumn(s, F.sort_array(window_places(F.col(w))))
+    found = {
+        "n_words": F.size(w).cast("long"),
+        "word_chars": word_chars(F.col(w)),
+        "n_symbols": count_of(text, SYMBOLS),
+        "n_capitals": count_of(text, CAPITALS),
+        "n_lines": F.size(x).cast("long"),
+        "n_dup_lines": later_copies(F.col(x)),
+        "n_repeat_words": covered_words(repeated_places(F.col(s))),
+    }
+    found = {k: v for k, v in found.items() if names is None or k in names}
+    kept = [c for c in docs.columns if c.lower() not in found]
+    return rows.select(*kept, *[v.alias(k) for k, v in found.items()])
 
 
 # --- rules -------------------------------------------------------------------------
@@ -134,36 +137,51 @@ RULES = [
 ]
 
 
+def sample_of(docs: DataFrame, rows: int, seed: int = 42) -> DataFrame:
+    """About ``rows`` random rows, each with the same chance; stored, so that all rules are timed over the same."""
+    many = docs.count()
+    return stored(docs.sample(min(1.0, rows / many), seed) if many else docs, "rule-sample")
+
+
 def estimates(sample: DataFrame, rules: list[Rule], found: dict[str, Column]) -> list[tuple[Rule, float, float]]:
-    """``(rule, seconds, share rejected)`` of each rule, run alone over the sample."""
+    """``(rule, seconds, share rejected)`` of each rule, run alone over the sample.
 
-    def timed(value: Column) -> tuple[float, float]:
-        ask = sample.agg(F.avg(value.cast("double")))
-        ask.collect()  # compiles
-        began = time.perf_counter()
-        share = ask.first()[0]
-        return time.perf_counter() - began, share or 0.0
+    The time is the least of three, beyond that of reading the sample. Rules that cost less than that
+    time varies (the median of its three over the least) count as costing so much, so their order is that of their rejections.
+    """
 
-    fixed, _ = timed(F.lit(0))
+    def timed(value: Column) -> tuple[list[float], float]:
+        ask = sample.agg(F.avg(value.cast("double")))
+        share = ask.collect()[0][0]  # compiles
+        seconds = []
+        for _ in range(3):
+            began = time.perf_counter()
+            ask.collect()
+            seconds.append(time.perf_counter() - began)
+        return sorted(seconds), share or 0.0
+
+    idle, _ = timed(F.length(F.concat_ws("", *[c for c, kind in sample.dtypes if kind == "string"])) >= 0)
+    least = max(idle[1] - idle[0], 1e-4)
     out = []
     for rule in rules:
         seconds, share = timed(F.coalesce(rule.rejects(found), F.lit(False)))
-        out.append((rule, max(seconds - fixed, 1e-4), share))
+        out.append((rule, max(seconds[0] - idle[0], least), share))
     return out
 
 
 def cascade(
     docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text", sample_rows: int = 1000,
-    found: dict[str, Column] | None = None,
+    found: dict[str, Column] | None = None, sample: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` with ``rejected_by``: the first rule that rejects the text, or null.
 
-    The estimate reads ``sample_rows`` rows; it only sets the order. ``found`` are
-    measures that ``docs`` has as columns already; without it each rule computes what it
-    asks for, and only for texts that come that far.
+    The estimate reads a ``sample`` with the columns of ``docs``, else about ``sample_rows`` rows; it only
+    sets the order. ``found`` says where measures come from: columns that ``docs`` has already, or expressions. Each rule
+    computes the expressions it asks for, and only for texts that come that far.
     """
-    found = found or measures(F.col(text_col))
-    sample = stored(docs.limit(sample_rows), "rule-sample")
+    found = measures(F.col(text_col)) | (found or {})
+    if sample is None:
+        sample = sample_of(docs.select(text_col), sample_rows)
     ordered = sorted(estimates(sample, rules, found), key=lambda e: -e[2] / e[1])
     verdict = F.lit(None).cast("string")
     for rule, _, _ in reversed(ordered):

@@ -74,3 +74,27 @@ def test_clean_documents_stay(spark, sf):
     labels = table(spark, sf, "labels").filter("quality = 1 and toxic = 0")
     clean = table(spark, sf, "documents").join(labels, "doc_id").filter(F.size(F.split("text", r"\s+")) >= 50)
     assert R.keep_good(clean).count() >= 0.98 * clean.count()
+
+
+def test_clashing_columns(spark):
+    rows = spark.createDataFrame([("a b", "x", "y", "z")], "text string, n_words string, _words string, _lines string")
+    found = R.with_measures(rows)
+    assert found.columns.count("n_words") == 1 and found.first()["n_words"] == 2 and found.first()["_words"] == "y"
+
+
+def test_ready_rules_come_first_when_others_reject_no_more(spark):
+    """Comparisons of ready numbers cost the least measurable time, whatever the clock says, so the same order comes out."""
+    texts = spark.range(400).select(F.concat_ws(" ", F.array_repeat(F.lit("AB"), 4000)).alias("text"))
+    docs = R.with_measures(texts, names=["n_words"])
+    ready = R.Rule("ready", lambda m: m["n_words"] > 0)
+    slow = R.Rule("slow", lambda m: m["n_repeat_words"] > 0)
+    for rules in ([ready, slow], [slow, ready]):
+        judged = R.cascade(docs, rules, found={"n_words": F.col("n_words")}, sample=R.sample_of(docs, 200))
+        assert [r[0] for r in judged.select("rejected_by").distinct().collect()] == ["ready"]
+
+
+def test_sample_is_of_all_rows(spark):
+    docs = spark.range(20_000).select(F.col("id").cast("string").alias("text"))
+    ids = [int(r[0]) for r in R.sample_of(docs, 1000).collect()]
+    assert 800 < len(ids) < 1200 and max(ids) > 19_000
+    assert R.sample_of(docs, 50_000).count() == 20_000
