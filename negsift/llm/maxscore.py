@@ -18,7 +18,8 @@ meets every shard, in a task of bounded size. No side is broadcast.
 Rows without id, and vectors that are null or hold a null or a non-finite component take
 no part. Vectors may differ in length; a missing component is a missing term. Rows that
 repeat an id are rows of their own: they are queries and candidates each. Ties go to the
-smaller id, then to the row stored first. An empty table gives an empty result.
+smaller id, then to the row stored first. An empty table gives an empty result. Sums of any size
+are exact; a component, or one of the best scores, that no long holds is an error and never wraps round.
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ def whole_weights(vector: Column, scale: int) -> Column:
     """``floor(scale * x)`` of each component, or null if the vector takes no part."""
     wide = F.transform(vector, lambda x: x.cast("double"))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    return F.when(~F.exists(wide, odd), F.transform(wide, lambda x: F.floor(x * scale)))
+    beyond = F.raise_error(F.lit("a scaled component is beyond 64 bits")).cast("long")
+    whole = lambda x: F.when(F.abs(x * scale) < float(1 << 63), F.floor(x * scale)).otherwise(beyond)
+    return F.when(~F.exists(wide, odd), F.transform(wide, whole))
 
 
 class Postings:
@@ -65,13 +68,30 @@ def dense(lists: pa.ListArray, terms: int) -> np.ndarray:
 
 
 def exact_type(a: np.ndarray, b: np.ndarray) -> type:
-    """Doubles hold every sum of products below 2^53 exactly; else 64-bit integers."""
-    top = lambda x: int(np.abs(x).max(initial=0))
-    return np.float64 if top(a) * top(b) * max(1, a.shape[1]) < 1 << 53 else np.int64
+    """Doubles hold every sum of products below 2^53 exactly, 64-bit integers below 2^63; else whole numbers of any size."""
+    top = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    most = top(a) * top(b) * max(1, a.shape[1])
+    return np.float64 if most < 1 << 53 else np.int64 if most < 1 << 63 else object
+
+
+def as_longs(scores: np.ndarray) -> np.ndarray:
+    """Scores that are sent on, as 64-bit integers."""
+    if scores.dtype == object and any(abs(x) >= 1 << 63 for x in scores):
+        raise OverflowError("a score is beyond 64 bits; use a smaller scale")
+    return scores.astype(np.int64)
+
+
+def falling(scores: np.ndarray) -> np.ndarray:
+    """Places of the scores, best first; equal scores share one."""
+    return -scores if scores.dtype != object else -np.unique(scores, return_inverse=True)[1]
 
 
 def search(postings: Postings, asked: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``query, row, score`` of all pairs that reach the query's floor (-inf: all pairs)."""
+    """``query, row, score`` of all pairs that reach the query's floor (-inf: all pairs).
+
+    Bounds are doubles. Where scores are too large for these to be exact, they are
+    raised by more than rounding can take away, and a few pairs below the floor come out too.
+    """
     kind = exact_type(asked, postings.table.T)
     table, weights = postings.table.astype(kind), asked.astype(kind)
     bounds = np.maximum(0, np.maximum(weights * postings.low, weights * postings.high))
@@ -79,13 +99,16 @@ def search(postings: Postings, asked: np.ndarray, floors: np.ndarray) -> tuple[n
     place = np.argsort(order, axis=1)  # of each term in its query's order
     ranked = np.take_along_axis(bounds, order, axis=1)
     rest = np.zeros((len(asked), asked.shape[1] + 1))  # what the terms from a place on can add
-    rest[:, :-1] = np.cumsum(ranked[:, ::-1], axis=1)[:, ::-1]
+    rest[:, :-1] = np.cumsum(ranked[:, ::-1].astype(float), axis=1)[:, ::-1]
+    if kind is not np.float64:
+        most = np.maximum(np.abs(postings.low.astype(float)), np.abs(postings.high.astype(float)))
+        rest += (np.abs(asked.astype(float)) @ most * 2.0**-40)[:, None]
     # The essential terms: up to the first place from which on the rest stays below the floor.
     reached = (rest >= floors[:, None]).sum(axis=1)
     reached = np.where(np.isinf(floors), asked.shape[1], np.minimum(reached, asked.shape[1]))
     score = np.where(place < reached[:, None], weights, 0) @ table
     # A row in none of their postings has score 0 so far, and cannot reach the floor.
-    query, row = np.nonzero(score + rest[np.arange(len(asked)), reached][:, None] >= floors[:, None])
+    query, row = np.nonzero(score.astype(float) + rest[np.arange(len(asked)), reached][:, None] >= floors[:, None])
     while (reached < asked.shape[1]).any():
         after = np.minimum(reached + PROBE, asked.shape[1])
         if len(query) * PROBE > score.size:  # many rows compete: probe whole lists at once
@@ -99,9 +122,10 @@ def search(postings: Postings, asked: np.ndarray, floors: np.ndarray) -> tuple[n
                 score[query, row] += weight[query] * table[term[query], row]
         reached = after
         left = rest[np.arange(len(asked)), reached]
-        alive = score[query, row] + left[query] >= floors[query]
+        alive = score[query, row].astype(float) + left[query] >= floors[query]
         query, row = query[alive], row[alive]
-    return query, row, score[query, row].astype(np.int64)
+    found = score[query, row]
+    return query, row, found if kind is object else found.astype(np.int64)
 
 
 def _meet(k: int):
@@ -123,12 +147,12 @@ def _meet(k: int):
                 query += lo
                 other = rows[row] != q_rows[query]
                 query, row, score = query[other], row[other], score[other]
-                best = np.lexsort((row, -score, query))  # rows are in id order
+                best = np.lexsort((row, falling(score), query))  # rows are in id order
                 query, row, score = query[best], row[best], score[best]
                 first = np.searchsorted(query, query)
                 kept = np.arange(len(query)) - first < k
                 query, row, score = query[kept], row[kept], score[kept]
-                for column, values in zip(out, (q_rows[query], q_ids[query], rows[row], ids[row], score)):
+                for column, values in zip(out, (q_rows[query], q_ids[query], rows[row], ids[row], as_longs(score))):
                     column.append(values)
         return pa.table({n: pa.array(np.concatenate([*c, np.zeros(0, np.int64)]), pa.int64()) for n, c in zip(names, out)})
 

@@ -70,3 +70,18 @@ def test_odd_rows(spark):
 def test_large_weights_stay_exact(spark):
     rows = [(i, [3.0e7 + 8 * i, -2.0e7], i == 0) for i in range(6)]
     assert run(spark, rows, 5) == brute(rows, 5, 64)
+
+
+def test_sums_beyond_64_bits_on_the_way(spark):
+    """Products of 2^64 that cancel: the scores fit, so they are exact."""
+    big = float(1 << 26)
+    rows = [(i, [big, big * (-1) ** i, float(i)], i < 3) for i in range(0, 9, 2)] + [(i, [-big, big, float(i)], i < 3) for i in range(1, 9, 2)]
+    assert run(spark, rows, 2, scale=1 << 4) == brute(rows, 2, 1 << 4)
+    near = [(0, [big, big, 1.0], True), (1, [big, -big, 3.0], False), (2, [-big, big, 5.0], False)]
+    assert run(spark, near, 2, scale=1 << 6) == [(0, 1, 2, 5 << 12), (0, 2, 1, 3 << 12)]
+
+
+@pytest.mark.parametrize("value", [4.0e9, 1.0e18])
+def test_scores_that_no_long_holds_are_an_error(spark, value):
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        run(spark, [(0, [value], True), (1, [value], False)], 1)
