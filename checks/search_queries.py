@@ -541,7 +541,7 @@ def graph_fixed_topk(spark, sf):
     """Three hops over fixed links from fixed documents, four of the best 24 followed at a time."""
     queries, corpus, _ = t.vec(spark, sf)
     fixed = fixed_graph(spark, sf)
-    start = queries.select(*KEYS, "query_id").join(fixed.nodes.filter("node % 50 = 0").select(*KEYS, "node"), KEYS)
+    start = fixed.nodes.filter("node % 50 = 0").select(*KEYS, "node")
     found = graph.search_graph(queries, fixed, start, "cosine", BEAM, WIDTH, HOPS)
     return found.filter(F.col("place") <= K).select("query_id", "document_id", "score", F.col("place").cast("long").alias("rank"))
 

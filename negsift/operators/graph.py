@@ -9,8 +9,8 @@ compares only pairs of which one link is new, and the rounds end when few links
 Landmarks are about ``2 sqrt(n)`` documents of a bundle, ``MOST_LANDMARKS`` at most, by hash of their
 id; they are all that is broadcast. A search starts at documents of the landmarks that are closest to the
 query, and keeps the best ``ef`` documents seen so far. Every hop follows the links of the ``width``
-best ones not yet followed, for all queries in one join, and scores what a query has not
-met before. It ends when the links of all ``ef`` have been followed. What is
+best ones not yet followed, for all queries in one join, and scores what is not among the ``ef``. What fell behind
+them once does so again, so nothing else is kept between hops. It ends when the links of all ``ef`` have been followed. What is
 scored per query is about ``2 sqrt(n)`` landmarks and a number that hardly grows with the corpus.
 
 Links are the nearest by distance: of unit vectors for ``cosine``, of vectors with one more
@@ -209,10 +209,11 @@ def pair_score(metric: str):
 def search_graph(
     queries: DataFrame, graph: Graph, start: DataFrame, metric: str, ef: int, width: int = 16, hops: int = 64, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """All documents that a search scores: ``dataset, lang, query_id, document_id, node, score, place``.
+    """The best ``ef`` documents that a search meets: ``dataset, lang, query_id, document_id, node, score, place, met``.
 
-    ``start`` has the first ones as ``dataset, lang, query_id, node``. ``place`` ranks a query's rows. Each
-    hop is written to the shared folder, so a lost executor costs no earlier hop.
+    ``start`` has the first ones as ``dataset, lang, query_id, node``; without ``query_id`` every query of a bundle starts from
+    all of its nodes, and these pairs are no rows. ``place`` ranks a query's rows, and ``met`` says how many scores
+    it took. Each hop is written to the shared folder, so a lost executor costs no earlier hop.
     """
     of_query, ascending = [*KEYS, "query_id"], metric == "l2"
     asked = queries.select(*of_query, F.col("embedding").alias("_q"))
@@ -223,16 +224,17 @@ def search_graph(
 
     def scored(pairs: DataFrame) -> DataFrame:
         rows = pairs.join(documents, "node").join(asked, of_query)
-        return rows.select(*of_query, "node", "document_id", score("_q", "_d").alias("score"), F.lit(False).alias("followed"))
+        return rows.select(*of_query, "node", "document_id", score("_q", "_d").alias("score"), F.lit(False).alias("followed"), F.lit(None).cast("long").alias("met"))
 
     order = [F.asc("score") if ascending else F.desc("score"), "document_id"]
-    seen = scored(start.distinct())
+    seen = scored(start.distinct()) if "query_id" in start.columns else _best_of_all(queries, graph, start, metric, ef, broadcast_bytes)
     for _ in range(hops + 1):
-        place = F.row_number().over(W.partitionBy(*of_query).orderBy(*order))
-        ranked = seen.withColumn("place", place)
+        whole = W.partitionBy(*of_query)
+        ranked = seen.withColumn("place", F.row_number().over(whole.orderBy(*order)))
+        ranked = ranked.withColumn("met", F.coalesce(F.max("met").over(whole), F.lit(0)) + F.count_if(F.col("met").isNull()).over(whole))
         waits = (F.col("place") <= ef) & ~F.col("followed")
-        turn = F.count_if(waits).over(W.partitionBy(*of_query).orderBy("place").rowsBetween(W.unboundedPreceding, 0))
-        ranked = stored(ranked.withColumn("now", waits & (turn <= width)), "beam")
+        turn = F.count_if(waits).over(whole.orderBy("place").rowsBetween(W.unboundedPreceding, 0))
+        ranked = stored(ranked.withColumn("now", waits & (turn <= width)).filter(F.col("place") <= ef), "beam")
         now = ranked.filter("now")
         if now.isEmpty():
             break
@@ -243,6 +245,22 @@ def search_graph(
     return ranked.drop("followed", "now")
 
 
+def _best_of_all(queries: DataFrame, graph: Graph, start: DataFrame, metric: str, ef: int, broadcast_bytes: int) -> DataFrame:
+    """The best ``ef`` of the nodes ``start`` for every query of their bundle, as the first rows of a search."""
+    nodes = graph.nodes.join(start.select(*KEYS, "node").distinct(), [*KEYS, "node"])
+    nodes = stored(nodes.select(*KEYS, "node", "document_id", "embedding"), "starts")
+    # The node goes with the id, behind a character that sorts before all others.
+    both = nodes.withColumn("document_id", F.concat_ws("\0", "document_id", F.col("node").cast("string")))
+    asked = queries.filter(F.col("query_id").isNotNull())
+    found = topk(asked, both, ef, Dense(metric), ascending=metric == "l2", broadcast_bytes=broadcast_bytes)
+    node, whole = F.substring_index("document_id", "\0", -1), F.length("document_id")
+    name = F.when(F.length(node) < whole, F.left("document_id", whole - F.length(node) - 1))
+    sizes = nodes.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("met"))  # a row per bundle
+    return found.join(F.broadcast(sizes), KEYS).select(
+        *KEYS, "query_id", node.cast(dict(nodes.dtypes)["node"]).alias("node"), name.alias("document_id"), "score", F.lit(False).alias("followed"), "met"
+    )
+
+
 def starts(queries: DataFrame, graph: Graph, metric: str) -> DataFrame:
     """Documents of the landmarks closest to each query."""
     points = placed(queries, metric).select(*KEYS, "query_id", "embedding")
@@ -264,8 +282,9 @@ def graph_topk(
 
 def graph_share(found: DataFrame, graph: Graph) -> DataFrame:
     """Per bundle: documents and landmarks scored, as a share of all pairs; ``found`` from :func:`search_graph`."""
+    found = found.groupBy(*KEYS, "query_id").agg(F.max("met").alias("met"))
     many = found.sparkSession.createDataFrame([(*key, len(v)) for key, v in graph.landmarks.items()], "dataset string, lang string, landmarks long")
-    met = found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("met"), F.count_distinct("query_id").alias("queries"))
+    met = found.groupBy(*KEYS).agg(F.sum("met").alias("met"), F.count(F.lit(1)).alias("queries"))
     sizes = graph.nodes.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("documents"))
     both = met.join(sizes, KEYS).join(many, KEYS)
     return both.withColumn("share", (F.col("met") + F.col("queries") * F.col("landmarks")) / (F.col("queries") * F.col("documents")))

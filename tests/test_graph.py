@@ -90,3 +90,25 @@ def test_copies_and_small_corpora(spark):
         assert knn(q, some, 3, "cosine", "hnsw").count() == 3 * min(many, 3)
     assert knn(q, d.limit(0), 3, "cosine", "hnsw").count() == 0
     assert knn(q.limit(0), d, 3, "cosine", "hnsw").count() == 0
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_a_search_keeps_its_beam_only(spark, metric):
+    """Starts of all queries are no pairs, nothing beyond ``ef`` is kept, and the hits are those of pairs as starts; ids repeat."""
+    rng = np.random.default_rng(7)
+    q, d = rng.normal(size=(12, 6)), rng.normal(size=(300, 6))
+    d[40:60] = d[4]
+    corpus = rows(spark, d, "document_id").withColumn("node", F.substring("document_id", 2, 9).cast("long"))
+    corpus, queries = corpus.unionByName(corpus.filter("node % 30 = 0")), rows(spark, q, "query_id")
+    queries = queries.unionByName(queries.limit(3)).unionByName(queries.limit(1).withColumn("query_id", F.lit(None).cast("string")))
+    corpus, queries = corpus.cache(), queries.cache()
+    links = corpus.select("node", F.array((F.col("node") + 1) % 300, (7 * F.col("node") + 3) % 300).alias("neighbours")).distinct()
+    graph = G.Graph(corpus.select(*KEYS, "node", "document_id", "embedding"), links, {}, None)
+    nodes = graph.nodes.filter("node % 5 = 0").select(*KEYS, "node")
+    some = lambda found: sorted(map(tuple, found.filter("place <= 5").select("query_id", "document_id", "node", "score", "place").collect()))
+    whole = G.search_graph(queries, graph, nodes, metric, 8, 2, 2)
+    pairs = G.search_graph(queries, graph, queries.select(*KEYS, "query_id").join(nodes, KEYS), metric, 8, 2, 2)
+    assert some(whole) == some(pairs) and len(some(whole)) == 60
+    for found in (whole, pairs):
+        assert found.groupBy("query_id").count().agg(F.max("count")).first()[0] == 8
+        assert found.agg(F.min("met")).first()[0] >= 60
