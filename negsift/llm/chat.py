@@ -34,7 +34,7 @@ from negsift.session import stored
 START, STOP = "<|im_start|>", "<|im_end|>"
 PART = 1 << 20
 TRAINED = "assistant"
-_BATCH = 1 << 23  # characters per output batch
+_BATCH = 1 << 20  # characters per output batch
 
 
 def escape(text: str) -> str:
@@ -123,19 +123,18 @@ def format_conversations(turns: DataFrame, paths=None, part_chars: int = PART) -
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 1000):
-                piece = batch.slice(at, 1000)
-                for conv, role, text in zip(*(piece.column(i).to_pylist() for i in (0, 1, 2))):
-                    if started and conv != now:
-                        finish()
-                        part = 0
-                    elif size > part_chars:
-                        finish()
-                    now, started = conv, True
-                    held.append((role or "", text or ""))
-                    size += len(held[-1][1])
-                    if kept > _BATCH:
-                        yield batch_of()
+            for row in zip(*(batch.column(i) for i in (0, 1, 2))):
+                conv, role, text = (value.as_py() for value in row)
+                if started and conv != now:
+                    finish()
+                    part = 0
+                elif size > part_chars:
+                    finish()
+                now, started = conv, True
+                held.append((role or "", text or ""))
+                size += len(held[-1][1])
+                if kept > _BATCH:
+                    yield batch_of()
         if started:
             finish()
             yield batch_of()
@@ -168,20 +167,20 @@ def read_back(formatted: DataFrame, paths=None) -> DataFrame:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 100):
-                for r in batch.slice(at, 100).to_pylist():
-                    if state is None or r["conv_id"] != now:
-                        if state is not None:
-                            out.append(row())
-                        now, state = r["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                    for role, text, _ in parse(r["text"]):
-                        state[0] += 1
-                        state[1].update(f"{role}\n{unescape(text)}\n".encode())
-                    for piece in masked(r, coder):
-                        plain = unescape(piece)
-                        state[2] += len(plain)
-                        state[3].update(plain.encode())
-                    state[4] += len(r["text"])
+            for values in zip(*batch.columns):  # one part at a time, its lists as arrays
+                r = {c: v.as_py() if c in ("conv_id", "text") else v.values.to_numpy(zero_copy_only=False) for c, v in zip(batch.schema.names, values)}
+                if state is None or r["conv_id"] != now:
+                    if state is not None:
+                        out.append(row())
+                    now, state = r["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                for role, text, _ in parse(r["text"]):
+                    state[0] += 1
+                    state[1].update(f"{role}\n{unescape(text)}\n".encode())
+                for piece in masked(r, coder):
+                    plain = unescape(piece)
+                    state[2] += len(plain)
+                    state[3].update(plain.encode())
+                state[4] += len(r["text"])
             if len(out) > 10_000:
                 yield batch_of(out)
                 out = []
@@ -195,11 +194,9 @@ def read_back(formatted: DataFrame, paths=None) -> DataFrame:
 
 def masked(part: dict, coder) -> Iterator[str]:
     """The characters of each loss span that lie in a token under the mask."""
-    first, last = coder.places(np.array(part["ids"], np.int64), part["text"])
-    mask = np.array(part["loss_mask"], bool)
-    change = np.zeros(len(part["text"]) + 1, np.int64)
-    np.add.at(change, first[mask], 1)
-    np.add.at(change, last[mask], -1)
+    first, last = coder.places(np.asarray(part["ids"], np.int64), part["text"])
+    mask, size = np.asarray(part["loss_mask"], bool), len(part["text"]) + 1
+    change = np.bincount(first[mask], minlength=size) - np.bincount(last[mask], minlength=size)
     learned = np.cumsum(change)[:-1] > 0
     for a, b in zip(part["loss_starts"], part["loss_ends"]):
         if learned[a:b].all():

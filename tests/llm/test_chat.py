@@ -74,3 +74,36 @@ def test_nothing_outside_the_mask_is_read(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert C.round_trip(empty).collect() == []
+
+
+class _Frame:
+    """Takes the function that a frame would run in its tasks."""
+
+    dtypes = [("conv_id", "bigint")]
+
+    def select(self, *columns):
+        return self
+
+    repartition = sortWithinPartitions = select
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_parts_are_read_one_at_a_time():
+    """What a task holds beside its batch is a part, not a hundred of them as Python numbers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows = [(c, "assistant" if i % 2 else "user", "word " * 200) for c in range(30) for i in range(100)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["conv_id", "role", "text"])
+    written = pa.Table.from_batches(C.format_conversations(_Frame())(iter([batch])))
+    assert len(written.to_batches()) >= 2
+    parts = written.select(["conv_id", "text", "ids", "loss_mask", "loss_starts", "loss_ends"]).combine_chunks().to_batches()
+    tracemalloc.start()
+    found = [r for out in C.read_back(_Frame())(iter(parts)) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["n_turns"] for r in found] == [100] * 30 and all(r["loss_chars"] == 50 * 1000 for r in found)
+    assert peak < 20 << 20
