@@ -202,6 +202,11 @@ class Ragged:
         """The same in single precision, the longest at length 1."""
         return (self.slots / self.longest).astype(np.float32)
 
+    @cached_property
+    def small_tokens(self) -> np.ndarray:
+        """All tokens in single precision, the longest at length 1."""
+        return (self.tokens / self.longest).astype(np.float32)
+
     def powers(self) -> np.ndarray:
         """By the longest token of each text."""
         lengths = np.linalg.norm(self.tokens, axis=1)[None, :] if len(self.tokens) else np.zeros((1, 0))
@@ -233,12 +238,54 @@ def runs(starts: np.ndarray, most: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
 
 
+def distinct(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, and the one of each row. Words repeat, so their vectors do."""
+    bits = (tokens.astype(np.float64) + 0.0).view(np.uint64)
+    odd = np.random.default_rng(0).integers(1, 1 << 63, bits.shape[1], dtype=np.uint64) * 2 + 1
+    mixed = ((bits ^ (bits >> np.uint64(32))) * odd).sum(axis=1, dtype=np.uint64)
+    _, first, own = np.unique(mixed ^ (mixed >> np.uint64(29)), return_index=True, return_inverse=True)
+    if not np.array_equal(tokens[first][own], tokens):  # two rows of one hash, or no number
+        return tokens, np.arange(len(tokens))
+    return tokens[first], own
+
+
+def best_of_places(values: np.ndarray, place: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """(text, column): the maximum of the rows ``values[place]`` of each text; a text without any has zeros.
+
+    Token by token for all texts together, the few longest to their ends at once.
+    """
+    out = np.zeros((len(counts), values.shape[1]), values.dtype)
+    order = np.argsort(-counts, kind="stable")
+    order = order[: np.count_nonzero(counts)]
+    for lo in range(0, len(order), 128):
+        own = order[lo : lo + 128]
+        at, many = starts[own], counts[own]
+        top, live, token = values[place[at]], len(own), 1
+        while True:
+            while live and many[live - 1] <= token:
+                live -= 1
+            if live < 8:
+                break
+            np.maximum(top[:live], values[place[at[:live] + token]], out=top[:live])
+            token += 1
+        for i in range(live):
+            np.maximum(top[i], values[place[at[i] + token : at[i] + many[i]]].max(axis=0), out=top[i])
+        out[own] = top
+    return out
+
+
 class MaxSim:
-    """Late interaction: for each query token the best document token, summed."""
+    """Late interaction: for each query token the best document token, summed.
+
+    Texts of unequal length are scored by their distinct tokens. Once queries have floors, they are so in single
+    precision, and only pairs that may reach the floor in doubles.
+    """
 
     query_columns = doc_columns = ["tokens"]
-    query_block, doc_block = 1_024, 2_000
+    query_block, doc_block, first_block = 1_024, 2_000, 500
     cells = 8_000_000  # of query tokens times document tokens in one product
+    side = 256  # distinct query tokens of one product
+    products = True  # scores are made of products of the tokens themselves
 
     def queries(self, table, key):
         return Ragged(table["tokens"])
@@ -267,6 +314,8 @@ class MaxSim:
             for lo in range(0, len(d.counts), step):
                 self.by_slots(q.slots[:, start:stop], d.slots[:, lo : lo + step], out[:, lo : lo + step])
             return out
+        if self.products and q.tokens.shape[1] == d.tokens.shape[1]:
+            return self.by_tokens(q, start, stop, d, q.tokens, d.tokens)
         side = max(1, int(self.cells**0.5))
         for a, b in runs(q.starts[start : stop + 1] - q.starts[start], side):
             tokens = self.tokens_of(q, start + a, start + b)
@@ -278,6 +327,29 @@ class MaxSim:
                 out[a:b, lo:hi] = sum_per_text(best, starts, q.counts[start + a : start + b])
         return out
 
+    def by_tokens(self, q, start, stop, d, asked: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Scores from the tokens ``asked`` of all queries and ``held`` of all documents, in their precision, summed in doubles."""
+        out = np.zeros((stop - start, len(d.counts)))
+        for a, b in runs(q.starts[start : stop + 1] - q.starts[start], 32 * self.side):
+            first, last = q.starts[start + a], q.starts[start + b]
+            if first == last:
+                continue
+            words, word = distinct(asked[first:last])
+            for lo, hi in runs(d.starts, max(1, self.cells // self.side)):
+                ends = d.starts[lo : hi + 1] - d.starts[lo]
+                if not ends[-1]:
+                    continue
+                tokens, place = distinct(held[d.starts[lo] : d.starts[hi]])
+                best = np.zeros((hi - lo, len(words)), asked.dtype)
+                step = max(1, min(self.side, self.cells // int(ends[-1])))
+                for at in range(0, len(words), step):
+                    best[:, at : at + step] = best_of_places(tokens @ words[at : at + step].T, place, ends, d.counts[lo:hi])
+                starts, counts = q.starts[start + a : start + b] - first, q.counts[start + a : start + b]
+                full = counts > 0
+                rows = np.add.reduceat(best[:, word], starts[full], axis=1, dtype=np.float64)
+                out[a + np.flatnonzero(full), lo:hi] = rows.T
+        return out
+
     def even(self, q, d) -> bool:
         return bool(q.each and d.each and q.tokens.shape[1] == d.tokens.shape[1])
 
@@ -291,10 +363,13 @@ class MaxSim:
             out += top
 
     def likely(self, q, start, stop, d, floor, k):
-        size = q.longest * d.longest if self.even(q, d) else 0.0
-        if not 1e-100 < size < 1e100:
+        size = q.longest * d.longest
+        if not 1e-100 < size < 1e100 or q.tokens.shape[1] != d.tokens.shape[1]:
             return None
-        bound = at_least(floor / size - q.each * error(q.tokens.shape[1]))[:, None]
+        bound = at_least(floor / size - q.counts[start:stop] * error(q.tokens.shape[1]))[:, None]
+        if not self.even(q, d):
+            found = np.nonzero(self.by_tokens(q, start, stop, d, q.small_tokens, d.small_tokens) >= bound)
+            return found if len(found[0]) * 8 <= (stop - start) * len(d.counts) else None
         step, found = max(1, TILE // (stop - start)), []
         for lo in range(0, len(d.counts), step):
             rough = np.zeros((stop - start, min(step, len(d.counts) - lo)), np.float32)
@@ -305,6 +380,12 @@ class MaxSim:
 
     def pairs(self, q, row, d, col):
         out = np.zeros(len(row))
+        if not self.even(q, d):
+            for i, (a, b) in enumerate(zip(row, col)):
+                asked, held = q.tokens[q.starts[a] : q.starts[a + 1]], d.tokens[d.starts[b] : d.starts[b + 1]]
+                if len(asked) and len(held):
+                    out[i] = (asked @ held.T).max(axis=1).sum()
+            return out
         for asked in q.slots:
             tokens = asked[row]
             out += np.max([np.einsum("ij,ij->i", tokens, held[col]) for held in d.slots], axis=0)
@@ -356,6 +437,7 @@ class CentroidMaxSim(MaxSim):
 
     query_columns, doc_columns = ["tokens"], ["codes"]
     query_block, doc_block = 1_024, 20_000
+    products = False
 
     def __init__(self, centroids):
         self.centroids = centroids  # broadcast: {bundle: matrix}

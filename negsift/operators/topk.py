@@ -228,9 +228,11 @@ class _Search:
                 kept[key] = side
         right = right.sort_by("document_id")
         doc_ids, whole = right["document_id"].combine_chunks(), kept is None and self.merged
-        held = []
-        for at in range(0, right.num_rows, self.doc_block):
-            for row, col, scores in self._chunk(key, side, right.slice(at, self.doc_block)):
+        held, at, size = [], 0, 0
+        while (at := at + size) < right.num_rows:
+            # Until queries have floors every pair gets an exact score, so a scorer may ask for fewer.
+            size = self.doc_block if np.isfinite(side.floor).all() else min(self.doc_block, getattr(self.scorer, "first_block", self.doc_block))
+            for row, col, scores in self._chunk(key, side, right.slice(at, size)):
                 if whole:
                     held.append((row, col + at, scores))
                 elif len(row):
