@@ -59,6 +59,8 @@ def powers(lengths: np.ndarray) -> np.ndarray:
 
 #: Cells of one product in single precision, 1 MB.
 TILE = 1 << 18
+#: Numbers of each side that are copied at once to score given pairs, 2 MB.
+PAIRED = 1 << 18
 
 
 def error(terms: int) -> float:
@@ -158,7 +160,10 @@ class Dense:
         return joined(found)
 
     def pairs(self, q, row, d, col):
-        dot = np.einsum("ij,ij->i", q.vectors[row], d.vectors[col])
+        dot, step = np.empty(len(row)), max(1, PAIRED // max(1, q.vectors.shape[1]))
+        for lo in range(0, len(row), step):
+            some = slice(lo, lo + step)
+            dot[some] = np.einsum("ij,ij->i", q.vectors[row[some]], d.vectors[col[some]])
         if self.metric != "l2":
             return dot
         return np.maximum(q.lengths[row] ** 2 + d.lengths[col] ** 2 - 2 * dot, 0.0)

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from negsift.operators.scorers import MaxSim, Ragged, distinct
+from negsift.operators.scorers import Dense, MaxSim, Ragged, distinct
 
 
 def ragged(texts):
@@ -46,3 +46,22 @@ def test_distinct_rows():
     assert len(found) == 3 and np.array_equal(found[own], rows)
     odd = np.array([[np.nan, 1.0], [1, 1]])
     assert np.array_equal(distinct(odd)[0], odd, equal_nan=True)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "ip", "l2"])
+def test_given_pairs_are_scored_in_pieces(metric):
+    """Memory does not grow with the number of likely pairs times their vectors."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    table = lambda n: pa.table({"embedding": pa.array(rng.normal(size=(n, 64)).tolist(), pa.list_(pa.float64()))})
+    scorer = Dense(metric)
+    q, d = scorer.queries(table(50), ()), scorer.docs(table(400), ())
+    row, col = rng.integers(0, 50, 100_000), rng.integers(0, 400, 100_000)
+    scorer.pairs(q, row[:1], d, col[:1])
+    tracemalloc.start()
+    found = scorer.pairs(q, row, d, col)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    np.testing.assert_allclose(found, scorer.score(q, 0, 50, d)[row, col], rtol=0, atol=1e-9)
+    assert peak < 20 << 20
