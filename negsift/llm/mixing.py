@@ -25,13 +25,12 @@ have equal rates and their own copies. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import string
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from negsift.llm.frames import SPACE, fresh, row_key, small_table, words as words_of
+from negsift.llm.frames import fresh, row_key, small_table, words as words_of
 from negsift.session import stored
 
 MAX_LABELLED = 20_000
@@ -46,7 +45,6 @@ RIDGE = 1e-6
 _BIAS = " "  # no word: stands in every document
 _ENDING = " ends "
 _BARE = " bare "  # a word that a text holds between symbols only
-SPACE_OR_END = f"(?:{SPACE}|\\z)"
 _SYMBOLS = string.punctuation + "“”„‘’‚«»‹›…–—¿¡。、"
 _LITERAL = 5_000  # weights that stand in the plan itself
 
@@ -96,9 +94,10 @@ def _met(plain: Column, text: Column, known: list[str]) -> Column:
         outer = F.filter(plain, lambda w: F.left(w, F.lit(1)).isin(symbols) | F.right(w, F.lit(1)).isin(symbols))
         inner = F.filter(F.array_distinct(F.transform(outer, lambda w: F.btrim(w, F.lit(_SYMBOLS)))), lambda w: w.isin(bare))
         found.append(F.transform(F.array_except(inner, plain), lambda w: F.concat(F.lit(_BARE), w)))
-    for ending in endings:
-        last = re.escape(ending.removeprefix(_ENDING)) + SPACE_OR_END
-        found.append(F.when(F.lower(text).rlike(last), F.array(F.lit(ending))).otherwise(F.array().cast("array<string>")))
+    if endings:
+        # One pass over the words for all endings; a search of the text for each of them costs far more.
+        last = F.filter(F.transform(plain, lambda w: F.right(w, F.lit(1))), lambda c: c.isin([e.removeprefix(_ENDING) for e in endings]))
+        found.append(F.transform(F.array_distinct(last), lambda c: F.concat(F.lit(_ENDING), c)))
     return F.concat(*found)
 
 
