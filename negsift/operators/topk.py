@@ -17,6 +17,9 @@ blocks     Otherwise both sides are split by id hash into blocks of bounded size
            table, so a row is copied to about as many blocks, however few rows a chunk has.
            Documents of a few numbers each (a scorer that is ``light``) are one block as long as they fit
            ``BLOCK_BYTES``: a query then meets all of them in one task, only its best k leave it, and the floor is what it has met so far.
+           Spark joins small partitions by their bytes, but the work is in pairs, so from ``TASK_PAIRS`` pairs for each
+           core on the meetings of blocks are numbered and dealt out in turn: a task has one meeting of two bounded blocks, or
+           a few that have about ``TASK_PAIRS`` pairs together, however large the tables are.
 
 A large search goes over the corpus twice: first over one in ``FLOOR_SHARE`` of its documents, whose
 k-th best score is a floor under each query's result whatever the others hold. The whole
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from negsift.operators.spread import spread_small
 from negsift.schema import KEYS, SCORE_PLACES
@@ -47,6 +50,7 @@ FLOOR_PAIRS, FLOOR_LEAST = 250_000_000, 1 << 13  # or pairs, and documents at le
 FLOOR_SHARE = 16
 BLOCK_BYTES = 32 << 20  # queries, or documents, of one block at most
 BLOCK_ROWS, SIDES = 4_096, 16  # rows of a block at least; else one in SIDES of the table
+TASK_PAIRS = 1 << 26  # pairs that are worth a task
 SLICE_ROWS, SLICES = 256, 4  # queries of a slice at least where all documents are one block; slices for each core until they have BLOCK_ROWS
 MEASURED = 1_000  # documents whose mean size counts for all
 
@@ -129,8 +133,11 @@ def emitted(
         return _against_broadcast(queries, spread_small(docs) if spread else docs, search)
     if whole:
         tasks = SLICES * queries.sparkSession.sparkContext.defaultParallelism
-        return _against_blocks(queries, docs, search, max(1, many), max(SLICE_ROWS, min(BLOCK_ROWS, rows // tasks)))
-    return _against_blocks(queries, docs, search, block_rows or _block(many, some, measured), block_rows or _block(rows, size, rows))
+        doc_rows, query_rows = max(1, many), max(SLICE_ROWS, min(BLOCK_ROWS, rows // tasks))
+    else:
+        doc_rows, query_rows = block_rows or _block(many, some, measured), block_rows or _block(rows, size, rows)
+    search.tasks = _tasks(queries.sparkSession, many, rows, doc_rows, query_rows)
+    return _against_blocks(queries, docs, search, doc_rows, query_rows)
 
 
 def _block(total: int, size: int, rows: int) -> int:
@@ -138,6 +145,15 @@ def _block(total: int, size: int, rows: int) -> int:
     return max(1, min(BLOCK_BYTES * rows // max(size, 1), max(BLOCK_ROWS, total // SIDES)))
 
 
+def _tasks(spark: SparkSession, many: int, rows: int, doc_rows: int, query_rows: int) -> int:
+    """Partitions for the meetings of the blocks of two tables; 0 where they are few pairs and Spark may join them.
+
+    At least as many as Spark would make, since tables of many keys have more meetings than one of all their rows.
+    """
+    tasks = min(-(-many // doc_rows) * -(-rows // query_rows), many * rows // TASK_PAIRS)
+    return max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))) if tasks > spark.sparkContext.defaultParallelism else 0
+
+
 def best(found: DataFrame, k: int, ascending: bool = False, distinct: bool = False) -> DataFrame:
     """The k best of each query; Spark limits each task's share before the shuffle."""
     if distinct:
@@ -219,6 +235,7 @@ class _Search:
         self.scorer, self.k, self.keys = scorer, k, keys
         self.ascending, self.doc_block, self.schema, self.merged = ascending, doc_block, schema, merged
         self.query_block = query_block or 1 << 62
+        self.tasks = 0
 
     def run(self, key: tuple, left: pa.Table, right: pa.Table, kept: dict | None = None) -> Iterator[pa.RecordBatch]:
         """Score all ``left`` queries against all ``right`` documents of one key.
@@ -375,6 +392,13 @@ def _against_blocks(
             .fillna(1, ["_blocks", "_slices"])
         )
 
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Meetings of a key have consecutive numbers, from one that its hash gives."""
+        if search.tasks:
+            number = F.xxhash64(*keys) % search.tasks + F.col("_slice") * F.col("_blocks") + F.col("_block")
+            rows = rows.withColumn("_task", F.pmod(number, F.lit(search.tasks)).cast("int")).repartitionById(search.tasks, "_task")
+        return rows.drop("_blocks", "_slices")
+
     def spread(id_col: str, count: str):
         return F.pmod(F.xxhash64(id_col), F.col(count)).cast("int")
 
@@ -382,17 +406,16 @@ def _against_blocks(
         sized(queries)
         .withColumn("_slice", spread("query_id", "_slices"))
         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .drop("_blocks", "_slices")
     )
     right = (
         sized(docs)
         .withColumn("_block", spread("document_id", "_blocks"))
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-        .drop("_blocks", "_slices")
     )
-    at = [*keys, "_slice", "_block"]
+    at = [*keys, *(["_task"] if search.tasks else []), "_slice", "_block"]
     # Both sides may come from one table; fresh aliases keep their columns apart.
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    left, right = dealt(left), dealt(right)
 
     def meet(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
         plain = tuple(value.as_py() for value in key[: len(keys)])

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from negsift.operators import topk as top
 from negsift.operators.retrieve import knn
@@ -82,6 +83,27 @@ def test_blocks_do_not_shrink_with_chunks(spark, monkeypatch):
     assert (40, 40) in seen
 
 
+def test_meetings_of_blocks_are_a_task_each(spark, monkeypatch):
+    """Spark joined them by their bytes, so that the longest task held as many as were small enough."""
+    points = np.random.default_rng(3).normal(size=(300, 8))
+    q, d = vectors(spark, [(f"q{i}", v) for i, v in enumerate(points)], "query_id"), vectors(spark, [(f"d{i}", v) for i, v in enumerate(points)], "document_id")
+    q, d = q.unionByName(vectors(spark, [("one", points[0])], "query_id", lang="y")), d.unionByName(vectors(spark, [("one", points[0])], "document_id", lang="y"))
+    names = ("lang", "query_id", "document_id", "rank")
+    want = as_set(knn(q, d, 5), *names)
+    of_cells = as_set(knn(q, d, 5, method="ivf", nlist=6, nprobe=3), *names)
+    monkeypatch.setattr(top, "TASK_PAIRS", 100)
+    options = {"form": "blocks", "block_rows": 40}
+    sent = top.emitted(q, d, 5, Dense("cosine"), **options).withColumn("task", F.spark_partition_id())
+    of_task = sent.filter("lang = 'x'").groupBy("task").agg(F.count_distinct("query_id").alias("queries")).collect()
+    assert len(of_task) == 64
+    assert max(r["queries"] for r in of_task) < 80
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    assert as_set(knn(q, d, 5, **options), *names) == want
+    assert as_set(knn(q, d, 5, **options, floor_rows=1, floor_share=4), *names) == want
+    assert as_set(knn(q, d, 5, method="ivf", nlist=6, nprobe=3, **options), *names) == of_cells
+
+
 def test_a_block_with_floors_sends_k_rows_at_most(spark):
     points = np.random.default_rng(4).normal(size=(300, 8))
     q, d = vectors(spark, [(f"q{i}", v) for i, v in enumerate(points[:20])], "query_id"), vectors(spark, [(f"d{i}", v) for i, v in enumerate(points)], "document_id")
