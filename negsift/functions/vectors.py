@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,28 +79,36 @@ def hashed_counts(text: Column, dim: int, limit: int = 0) -> Column:
     return encode(text)
 
 
-def hashed_tokens(text: Column, limit: int = 0) -> Column:
-    """A unit vector per distinct lower-cased word, in order of first occurrence.
-
-    Its 16 numbers are the bytes of the word's MD5, less 127.5. ``limit`` keeps the first
-    words only.
-    """
-
-    @F.arrow_udf(T.ArrayType(T.ArrayType(T.FloatType())))
-    def encode(texts: pa.Array) -> pa.Array:
-        lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), TOKEN_SPLIT)
+def token_runs(texts: pa.Array, limit: int = 0) -> Iterator[pa.Array]:
+    """Token vectors of the texts, a run of them at a time: a token is far larger than its word."""
+    for lo, hi in text_runs(texts):
+        lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.slice(lo, hi - lo), "")), TOKEN_SPLIT)
         own = [[w for w in dict.fromkeys(words) if w][: limit or None] for words in lists.to_pylist()]
         place: dict[str, int] = {}
         at = np.array([place.setdefault(w, len(place)) for words in own for w in words], np.int64)
         digests = b"".join(hashlib.md5(w.encode()).digest() for w in place)
         vectors = np.frombuffer(digests, np.uint8).reshape(-1, 16) - 127.5
         vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-        flat = vectors[at].astype(np.float32).ravel()
+        flat = vectors.astype(np.float32)[at].ravel()
         tokens = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * 16), pa.array(flat))
         ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), tokens)
+        yield pa.ListArray.from_arrays(pa.array(ends), tokens)
 
-    return encode(text)
+
+def hashed_tokens(text: Column, limit: int = 0) -> Column:
+    """A unit vector per distinct lower-cased word, in order of first occurrence.
+
+    Its 16 numbers are the bytes of the word's MD5, less 127.5. ``limit`` keeps the first
+    words only. Vectors leave a task in runs of texts. The column is marked so that a filter on it reads it, and does not
+    make it once more.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.FloatType())))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield from token_runs(texts, limit)
+
+    return encode.asNondeterministic()(text)
 
 
 def cut_vector(vector: Column, parts: int, width: int) -> Column:
