@@ -13,7 +13,7 @@ from negsift.operators.index import search_index
 from negsift.operators.late import maxsim_topk, plaid_topk
 from negsift.operators.rotation import build_rotated, rotated_topk
 from negsift.operators.scorers import Dense
-from negsift.operators.topk import topk
+from negsift.operators.topk import FLOOR_SHARE, floor_part, topk
 from negsift.schema import KEYS
 from negsift.session import stored
 
@@ -88,12 +88,16 @@ def retrieve(
         queries = stored(_vectors(encode(queries, "query") if encode else queries, "query_id"), "query-vectors")
         return search_index(queries, index, k, **{c: v for c, v in search.items() if c != "metric"})
     if encode is not None:
+        whole, late = corpus, architecture == "late_interaction"
         queries, corpus = encode(queries, "query"), encode(corpus, "document")
         # Encoding is the costly step and several passes follow: the vectors of the
-        # queries, and of a corpus that gets an index, are written once.
+        # queries, and of a corpus that gets an index, are written once. Token vectors are many times as large
+        # as their texts: an exact search takes them from the texts, as it does single vectors, and those of the floors' part again.
         queries = stored(_vectors(queries, "query_id"), "query-vectors")
-        if search.get("method", "flat") != "flat" or architecture == "late_interaction":
+        if search.get("method", "flat") != "flat" or late and search.get("pruned", True):
             corpus = stored(_vectors(corpus, "document_id"), "document-vectors", by=KEYS)
+        elif late:
+            search = {"part": encode(floor_part(whole, search.get("floor_share", FLOOR_SHARE)), "document"), **search}
         search = {"spread": False, **search}  # the encoder has spread a small corpus
     if architecture == "single_vector":
         return knn(queries, corpus, k, **search)

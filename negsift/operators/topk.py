@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from negsift.operators.spread import spread_small
 from negsift.schema import KEYS, SCORE_PLACES
@@ -92,10 +92,12 @@ def emitted(
     floor_rows: int | None = None,
     floor_share: int = FLOOR_SHARE,
     block_rows: int | None = None,
+    part: DataFrame | None = None,
 ) -> DataFrame:
     """What the scoring steps send to the final ranking: every hit of it, and some rows more.
 
     ``doc_block`` and ``query_block`` are the rows scored at once, ``block_rows`` those that are shuffled together.
+    ``part`` is :func:`floor_part` of ``docs``, for a caller who has it for less than a filter on ``docs`` costs.
     Queries may come with a ``_floor``, a score (its negative if ``ascending``) that every hit still wanted reaches; then none are looked for.
     """
     given, doc_block = doc_block, doc_block or scorer.doc_block
@@ -109,12 +111,12 @@ def emitted(
     large = many >= (FLOOR_ROWS if floor_rows is None else floor_rows)
     if floor_rows is None and many >= FLOOR_LEAST:
         large |= many * rows >= FLOOR_PAIRS
-    some, measured = size_in_bytes(docs.limit(MEASURED))
+    some, measured = measured_bytes(docs)
     whole = form == "auto" and block_rows is None and floor_rows is None and getattr(scorer, "light", False) and many * some <= BLOCK_BYTES * measured
     if whole:
         form, large = "blocks", False
     if large and not floored:
-        part = docs.filter(F.pmod(F.xxhash64(F.lit("floor"), "document_id"), F.lit(floor_share)) == 0)
+        part = floor_part(docs, floor_share) if part is None else part.select(*docs.columns)
         options = {"form": form, "broadcast_bytes": broadcast_bytes, "doc_block": given, "query_block": query_block, "block_rows": block_rows}
         first = best(
             emitted(queries.withColumn("_floor", F.lit(None).cast("double")), part, k, scorer, keys, ascending, once, **options, spread=spread, floor_rows=1 << 62),
@@ -140,6 +142,11 @@ def emitted(
     return _against_blocks(queries, docs, search, doc_rows, query_rows)
 
 
+def floor_part(docs: DataFrame, share: int = FLOOR_SHARE) -> DataFrame:
+    """The documents on which floors are found, one in ``share`` by hash of their id."""
+    return docs.filter(F.pmod(F.xxhash64(F.lit("floor"), "document_id"), F.lit(share)) == 0)
+
+
 def _block(total: int, size: int, rows: int) -> int:
     """Rows of a block of a table of ``total`` rows, ``rows`` of which have ``size`` bytes."""
     return max(1, min(BLOCK_BYTES * rows // max(size, 1), max(BLOCK_ROWS, total // SIDES)))
@@ -166,6 +173,18 @@ def best(found: DataFrame, k: int, ascending: bool = False, distinct: bool = Fal
 
 def size_in_bytes(rows: DataFrame) -> tuple[int, int]:
     """Bytes of a table in memory, from the lengths of its values, and its rows."""
+    found = rows.agg(F.sum(row_bytes(rows)), F.count(F.lit(1))).first()
+    return found[0] or 0, found[1]
+
+
+def measured_bytes(rows: DataFrame, most: int = MEASURED) -> tuple[int, int]:
+    """The same of ``most`` rows. Only sizes leave the tasks, and no more partitions are looked at than have these rows:
+    a limit below an aggregation would make, and shuffle, so many rows of every partition."""
+    found = rows.select(row_bytes(rows).alias("n")).take(most)
+    return sum(r["n"] for r in found), len(found)
+
+
+def row_bytes(rows: DataFrame) -> Column:
     size = F.lit(0).cast("long")
     for field in rows.schema.fields:
         kind = field.dataType.simpleString()
@@ -178,8 +197,7 @@ def size_in_bytes(rows: DataFrame) -> tuple[int, int]:
         else:
             one = F.lit(8)
         size = size + F.coalesce(one.cast("long"), F.lit(0))
-    found = rows.agg(F.sum(size), F.count(F.lit(1))).first()
-    return found[0] or 0, found[1]
+    return size
 
 
 def pair_schema(queries: DataFrame, keys: list[str]) -> str:
