@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Characters trimmed at both ends of a text. The (?U) class \s
-# covers Unicode spaces; 1c-1f are the separators that class leaves out.
-_SPACE = r"[\s\x1c-\x1f]+"
+# Characters trimmed at both ends of a text: Unicode's white space, and the separators 1c-1f.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 # Separators between tokens.
 TOKEN_SPLIT = r"[ \t\n\r\f]+"
 
 
 def strip_space(text: Column) -> Column:
-    head = F.regexp_replace(text, r"(?U)\A" + _SPACE, "")
-    return F.regexp_replace(head, r"(?U)" + _SPACE + r"\z", "")
+    """Looks at the ends of a text only; a pattern would go through all of it, and this is done wherever texts are read."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def title_and_text(title: Column, text: Column) -> Column:

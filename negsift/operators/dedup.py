@@ -171,11 +171,20 @@ def corpus_id_conflicts(corpus: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 def resolve_id_conflicts(
     rows: DataFrame, keys: list[str] = KEYS, hot_rows: int = HOT_ROWS, id_col: str = "document_id"
 ) -> DataFrame:
-    """One row per id: the last one in source order wins. Only ids and positions are shuffled."""
+    """One row per id: the last one in source order wins.
+
+    Only ids and positions are shuffled. They are written once, and so are the positions that are left out: a table has
+    many readers, and each would find them again from all texts.
+    """
     on = [*keys, id_col]
-    ids = rows.select(*on, "pos")
+    ids = stored(rows.select(*on, "pos"), "ids")
     last = ids.groupBy(*on).agg(F.max("pos").alias("last_pos"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     spread = F.concat(F.lit("row "), F.col("pos").cast("string"))
     known = lookup(ids, last, on, hottest(last, "n", hot_rows), spread)
-    stale = known.filter(F.col("pos") < F.col("last_pos")).select(*keys, "pos")
+    stale = stored(known.filter(F.col("pos") < F.col("last_pos")).select(*keys, "pos"), "stale")
+    rows = rows.select(*keys, "pos", *[c for c in rows.columns if c not in (*keys, "pos")])
+    if stale.isEmpty():
+        return rows
+    if dict(rows.dtypes)["pos"] in ("int", "bigint"):
+        return by_position(rows, stale, keep=False, keys=keys)
     return rows.join(stale, [*keys, "pos"], "left_anti")
