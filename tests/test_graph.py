@@ -112,3 +112,19 @@ def test_a_search_keeps_its_beam_only(spark, metric):
     for found in (whole, pairs):
         assert found.groupBy("query_id").count().agg(F.max("count")).first()[0] == 8
         assert found.agg(F.min("met")).first()[0] >= 60
+
+
+def test_a_hop_shuffles_lists_and_not_neighbours(spark):
+    """What a query reaches comes once, and without what it has; no row per neighbour is grouped or joined for that."""
+    of_query = [*KEYS, "query_id"]
+    name = "dataset string, lang string, query_id string, "
+    ranked = spark.createDataFrame([("s", "x", "a", 1), ("s", "x", "a", 2), ("s", "y", "a", 3), ("s", "x", "b", 9)], name + "node long")
+    reached = spark.createDataFrame(
+        [("s", "x", "a", [2, 5, 5, 7]), ("s", "x", "a", [7, 1, 8]), ("s", "y", "a", [1, 3]), ("s", "x", "c", [4]), ("s", "x", "b", [9]), ("s", "x", "c", [])],
+        name + "neighbours array<long>",
+    )
+    found = G._unseen(reached, ranked, of_query)
+    want = [("s", "x", "a", 5), ("s", "x", "a", 7), ("s", "x", "a", 8), ("s", "x", "c", 4), ("s", "y", "a", 1)]
+    assert sorted(map(tuple, found.select(*of_query, "node").collect())) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.index("Generate") < plan.index("Exchange")  # what is above stands first
